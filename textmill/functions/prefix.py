@@ -36,8 +36,9 @@ def running_total(
     """Sum of ``value`` over the rows that come before in ``order`` (numeric, unique within a group)."""
     shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     bounds = df.agg(F.percentile_approx(order, shares, 10 * buckets).alias("bounds"))
-    place = F.size(F.filter(bounds.scalar(), lambda b: b < F.col(order)))
-    return _bucketed(df.withColumn("_bucket", place), group or [], [F.col(order)], value, out)
+    place = F.size(F.filter("_bounds", lambda b: b < F.col(order)))
+    placed = df.withColumn("_bounds", bounds.scalar()).withColumn("_bucket", place).drop("_bounds")
+    return _bucketed(placed, group or [], [F.col(order)], value, out)
 
 
 def hashed_rank(

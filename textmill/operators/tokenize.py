@@ -28,20 +28,21 @@ def wordpiece(words: DataFrame, vocab: DataFrame, unk: str = "[UNK]", max_chars:
     ).scalar()
     unk_id = vocab.filter(F.col("token") == unk).agg(F.min("id")).scalar()
     length = F.length("word")
-    starts = words.select(
-        "word", F.explode(F.when(length <= max_chars, F.sequence(F.lit(1), length)).otherwise(
-            F.array().cast("array<int>"))).alias("start"),
-    )
-    candidates = starts.select(
-        "word", "start", F.explode(F.sequence(F.lit(1), F.least(longest, length - F.col("start") + 1))).alias("len"),
+    fits = length <= max_chars
+    starts = words.withColumn("start", F.explode(F.sequence(F.lit(1), F.when(fits, length).otherwise(1))))
+    candidates = starts.withColumn(
+        "len", F.explode(F.sequence(F.lit(1), F.least(longest, length - F.col("start") + 1)))
     ).withColumn(
         "token",
         F.concat(F.when(F.col("start") > 1, "##").otherwise(""), F.substring("word", F.col("start"), F.col("len"))),
     )
-    hit = F.struct("start", (-F.col("len")).alias("neg"), "token", "id")
+    # One-character candidates stay even without a match, so that no word vanishes. Rows of a word never
+    # leave its partition: grouping by word needs no exchange when the words come counted.
+    hit = F.when(F.col("id").isNotNull(), F.struct("start", (-F.col("len")).alias("neg"), "token", "id"))
     found = (
-        candidates.join(vocab.select("token", "id"), "token")
-        .groupBy("word").agg(F.sort_array(F.collect_list(hit)).alias("hits"))
+        candidates.join(vocab.select("token", "id"), "token", "left")
+        .filter(F.col("id").isNotNull() | (F.col("len") == 1))
+        .groupBy(*words.columns).agg(F.sort_array(F.collect_list(hit)).alias("hits"))
     )
     begin = F.struct(
         F.lit(1).alias("at"), F.array().cast("array<string>").alias("pieces"), F.array().cast("array<int>").alias("ids")
@@ -55,9 +56,9 @@ def wordpiece(words: DataFrame, vocab: DataFrame, unk: str = "[UNK]", max_chars:
         )
         return F.when(h["start"] == acc["at"], taken).otherwise(acc)
 
-    walked = found.select("word", F.aggregate("hits", begin, step).alias("w"))
-    whole = F.col("w.at") == length + 1  # null when nothing matched
-    return words.join(walked, "word", "left").select(
+    walked = found.select(*words.columns, F.aggregate("hits", begin, step).alias("w"))
+    whole = fits & (F.col("w.at") == length + 1)
+    return walked.select(
         *words.columns,
         F.when(whole, F.col("w.pieces")).otherwise(F.array(F.lit(unk))).alias("pieces"),
         F.when(whole, F.col("w.ids")).otherwise(F.array(unk_id)).alias("ids"),

@@ -12,6 +12,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Word tables are small in bytes but costly per row: keep every core busy rather than merge to 1 MB.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     # collect_list groups are short lines and words, so keep many of them in the hash map
     # before falling back to sorting (the default falls back at 128 groups).

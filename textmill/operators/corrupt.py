@@ -206,7 +206,8 @@ def preview_masked(df: DataFrame, vocab: DataFrame, keys: list[str] | None = Non
     """(keys, preview): tokens of an example up to the padding, originals of masked slots in brackets."""
     keys = keys or KEYS
     originals = F.map_from_arrays("positions", "masked_lm_ids")
-    long = df.select(*keys, originals.alias("o"), F.posexplode(ids).alias("pos", "id")).select(
+    # The outer form: a plain explode infers a filter that repeats the whole masking expression below.
+    long = df.select(*keys, originals.alias("o"), F.posexplode_outer(ids).alias("pos", "id")).select(
         *keys, "pos", "id", F.element_at("o", F.col("pos")).alias("orig")
     )
     names = vocab.select("id", "token")

@@ -117,7 +117,7 @@ def pad(
 def trim_batch(df: DataFrame, batch: list[str], columns: list[str], pad_id: int = 0) -> DataFrame:
     """Drops the columns of a batch that hold padding in every row."""
     used = (
-        df.select(*batch, F.posexplode("input_ids").alias("pos", "id"))
+        df.select(*batch, F.posexplode_outer("input_ids").alias("pos", "id"))
         .filter(F.col("id") != pad_id).select(*batch, "pos").distinct()
         .groupBy(*batch).agg(F.sort_array(F.collect_list("pos")).alias("_used"))  # at most one per column
     )

@@ -108,7 +108,7 @@ BY = "GROUP BY doc_id, max_len, ex"
 
 @S("mask_candidates", query(f"SELECT {HEAD}, string_agg(pos, ' ' ORDER BY pos) AS candidates FROM candidate {BY}"))
 def _(w):
-    return candidates(w).select(*KEYS, "candidates").filter(F.size("candidates") > 0)
+    return candidates(w).select(*KEYS, "candidates")
 
 
 @S("mask_budget", query(f"SELECT {HEAD}, budget FROM budgets"))

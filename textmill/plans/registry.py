@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textmill.plans import corpus, encoding, examples, vocabulary
+from textmill.plans import corpus, encoding, examples, logs, scores, tasks, vocabulary
 
-MODULES = [corpus, vocabulary, encoding, examples]
+MODULES = [corpus, vocabulary, encoding, examples, tasks, scores, logs]
 
 
 def queries() -> dict:

@@ -122,12 +122,8 @@ def trim_batch(df: DataFrame, batch: list[str], columns: list[str], pad_id: int
         .groupBy(*batch).agg(F.sort_array(F.collect_list("pos")).alias("_used"))  # at most one per column
     )
     joined = df.join(used, batch, "left")
-    pick = {
-        name: F.transform(
-            F.coalesce("_used", empty_ids()), lambda p, name=name: F.element_at(F.col(name), p + 1)
-        ) for name in columns
-    }
-    return joined.withColumns(pick).drop("_used")
+    pick = lambda name: F.transform(F.coalesce("_used", empty_ids()), lambda p: F.element_at(F.col(name), p + 1))
+    return joined.withColumns({name: pick(name) for name in columns}).drop("_used")
 
 
 def stride_windows(

@@ -170,7 +170,8 @@ PART["metric_log"] = """
 def metric_log(w):
     kind = F.col("event_type")
     return w.table("events").select(
-        "event_id", F.pmod("user_id", F.lit(4)).alias("rank"), F.col("event_id").alias("step"), "value", "ts",
+        "event_id", F.pmod("user_id", F.lit(4)).alias("rank"), F.col("event_id").alias("step"), "value",
+        F.col("ts").cast("timestamp").alias("ts"),
         F.when(kind == "click", "disc_accuracy").when(kind == "view", "train_perf").when(kind == "error", "total_loss")
         .otherwise(kind).alias("metric"),
     )

@@ -189,7 +189,7 @@ def _(w):
 
 
 @S("char_to_token", query(f"""
-  SELECT c.doc_id, c.no, c.at, o.word_no, o.piece_no, o.token FROM (
+  SELECT c.doc_id, c.no, c.at, coalesce(o.word_no, -1) AS word_no, coalesce(o.piece_no, -1) AS piece_no, coalesce(o.token, '') AS token FROM (
     SELECT doc_id, no, floor({draw('char', 'doc_id', 'no')} * n_chars)::BIGINT AS at
     FROM documents, (SELECT unnest(range(5)) AS no)) c
   LEFT JOIN offsets o ON o.doc_id = c.doc_id AND o.s <= c.at AND c.at < o.e"""))
@@ -197,4 +197,7 @@ def _(w):
     asked = w.documents.select("doc_id", "n_chars", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("no")).select(
         "doc_id", "no", F.floor(uniform(0, "char", "doc_id", "no") * F.col("n_chars")).alias("at")
     )
-    return T.char_to_token(offsets(w), asked, ["doc_id"], "at").select("doc_id", "no", "at", "word_no", "piece_no", "token")
+    found = T.char_to_token(offsets(w), asked, ["doc_id"], "at")
+    return found.select("doc_id", "no", "at", "word_no", "piece_no", "token").fillna(
+        {"word_no": -1, "piece_no": -1, "token": ""}  # characters between words
+    )

@@ -33,7 +33,7 @@ PERCENT = "CASE WHEN metric LIKE '%accuracy%' THEN 100 ELSE 1 END"
 
 @S("metric_windows", query(f"""
   SELECT rank, metric, (ceil(step / 10.0) * 10)::BIGINT AS step, round(avg(value) * {PERCENT}, 6) AS value
-  FROM metric_log GROUP BY ALL"""))
+  FROM metric_log GROUP BY 1, 2, 3"""))
 def _(w):
     return L.metric_windows(metric_log(w), 10)
 
@@ -132,7 +132,7 @@ def _(w):
 @S("metric_windows_stream", query(f"""
   SELECT start, rank, metric, round(mean * {PERCENT}, 6) AS value, n FROM (
     SELECT epoch(date_trunc('day', ts))::BIGINT AS start, rank, metric, avg(value) AS mean, count(*) AS n
-    FROM metric_log GROUP BY ALL)
+    FROM metric_log GROUP BY 1, 2, 3)
   WHERE start + 86400 <= (SELECT epoch(max(ts) - INTERVAL 1 HOUR) FROM metric_log)"""))
 def _(w):
     log = metric_log(w).select("rank", "metric", "value", "ts")

@@ -27,7 +27,7 @@ def S(name, sql=None):
 
 
 PART["scored"] = f"""
-  SELECT vec_id, label::BIGINT AS ref, embedding, list_position(l, list_max(l)) - 1 AS pred,
+  SELECT vec_id, label::BIGINT AS ref, embedding, (list_position(l, list_max(l)) - 1)::BIGINT AS pred,
          0.5 + {draw('weight', 'vec_id')} AS weight, embedding[1]::DOUBLE AS x
   FROM (SELECT *, embedding[1:10] AS l FROM embeddings)"""
 

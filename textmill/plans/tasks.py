@@ -82,9 +82,9 @@ def _(w):
 
 PART["qa_example"] = f"""
   SELECT doc_id AS id, doc_id % (SELECT count(*) FROM benchmark) AS question_id, doc_id AS context_id,
-         CASE WHEN has THEN at END AS answer_start, CASE WHEN has THEN substr(text, at + 1, n) END AS answer_text,
-         substr(text, at + 1, n2) AS guess, text
-  FROM (SELECT doc_id, text, floor({draw('at', 'doc_id')} * length(text))::BIGINT AS at,
+         CASE WHEN has THEN at_char END AS answer_start, CASE WHEN has THEN substr(text, at_char + 1, n) END AS answer_text,
+         substr(text, at_char + 1, n2) AS guess, text
+  FROM (SELECT doc_id, text, floor({draw('at', 'doc_id')} * length(text))::BIGINT AS at_char,
                1 + floor({draw('len', 'doc_id')} * 40)::BIGINT AS n,
                1 + floor({draw('len2', 'doc_id')} * 40)::BIGINT AS n2, {draw('has', 'doc_id')} < 0.8 AS has FROM documents)"""
 PART["question_occ"] = f"""

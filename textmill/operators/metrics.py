@@ -106,31 +106,41 @@ def spearman(df: DataFrame, x: str, y: str, pvalue: bool = False) -> DataFrame:
     return out.select("rho", two_sided_p(F.col("rho"), F.col("n")).alias("p")) if pvalue else out.select("rho")
 
 
-def entity_spans(tags: DataFrame, sentence: list[str], pos: str, tag: str) -> DataFrame:
-    """(sentence, type, s, e): runs of IOB tags; an inside tag without its begin opens a span."""
+def _opens(row: Window, tag: str) -> Column:
+    """Whether a tag begins a span: B, or I after O, after another type or at the start."""
+    kind = lambda c: F.substring(c, 3, 1 << 30)
+    before = F.lag(tag).over(row)
+    fresh = F.coalesce((before == "O") | (kind(before) != kind(F.col(tag))), F.lit(True))
+    return (F.col(tag) != "O") & (F.col(tag).startswith("B") | fresh)
+
+
+def _tag_spans(tags: DataFrame, sentence: list[str], pos: str, sides: list[str]) -> DataFrame:
+    """(sentence, side, type, s, e): the spans of several tag columns from one sort per sentence."""
     row = Window.partitionBy(*sentence).orderBy(pos)
-    kind = F.substring(F.col(tag), 3, 1 << 30)
-    opens = (F.col(tag) != "O") & (
-        F.col(tag).startswith("B") | F.coalesce((F.col("_prev") == "O") | (F.col("_prev_kind") != kind), F.lit(True))
-    )
-    marked = (
-        tags.withColumn("_prev", F.lag(tag).over(row)).withColumn("_prev_kind", F.substring("_prev", 3, 1 << 30))
-        .withColumn("_span", F.sum(opens.cast("int")).over(row))
-        .filter(F.col(tag) != "O")
-    )
-    return marked.groupBy(*sentence, "_span").agg(
-        F.first(kind).alias("type"), F.min(pos).alias("s"), F.max(pos).alias("e")
+    opened = tags.withColumns({f"_open{i}": _opens(row, tag).cast("int") for i, tag in enumerate(sides)})
+    numbered = opened.withColumns({f"_span{i}": F.sum(f"_open{i}").over(row) for i in range(len(sides))})
+    stacked = F.array(*[
+        F.struct(F.lit(i).alias("side"), F.col(tag).alias("tag"), F.col(f"_span{i}").alias("span"))
+        for i, tag in enumerate(sides)
+    ])
+    long = numbered.select(*sentence, F.col(pos).alias("_pos"), F.explode(stacked).alias("_x")).filter("_x.tag <> 'O'")
+    return long.groupBy(*sentence, F.col("_x.side").alias("side"), F.col("_x.span").alias("_span")).agg(
+        F.first(F.substring("_x.tag", 3, 1 << 30)).alias("type"), F.min("_pos").alias("s"), F.max("_pos").alias("e")
     ).drop("_span")
 
 
+def entity_spans(tags: DataFrame, sentence: list[str], pos: str, tag: str) -> DataFrame:
+    """(sentence, type, s, e): runs of IOB tags; an inside tag without its begin opens a span."""
+    return _tag_spans(tags, sentence, pos, [tag]).drop("side")
+
+
 def entity_scores(tags: DataFrame, sentence: list[str], pos: str, pred: str, ref: str) -> DataFrame:
-    """One row: exact-match precision, recall, F1 and token accuracy. Ignored tokens (null or -100 tags in the
-    reference) must be filtered or null in ``ref``."""
+    """One row: exact-match precision, recall, F1 and token accuracy. Tokens whose reference tag is null or
+    -100 are ignored. Everything after the shuffle by sentence stays in its partition up to the last sum."""
     used = tags.filter(F.col(ref).isNotNull() & (F.col(ref).cast("string") != "-100"))
-    guessed = entity_spans(used, sentence, pos, pred).withColumn("p", F.lit(1)).withColumn("r", F.lit(0))
-    actual = entity_spans(used, sentence, pos, ref).withColumn("p", F.lit(0)).withColumn("r", F.lit(1))
-    matched = guessed.unionByName(actual).groupBy(*sentence, "type", "s", "e").agg(
-        F.max("p").alias("p"), F.max("r").alias("r")
+    spans = _tag_spans(used, sentence, pos, [pred, ref])
+    matched = spans.groupBy(*sentence, "type", "s", "e").agg(
+        F.max((F.col("side") == 0).cast("int")).alias("p"), F.max((F.col("side") == 1).cast("int")).alias("r")
     )
     counts = matched.agg(
         F.sum(F.col("p") * F.col("r")).cast("double").alias("tp"), F.sum("p").cast("double").alias("n_pred"),

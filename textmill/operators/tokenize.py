@@ -8,8 +8,9 @@ from textmill.functions.stage import materialize
 from textmill.functions.text import PUNCTUATION, SPECIAL_TOKENS, lower_plain, words_of
 
 # The most frequent words, which cover most of a corpus, are joined by broadcast. The bound is this
-# constant whatever the corpus size; every other word goes through a shuffle join, where no key is hot.
-HOT_WORDS = 100_000
+# constant whatever the corpus size (some 40 MB of words and ids); every other word goes through a shuffle
+# join, where no key is hot.
+HOT_WORDS = 400_000
 
 
 def pretokenize(df: DataFrame, keys: list[str], text: str, lower: bool = True) -> DataFrame:
@@ -36,32 +37,40 @@ def wordpiece(words: DataFrame, vocab: DataFrame, unk: str = "[UNK]", max_chars:
         "token",
         F.concat(F.when(F.col("start") > 1, "##").otherwise(""), F.substring("word", F.col("start"), F.col("len"))),
     )
+    # A match is one number: start, then the longest length first, then the id. Lengths stay below 128
+    # because longer words are unknown as a whole.
+    packed = F.shiftleft(
+        (F.col("start") * 128 + 127 - F.col("len")).cast("bigint"), 32
+    ).bitwiseOR(F.col("id").cast("bigint"))
     # One-character candidates stay even without a match, so that no word vanishes. Rows of a word never
     # leave its partition: grouping by word needs no exchange when the words come counted.
-    hit = F.when(F.col("id").isNotNull(), F.struct("start", (-F.col("len")).alias("neg"), "token", "id"))
     found = (
         candidates.join(vocab.select("token", "id"), "token", "left")
         .filter(F.col("id").isNotNull() | (F.col("len") == 1))
-        .groupBy(*words.columns).agg(F.sort_array(F.collect_list(hit)).alias("hits"))
-    )
-    begin = F.struct(
-        F.lit(1).alias("at"), F.array().cast("array<string>").alias("pieces"), F.array().cast("array<int>").alias("ids")
+        .groupBy(*words.columns).agg(F.sort_array(F.collect_list(packed)).alias("hits"))
     )
+    begin = F.struct(F.lit(1).alias("at"), F.array().cast("array<bigint>").alias("taken"))
 
     def step(acc: Column, h: Column) -> Column:
-        taken = F.struct(
-            (h["start"] - h["neg"]).alias("at"),
-            F.concat(acc["pieces"], F.array(h["token"])).alias("pieces"),
-            F.concat(acc["ids"], F.array(h["id"])).alias("ids"),
-        )
-        return F.when(h["start"] == acc["at"], taken).otherwise(acc)
+        place = F.shiftright(h, 32)
+        start, len_ = F.shiftright(place, 7), F.lit(127) - place.bitwiseAND(F.lit(127))
+        return F.when(
+            start == acc["at"],
+            F.struct((start + len_).cast("int").alias("at"), F.concat(acc["taken"], F.array(h)).alias("taken")),
+        ).otherwise(acc)
+
+    def piece(h: Column) -> Column:
+        place = F.shiftright(h, 32)
+        start, len_ = F.shiftright(place, 7).cast("int"), (F.lit(127) - place.bitwiseAND(F.lit(127))).cast("int")
+        return F.concat(F.when(start > 1, "##").otherwise(""), F.substring(F.col("word"), start, len_))
 
     walked = found.select(*words.columns, F.aggregate("hits", begin, step).alias("w"))
     whole = fits & (F.col("w.at") == length + 1)
+    code = F.transform("w.taken", lambda h: h.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
     return walked.select(
         *words.columns,
-        F.when(whole, F.col("w.pieces")).otherwise(F.array(F.lit(unk))).alias("pieces"),
-        F.when(whole, F.col("w.ids")).otherwise(F.array(unk_id)).alias("ids"),
+        F.when(whole, F.transform("w.taken", piece)).otherwise(F.array(F.lit(unk))).alias("pieces"),
+        F.when(whole, code).otherwise(F.array(unk_id)).alias("ids"),
     )
 
 

@@ -19,6 +19,7 @@ def test_cleaning_and_splitting(spark):
     assert words(spark, "éa", lower=True) == ["ea"]
     assert words(spark, "Say [MASK] Now[SEP]", lower=True) == ["say", "[MASK]", "now", "[SEP]"]
     assert words(spark, "say [mask]", lower=True) == ["say", "[", "mask", "]"]
+    assert words(spark, "İx", lower=True) == ["ix"]
     assert words(spark, "", lower=True) == []
 
 

@@ -20,6 +20,10 @@ IDEOGRAPHS = (
 
 WORD = rf"[{PUNCTUATION}]|[^\p{{Z}}{PUNCTUATION}]+"
 SPECIAL = "|".join(t.replace("[", r"\[").replace("]", r"\]") for t in SPECIAL_TOKENS)
+# What the quick path of word splitting cannot take: dropped characters, free combining marks (and the
+# dotted capital I, whose small form has one), ideographs and special tokens.
+RARE_PLAIN = rf"[\p{{C}}\p{{Mn}}\x{{FFFD}}\x{{130}}&&[^\t\n\r]]|{SPECIAL}"
+RARE = rf"[\p{{C}}\p{{Mn}}\x{{FFFD}}\x{{130}}{IDEOGRAPHS}&&[^\t\n\r]]|{SPECIAL}"
 # Vocabulary learning keeps runs: word characters together, everything else that is not blank together.
 RUN_CHARS = r"\p{L}\p{M}\p{N}\p{Pc}"
 RUN = rf"[{RUN_CHARS}]+|[^{RUN_CHARS}\p{{Z}}\s]+"
@@ -58,21 +62,22 @@ def space_ideographs(text) -> Column:
 
 def words_of(text, lower: bool = True, ideographs: bool = True) -> Column:
     """Array of words: special tokens whole, each punctuation character on its own."""
+    text = as_column(text)
     spaced = clean(text)
     if ideographs:
         spaced = space_ideographs(spaced)
-    folded = lower_plain(spaced) if lower else spaced
-    plain = F.regexp_extract_all(folded, F.lit(WORD), F.lit(0))
-    guarded = F.regexp_extract_all(spaced, F.lit(f"{SPECIAL}|{WORD}"), F.lit(0))
+    careful = F.regexp_extract_all(spaced, F.lit(f"{SPECIAL}|{WORD}"), F.lit(0))
     if lower:
         keep = F.array(*[F.lit(t) for t in SPECIAL_TOKENS])
-        guarded = F.filter(
-            F.transform(guarded, lambda w: F.when(F.array_contains(keep, w), w).otherwise(lower_plain(w))),
+        careful = F.filter(
+            F.transform(careful, lambda w: F.when(F.array_contains(keep, w), w).otherwise(lower_plain(w))),
             lambda w: w != "",
         )
-    # The per-word path costs more, so only texts that hold a special token take it.
-    marked = as_column(text).contains("[") & as_column(text).rlike(SPECIAL)
-    return F.when(marked, guarded).otherwise(plain)
+    # Most texts hold nothing that needs care: one scan tells, and one character mapping then does it all.
+    source, target = accent_table() if lower else ("", "")
+    mapped = F.translate(F.lower(text) if lower else text, "\t\n\r" + source, "   " + target)
+    quick = F.regexp_extract_all(mapped, F.lit(WORD), F.lit(0))
+    return F.when(text.rlike(RARE if ideographs else RARE_PLAIN), careful).otherwise(quick)
 
 
 def runs_of(text) -> Column:

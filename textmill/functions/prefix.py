@@ -31,14 +31,16 @@ def _bucketed(df: DataFrame, group: list[str], order: list, value: Column, out:
 
 
 def running_total(
-    df: DataFrame, order: str, value: Column, out: str, group: list[str] | None = None, buckets: int = 256
+    df: DataFrame, order: str, value: Column, out: str, group: list[str] | None = None, buckets: int = 256,
+    ties: list[str] | None = None,
 ) -> DataFrame:
-    """Sum of ``value`` over the rows that come before in ``order`` (numeric, unique within a group)."""
+    """Sum of ``value`` over the rows that come before in ``order`` (numeric) and then ``ties``, which
+    together are unique within a group. Equal order values share a bucket, so they should be few."""
     shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     bounds = df.agg(F.percentile_approx(order, shares, 10 * buckets).alias("bounds"))
     place = F.size(F.filter("_bounds", lambda b: b < F.col(order)))
     placed = df.withColumn("_bounds", bounds.scalar()).withColumn("_bucket", place).drop("_bounds")
-    return _bucketed(placed, group or [], [F.col(order)], value, out)
+    return _bucketed(placed, group or [], [F.col(c) for c in [order, *(ties or [])]], value, out)
 
 
 def hashed_rank(

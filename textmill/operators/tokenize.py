@@ -123,7 +123,8 @@ def to_ids(pieces: DataFrame, vocab: DataFrame, unk: str = "[UNK]", keep: list[s
     unk_id = vocab.filter(F.col("token") == unk).agg(F.min("id")).scalar()
     rank = F.when(F.col("source") == "added", 0).otherwise(1)
     chosen = vocab.groupBy("token").agg(F.min(F.struct(rank.alias("r"), "id"))["id"].alias("_id"))
-    return pieces.join(F.broadcast(chosen), "token", "left").select(
+    # No hint: added tokens have no fixed bound, so Catalyst decides by size.
+    return pieces.join(chosen, "token", "left").select(
         *(keep or pieces.columns), F.coalesce("_id", unk_id).alias("id")
     )
 
@@ -199,12 +200,19 @@ def token_offsets(df: DataFrame, keys: list[str], text: str, vocab: DataFrame, l
     )
 
 
+SPAN_BUCKET = 64
+
+
 def char_to_token(offsets: DataFrame, chars: DataFrame, keys: list[str], char: str) -> DataFrame:
-    """The token that covers each asked character: an equi-join on the text with a range condition."""
-    o, c = offsets.alias("o"), chars.alias("c")
-    same = [F.col(f"c.{k}") == F.col(f"o.{k}") for k in keys]
-    covers = (F.col("o.s") <= F.col(f"c.{char}")) & (F.col(f"c.{char}") < F.col("o.e"))
-    condition = covers
-    for s in same:
-        condition = condition & s
-    return c.join(o, condition, "left").select("c.*", "o.word_no", "o.piece_no", "o.token", "o.s", "o.e")
+    """The token that covers each asked character.
+
+    A range join within a text, by equal buckets of characters: a token stands in each bucket it touches
+    (few, as words are short), a character in exactly one, so long texts do not compare all pairs.
+    """
+    touched = F.sequence(F.floor(F.col("s") / SPAN_BUCKET), F.floor((F.col("e") - 1) / SPAN_BUCKET))
+    o = offsets.withColumn("_bucket", F.explode(touched)).alias("o")
+    c = chars.withColumn("_bucket", F.floor(F.col(char) / SPAN_BUCKET)).alias("c")
+    condition = (F.col("o.s") <= F.col(f"c.{char}")) & (F.col(f"c.{char}") < F.col("o.e"))
+    for k in [*keys, "_bucket"]:
+        condition = condition & (F.col(f"c.{k}") == F.col(f"o.{k}"))
+    return c.join(o, condition, "left").select("c.*", "o.word_no", "o.piece_no", "o.token", "o.s", "o.e").drop("_bucket")

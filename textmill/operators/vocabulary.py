@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from textmill.functions.prefix import running_total
 from textmill.functions.text import SPECIAL_TOKENS, runs_of
 from textmill.session import shared_folder
 
@@ -149,10 +150,7 @@ def learn_wordpiece(counts: DataFrame, merges: int, per_round: int = 1, checkpoi
 
 
 def add_tokens(vocab: DataFrame, new: DataFrame, order: str, lower: bool = False) -> DataFrame:
-    """Append unknown tokens (first occurrence order), with ids from the current size on.
-
-    Vocabulary tables are bounded (see :func:`assemble_vocab`), and so are hand-made token lists.
-    """
+    """Append unknown tokens (first occurrence order), with ids from the current size on."""
     token = F.col("token")
     if lower:
         token = F.when(token.isin(SPECIAL_TOKENS), token).otherwise(F.lower(token))
@@ -162,10 +160,8 @@ def add_tokens(vocab: DataFrame, new: DataFrame, order: str, lower: bool = False
         .join(vocab.select("token"), "token", "left_anti")
     )
     size = vocab.agg(F.count("*")).scalar()
-    numbered = fresh.select(
-        "token",
-        (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_o", "token")) - 1 + size).cast("int").alias("id"),
-        F.lit("added").alias("source"),
+    numbered = running_total(fresh, "_o", F.lit(1), "_before", ties=["token"]).select(
+        "token", (F.col("_before") + size).cast("int").alias("id"), F.lit("added").alias("source")
     )
     return vocab.select("token", "id", "source").unionByName(numbered)
 

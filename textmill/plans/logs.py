@@ -123,8 +123,9 @@ def _(w):
     )
     path = new_folder(w.spark, "line-stream")
     # Several files, so that the lines of a document reach the stream in several micro-batches.
-    lines.withColumn("file", F.pmod(F.col("i"), F.lit(3))).repartition("file").drop("file").write.parquet(path)
-    stream = w.spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    lines.withColumn("part", F.pmod(F.col("i"), F.lit(3))).repartition("part", "doc_id").drop("part").write.parquet(path)
+    per_batch = max(1, len(w.spark.read.parquet(path).inputFiles()) // 3)
+    stream = w.spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
     return run_to_end(w, pack_lines_stream(stream), "packed-stream").select(
         "doc_id", "max_len", "ex", "target", "first_line", "n_lines")
 

@@ -12,8 +12,8 @@ from textmill.session import local_session
 
 HEADLINE = [
     "word_counts", "clean_pages", "sentence_segment", "shard_by_line", "assemble_vocab", "wordpiece", "encode_pairs",
-    "assemble_examples", "build_examples", "replace_tokens", "token_offsets", "stride_windows", "align_labels",
-    "training_batches", "coverage_report", "entity_scores", "metric_windows", "merge_rank_logs", "squad_scores",
+    "assemble_examples", "build_examples", "replace_tokens", "token_offsets", "stride_windows",
+    "coverage_report", "entity_scores", "metric_windows", "merge_rank_logs", "squad_scores",
 ]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textmill.functions.stage import spread
+from textmill.functions.stage import materialize, spread
 from textmill.operators.vocabulary import add_tokens
 from textmill.plans.report import shown
 from textmill.plans.sqlparts import BLANKS, PART, draw, q, query
@@ -143,12 +143,17 @@ def _(w):
     return vocabfile.id_gaps(w.vocab.filter("source <> 'letter'"))
 
 
+def example_keys(w):
+    """Placement reads its rows more than once; written keys keep packing from running again for each."""
+    return materialize(w.examples().select("doc_id", "ex"), "example-keys")
+
+
 @S("place_examples", query(f"""
   SELECT doc_id, ex::BIGINT AS ex, job, seq, job + 4 * (seq % ceil((30 - job) / 4.0)::BIGINT) AS out_file FROM (
     SELECT *, row_number() OVER (PARTITION BY job ORDER BY doc_id, ex) - 1 AS seq FROM (
       SELECT doc_id, ex, floor({draw('job', 'doc_id')} * 4)::BIGINT AS job FROM segments))"""))
 def _(w):
-    return layout.place_examples(w.examples(), 30, 4).select("doc_id", "ex", "job", "seq", "out_file")
+    return layout.place_examples(example_keys(w), 30, 4).select("doc_id", "ex", "job", "seq", "out_file")
 
 
 @S("training_batches", query(f"""
@@ -157,7 +162,7 @@ def _(w):
       SELECT doc_id, ex, e.epoch, (doc_id % 100) % 8 AS rank, {draw('order', "'epoch'", 'doc_id', 'ex')} AS u
       FROM segments, (SELECT unnest(range(2)) AS epoch) e))""").replace("concat_ws(':', '0', 'order', 'epoch',", "concat_ws(':', '0', 'order', e.epoch,"))
 def _(w):
-    return layout.training_batches(w.examples(), ["doc_id", "ex"], F.pmod("doc_id", F.lit(100)), 32, 8, epochs=2)
+    return layout.training_batches(example_keys(w), ["doc_id", "ex"], F.pmod("doc_id", F.lit(100)), 32, 8, epochs=2)
 
 
 PART["metric_log"] = """

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import chat, orc_ids, packing, quality, sharding, simhash
+from textmill.llm import chat, language, orc_ids, packing, personal, quality, sharding, simhash
 from textmill.session import new_folder
 
 
@@ -20,6 +20,14 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(documents(spark, folder))
+
+
+def op2_personal(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.personal_spans(documents(spark, folder))
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder))
 
@@ -47,7 +55,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op5_simhash, op6_chat, op8_orc_ids, op9_quality, op10_packing)}
+    registered = (
+        op1_language, op2_personal, op3_sharding, op5_simhash, op6_chat, op8_orc_ids, op9_quality, op10_packing
+    )
+    return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:

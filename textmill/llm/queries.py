@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import chat, language, orc_ids, packing, personal, quality, sharding, simhash
+from textmill.llm import chat, language, orc_ids, packing, personal, quality, repeats, sharding, simhash
 from textmill.session import new_folder
 
 
@@ -40,6 +40,10 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.chat_format(spark.read.parquet(f"{folder}/conversations.parquet")))
 
 
+def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, folder)).drop("kept")
+
+
 def op8_orc_ids(spark: SparkSession, folder: str) -> DataFrame:
     written = new_folder(spark, "orc-ids")
     orc_ids.write_ids(documents(spark, folder), written, tokenizer_file("word_bpe_49k.json"))
@@ -56,7 +60,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
-        op1_language, op2_personal, op3_sharding, op5_simhash, op6_chat, op8_orc_ids, op9_quality, op10_packing
+        op1_language, op2_personal, op3_sharding, op5_simhash, op6_chat, op7_repeats, op8_orc_ids, op9_quality, op10_packing
     )
     return {f.__name__: f for f in registered}
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-import regex
 from tokenizers import Tokenizer
 
 # White space as the tokenizers' patterns know it.
@@ -20,11 +19,14 @@ SPACE = r"\t-\r \x85\xa0" + "".join(f"\\u{c:04x}" for c in (0x1680, *range(0x200
 SPACED = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 # Word-level, where white space is dropped: what stands between the plain ones.
 PLAIN = re.compile(r"[^ \n\r\t]+")
-# The two files' own splitting patterns, applied inside a piece.
-SPACED_INNER = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+")
-PLAIN_INNER = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-# Pieces of visible Latin-1 characters have no combining marks and lower-case one by one.
-VISIBLE = re.compile(r" ?[!-~\xa1-\xff]+")
+# The same patterns with Latin-1's own letters, numbers and white space, for texts of nothing else: such texts
+# have no combining marks and lower-case character by character.
+LETTER, NUMBER, BLANK = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+SPACED_LATIN = re.compile(
+    f"{ENDINGS}| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{BLANK}{LETTER}{NUMBER}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
+)
+PLAIN_LATIN = re.compile(f"{ENDINGS}|[{LETTER}]+|[{NUMBER}]|[^{BLANK}{LETTER}{NUMBER}]+")
 
 
 def byte_letters() -> list[str]:
@@ -59,18 +61,17 @@ class _Memory(dict):
 class IdEncoder:
     """Calls give a text's ids as little-endian 16-bit numbers. ``pieces_kept`` bounds the memory's entries."""
 
-    def __init__(self, path: str, pieces_kept: int = 500_000):
+    def __init__(self, path: str, pieces_kept: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size(with_added_tokens=True) > 65536:
             raise ValueError("ids must fit in 16 bits")
         specials = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, specials)) or r"(?!)", re.IGNORECASE)
         self.lowers = self.tokenizer.normalizer is not None
-        self.pieces, self.inner = (PLAIN, PLAIN_INNER) if self.lowers else (SPACED, SPACED_INNER)
-        letters = dict(enumerate(byte_letters()))
-        self.model, self.letters = self.tokenizer.model, letters
+        self.pieces, self.latin = (PLAIN, PLAIN_LATIN) if self.lowers else (SPACED, SPACED_LATIN)
+        self.model, self.letters = self.tokenizer.model, dict(enumerate(byte_letters()))
         self.words = _Memory(self._word, pieces_kept)
-        self.known = _Memory(self._piece, pieces_kept)
+        self.others = _Memory(self._whole, pieces_kept // 8)
 
     def _whole(self, text: str) -> bytes:
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -80,16 +81,15 @@ class IdEncoder:
         shown = word.encode().decode("latin-1").translate(self.letters)
         return packed([token.id for token in self.model.tokenize(shown)])
 
-    def _piece(self, piece: str) -> bytes:
-        if not VISIBLE.fullmatch(piece):
-            return self._whole(piece)
-        inner = self.inner.findall(piece.lower() if self.lowers else piece)
-        return b"".join(map(self.words.__getitem__, inner))
-
     def __call__(self, text: str) -> bytes:
         if "<|" in text and self.special.search(text):
             return self._whole(text)
-        return b"".join(map(self.known.__getitem__, self.pieces.findall(text)))
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return b"".join(map(self.others.__getitem__, self.pieces.findall(text)))
+        words = self.latin.findall(text.lower() if self.lowers else text)
+        return b"".join(map(self.words.__getitem__, words))
 
 
 _open: dict[str, IdEncoder] = {}

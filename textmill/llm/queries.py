@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import chat, language, orc_ids, packing, personal, quality, repeats, sharding, simhash
+from textmill.llm import chat, decontaminate, language, orc_ids, packing, personal, quality, repeats, sharding, simhash
 from textmill.session import new_folder
 
 
@@ -32,6 +32,10 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder))
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
@@ -60,7 +64,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
-        op1_language, op2_personal, op3_sharding, op5_simhash, op6_chat, op7_repeats, op8_orc_ids, op9_quality, op10_packing
+        op1_language, op2_personal, op3_sharding, op4_decontaminate, op5_simhash, op6_chat, op7_repeats, op8_orc_ids,
+        op9_quality, op10_packing,
     )
     return {f.__name__: f for f in registered}
 

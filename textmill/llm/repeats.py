@@ -13,6 +13,7 @@ reach to the left and by the bytes they then have in common, again and again dow
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -61,11 +62,7 @@ def segments(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, least: i
     return hashes[anchor[new]].view(np.int64), first, at[last] - first + least, anchor[new] - first
 
 
-def place(first: Column, size: Column, anchor: Column) -> Column:
-    """A segment's first byte in its text, its size and its anchor's place, in one number."""
-    return (F.shiftleft(first.cast("long"), 20) + F.shiftleft(size.cast("long"), 10) + anchor).alias("place")
-
-
+# ``place``: a segment's first byte in its text, its size and where its anchor is in it, in one number.
 def first_of(p: str = "place") -> Column:
     return F.shiftright(F.col(p), 20)
 
@@ -229,8 +226,26 @@ def bucket_runs(parts: DataFrame, least: int) -> DataFrame:
     return parts.groupBy("bucket").applyInPandas(work, "anchor long, seg long, runs array<struct<first:int,end:int>>")
 
 
-def split_large(large: DataFrame, rows: DataFrame, least: int) -> DataFrame:
-    """The segments of ``large``, whose strings reach ``low`` to ``high`` bytes left of their anchor, in two halves.
+def cut_parts(rows: DataFrame, distinct: DataFrame, least: int) -> DataFrame:
+    """The bytes of the ``distinct`` segments (anchor, seg, copies, key, doc_id, place), out of the texts of ``rows``.
+
+    ``inner``: where the anchor is in the part; ``low`` and ``high``: how far left of it the part's strings reach
+    at least and at most; ``offset``: where the part is in the segment ``root_anchor``, ``root_seg``.
+    """
+    wanted = distinct.groupBy("key", "doc_id").agg(
+        F.collect_list(F.struct("anchor", "seg", "copies", "place")).alias("wanted")
+    )
+    same = F.col("w.key").eqNullSafe(F.col("r.key")) & F.col("w.doc_id").eqNullSafe(F.col("r.doc_id"))
+    cut = rows.alias("r").join(wanted.alias("w"), same).select(F.col("r.text").cast("binary").alias("text"), F.inline("wanted"))
+    return cut.select(
+        F.col("anchor").alias("root_anchor"), F.col("seg").alias("root_seg"), F.lit(0).alias("offset"), "copies",
+        "anchor", "seg", anchor_of().cast("int").alias("inner"), F.lit(0).alias("low"), F.lit(least - GRAM).alias("high"),
+        F.substring("text", (first_of() + 1).cast("int"), size_of().cast("int")).alias("part"),
+    )
+
+
+def split_parts(large: DataFrame, least: int) -> DataFrame:
+    """``large`` parts in two halves by how far their strings reach to the left of the anchor.
 
     The strings of a half all hold the bytes from its ``low`` left of the anchor to what the farthest reaching has
     on the right, so those bytes are part of its new anchor.
@@ -240,58 +255,69 @@ def split_large(large: DataFrame, rows: DataFrame, least: int) -> DataFrame:
         F.struct(F.col("low").alias("low"), middle.alias("high")),
         F.struct((middle + 1).alias("low"), F.col("high").alias("high")),
     )
-    same = F.col("l.key").eqNullSafe(F.col("r.key")) & F.col("l.doc_id").eqNullSafe(F.col("r.doc_id"))
-    texts = rows.dropDuplicates(["key", "doc_id"]).alias("r")
-    cut = large.alias("l").join(texts, same).select("l.*", F.col("r.text").cast("binary").alias("text"), F.explode(halves).alias("half"))
+    once = large.dropDuplicates(["root_anchor", "root_seg", "offset", "low"])
+    cut = once.select("*", F.explode(halves).alias("half"))
     lo, hi = F.col("half.low"), F.col("half.high")
-    begin = F.greatest(F.lit(0), anchor_of() - hi)
-    end = F.least(size_of() - least, anchor_of() - lo)
-    cut = cut.withColumn("begin", begin).withColumn("finish", end).where("begin <= finish")
-    first, size = first_of() + F.col("begin"), F.col("finish") - F.col("begin") + least
-    common = F.substring("text", (first_of() + anchor_of() - lo + 1).cast("int"), (F.lit(least) + lo - hi).cast("int"))
+    begin = F.greatest(F.lit(0), F.col("inner") - hi)
+    finish = F.least(F.length("part") - least, F.col("inner") - lo)
+    common = F.substring("part", F.col("inner") - lo + 1, F.lit(least) + lo - hi)
+    cut = cut.select("*", begin.alias("begin"), finish.alias("finish"), common.alias("common")).where("begin <= finish")
+    kept = F.substring("part", F.col("begin") + 1, F.col("finish") - F.col("begin") + least)
+    cut = cut.withColumn("kept", kept)
     return cut.select(
-        F.xxhash64("anchor", lo, hi, common).alias("anchor"),
-        F.xxhash64(F.substring("text", (first + 1).cast("int"), size.cast("int"))).alias("seg"),
-        "key", "doc_id", place(first, size, anchor_of() - F.col("begin")), lo.alias("low"), hi.alias("high"),
+        "root_anchor", "root_seg", (F.col("offset") + F.col("begin")).alias("offset"), "copies",
+        F.xxhash64("anchor", lo, hi, "common").alias("anchor"), F.xxhash64("kept").alias("seg"),
+        (F.col("inner") - F.col("begin")).alias("inner"), lo.alias("low"), hi.alias("high"), F.col("kept").alias("part"),
     )
 
 
-def repeated_ranges(rows: DataFrame, least: int, bucket_bytes: int) -> DataFrame:
-    """(key, first, end): byte ranges of texts (doc_id, key, text) that repeated strings cover; they may overlap."""
-    found, level = [], text_segments(rows, least).withColumns({"low": F.lit(0), "high": F.lit(least - GRAM)})
+def shared_runs(parts: DataFrame, least: int, bucket_bytes: int) -> DataFrame:
+    """(root_anchor, root_seg, first, end): runs of repeated strings in the segments that ``parts`` come from."""
+    found, level = [], parts
     while level is not None:
-        # An anchor that stands once has no repeated string; one with a single distinct segment has no other.
-        per = level.groupBy("anchor").agg(F.count("*").alias("n"), F.min("seg").alias("least"), F.max("seg").alias("most"))
-        shared = level.join(per.where("n > 1"), "anchor").withColumn("mixed", F.col("least") != F.col("most"))
-        shared = materialize(shared.drop("n", "least", "most"), "shared")
-        found.append(shared.where("not mixed").select("key", first_of().alias("first"), (first_of() + size_of()).alias("end")))
-        mixed = shared.where("mixed").groupBy("anchor", "seg").agg(
-            F.count("*").alias("copies"), F.min(F.struct("key", "doc_id", "place")).alias("one")
+        unique = level.groupBy("anchor", "seg").agg(
+            F.sum("copies").alias("copies"), F.first("part").alias("part")
+        ) if found else level.select("anchor", "seg", "copies", "part")
+        stats = unique.groupBy("anchor").agg(
+            F.count_distinct("seg").alias("many"), F.sum("copies").alias("n"), F.sum(F.length("part")).alias("bytes")
         )
-        mixed = materialize(mixed.select("anchor", "seg", "copies", "one.*"), "mixed")
-        sizes = mixed.groupBy("anchor").agg(F.sum(size_of()).alias("bytes"))
-        large = materialize(sizes.where(F.col("bytes") > bucket_bytes).select("anchor"), "large")
-        small = mixed.join(large, "anchor", "left_anti")
-        buckets = max(1, -(-(small.agg(F.sum(size_of())).first()[0] or 0) // (bucket_bytes // 2)))
-        wanted = small.groupBy("key", "doc_id").agg(F.collect_list(F.struct("anchor", "seg", "copies", "place")).alias("wanted"))
-        same = F.col("w.key").eqNullSafe(F.col("r.key")) & F.col("w.doc_id").eqNullSafe(F.col("r.doc_id"))
-        cut = rows.alias("r").join(wanted.alias("w"), same).select(F.col("r.text").cast("binary").alias("text"), F.inline("wanted"))
-        parts = cut.select(
-            F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"), "anchor", "seg", "copies",
-            F.substring("text", (first_of() + 1).cast("int"), size_of().cast("int")).alias("part"),
+        stats = materialize(stats.where("many > 1 or n > 1"), "stats")
+        total = stats.where("many > 1").agg(F.sum(F.least("bytes", F.lit(bucket_bytes)))).first()[0] or 0
+        buckets = max(1, -(-total // (bucket_bytes // 2)))
+        small = stats.where(F.col("bytes") <= bucket_bytes).where("many > 1").select("anchor")
+        large = materialize(stats.where(F.col("bytes") > bucket_bytes).where("many > 1").select("anchor"), "large")
+        bucketed = unique.join(small, "anchor", "left_semi").select(
+            F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"), "anchor", "seg", "copies", "part"
         )
-        answers = materialize(bucket_runs(parts, least), "runs")
-        marked = shared.where("mixed").join(answers, ["anchor", "seg"])
-        found.append(marked.select("key", first_of().alias("at"), F.inline("runs")).select(
-            "key", (F.col("at") + F.col("first")).alias("first"), (F.col("at") + F.col("end")).alias("end")
-        ))
-        level = None
-        if not large.isEmpty():
-            level = materialize(split_large(shared.join(large, "anchor").where("mixed"), rows, least), "split")
-    ranges = found[0]
-    for more in found[1:]:
-        ranges = ranges.unionByName(more)
-    return ranges
+        whole = F.array(F.struct(F.lit(0).alias("first"), F.length("part").alias("end")))
+        lone = unique.join(stats.where("many = 1").select("anchor"), "anchor", "left_semi").select("anchor", "seg", whole.alias("runs"))
+        answers = materialize(bucket_runs(bucketed, least).unionByName(lone), "runs")
+        roots = level.select("root_anchor", "root_seg", "offset", "anchor", "seg")
+        marked = roots.join(answers, ["anchor", "seg"]).select("root_anchor", "root_seg", "offset", F.inline("runs"))
+        at = F.col("offset")
+        found.append(marked.select("root_anchor", "root_seg", (at + F.col("first")).alias("first"), (at + F.col("end")).alias("end")))
+        more = not large.isEmpty()
+        level = materialize(split_parts(level.join(large, "anchor", "left_semi"), least), "split") if more else None
+    return reduce(DataFrame.unionByName, found)
+
+
+def repeated_ranges(rows: DataFrame, least: int, bucket_bytes: int) -> DataFrame:
+    """(key, first, end): byte ranges of texts (doc_id, key, text) that repeated strings cover; they may overlap."""
+    segs = text_segments(rows, least)
+    # An anchor that stands once has no repeated string; one with a single distinct segment has no other.
+    per = segs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("seg").alias("least"), F.max("seg").alias("most"))
+    shared = segs.join(per.where("n > 1"), "anchor").withColumn("mixed", F.col("least") != F.col("most"))
+    shared = materialize(shared.drop("n", "least", "most"), "shared")
+    alike = shared.where("not mixed").select("key", first_of().alias("first"), (first_of() + size_of()).alias("end"))
+    distinct = shared.where("mixed").groupBy("anchor", "seg").agg(
+        F.count("*").alias("copies"), F.min(F.struct("key", "doc_id", "place")).alias("one")
+    )
+    parts = materialize(cut_parts(rows, distinct.select("anchor", "seg", "copies", "one.*"), least), "parts")
+    runs_ = shared_runs(parts, least, bucket_bytes).withColumnsRenamed({"root_anchor": "anchor", "root_seg": "seg"})
+    marked = shared.where("mixed").join(runs_, ["anchor", "seg"])
+    return alike.unionByName(
+        marked.select("key", (first_of() + F.col("first")).alias("first"), (first_of() + F.col("end")).alias("end"))
+    )
 
 
 def remove_repeats(docs: DataFrame, least: int = 200, bucket_bytes: int = 2 << 20) -> DataFrame:

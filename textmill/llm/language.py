@@ -29,7 +29,7 @@ class Settings:
     per_language: int = 400  # documents to learn from, in the mean; the bound on the sample
     windows_per_document: int = 3
     most_languages: int = 500  # more are an error: the sample and the output layer grow with them
-    epochs: int = 10
+    steps: int = 240  # batches, whatever the sample's size
     batch: int = 256
     rate: float = 0.02
     seed: int = 7
@@ -177,19 +177,16 @@ class Network:
 
     def train(self, rows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, settings: Settings) -> None:
         draw = np.random.default_rng(settings.seed)
-        mean, square, step = {k: 0.0 for k in self.w}, {k: 0.0 for k in self.w}, 0
-        steps = settings.epochs * -(-len(rows) // settings.batch)
-        for _ in range(settings.epochs):
-            order = draw.permutation(len(rows))
-            for i in range(0, len(rows), settings.batch):
-                pick = order[i : i + settings.batch]
-                g = self.gradients(rows[pick], lengths[pick], labels[pick])
-                rate, step = settings.rate * (1 - step / steps), step + 1
-                for k, v in g.items():  # Adam
-                    mean[k] = 0.9 * mean[k] + 0.1 * v
-                    square[k] = 0.99 * square[k] + 0.01 * v * v
-                    move = mean[k] / (1 - 0.9**step) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)
-                    self.w[k] = (self.w[k] - rate * move).astype(np.float32)
+        mean, square = {k: 0.0 for k in self.w}, {k: 0.0 for k in self.w}
+        for step in range(settings.steps):
+            pick = draw.integers(len(rows), size=settings.batch)
+            g = self.gradients(rows[pick], lengths[pick], labels[pick])
+            rate, n = settings.rate * (1 - step / settings.steps), step + 1
+            for k, v in g.items():  # Adam
+                mean[k] = 0.9 * mean[k] + 0.1 * v
+                square[k] = 0.99 * square[k] + 0.01 * v * v
+                move = mean[k] / (1 - 0.9**n) / (np.sqrt(square[k] / (1 - 0.99**n)) + 1e-8)
+                self.w[k] = (self.w[k] - rate * move).astype(np.float32)
 
 
 def learn(labelled: DataFrame, settings: Settings | None = None) -> Network | None:

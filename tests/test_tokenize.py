@@ -55,7 +55,7 @@ def test_hot_and_rare_words_take_different_joins_with_one_result(spark):
     rows = [(i, ["a", "a bb", "a c bb zz", "", "a a a c"][i % 5]) for i in range(200)]
     df = spark.createDataFrame(rows, "k int, text string")
     whole = T.encode_rows(df, ["k"], "text", vocab)
-    split = T.encode_rows(df, ["k"], "text", vocab, hot_words=1)
+    split = T.encode_rows(df, ["k"], "text", vocab, hot_share=0.2)
     want = {r.k: r.ids for r in whole.collect()}
     assert want == {r.k: r.ids for r in split.collect()}
     assert len(want) == 200 and want[3] == [] and want[2] == [5, 8, 6, 7, 0]

@@ -84,10 +84,13 @@ def sample_positions(
         return df.withColumn("positions", picked).drop("_cum", "_slots")
     draw = lambda p: uniform(seed, "mask", *keys, p)
     if weights:
-        key = lambda p: -F.log(draw(p)) / F.element_at(F.col(weights), p + 1)
+        # A weight of zero is never drawn. A draw of zero comes last, as its logarithm would put it.
+        chance = lambda p: F.element_at(F.col(weights), p + 1)
+        key = lambda p: F.coalesce(-F.log(draw(p)) / chance(p), F.lit(float("inf")))
     else:
         key = draw
-    drawn = F.array_sort(F.transform("candidates", lambda p: F.struct(key(p).alias("k"), p.alias("p"))))
+    possible = F.filter("candidates", lambda p: chance(p) > 0) if weights else F.col("candidates")
+    drawn = F.array_sort(F.transform(possible, lambda p: F.struct(key(p).alias("k"), p.alias("p"))))
     chosen = F.sort_array(F.transform(F.slice(drawn, F.lit(1), F.col("budget")), lambda x: x["p"]))
     if already:
         chosen = F.array_except(chosen, F.col(already))

@@ -21,15 +21,16 @@ def align_labels(
 ) -> DataFrame:
     """(keys, input_ids, labels): the first piece of a word gets its tag, later pieces the tag or -100,
     special tokens -100. A given token that splits further keeps its own first piece as the first one."""
-    words = df.select(*keys, F.posexplode(F.arrays_zip(F.col(tokens).alias("w"), F.col(tags).alias("t"))).alias("token_no", "x"))
+    words = df.select(*keys, F.posexplode_outer(F.arrays_zip(F.col(tokens).alias("w"), F.col(tags).alias("t"))).alias("token_no", "x"))
     inner = pretokenize(words.select(*keys, "token_no", F.col("x.t").alias("tag"), F.col("x.w").alias("token")),
                         [*keys, "token_no", "tag"], "token")
-    coded = join_codes(inner.filter(F.col("word").isNotNull()), vocab)
+    coded = join_codes(inner, vocab)  # words without pieces keep their sentence
     later = F.col("tag") if label_all else F.lit(IGNORED)
     labels = F.transform(
         "ids", lambda _, i: F.when((i == 0) & (F.col("pos") == 0), F.col("tag")).otherwise(later).cast("int")
     )
-    listed = F.sort_array(F.collect_list(F.struct("token_no", "pos", "ids", labels.alias("labels"))))
+    known = F.when(F.col("ids").isNotNull(), F.struct("token_no", "pos", "ids", labels.alias("labels")))
+    listed = F.sort_array(F.collect_list(known))
     grouped = coded.groupBy(*keys).agg(listed.alias("all"))
     return grouped.select(
         *keys,
@@ -59,9 +60,14 @@ def qa_windows(
     of the first context token.
     """
     joined = (
-        examples.join(questions.withColumnRenamed("ids", "q_ids"), "question_id")
-        .join(contexts.withColumnRenamed("pieces", "c_pieces"), "context_id")
+        examples.join(questions.withColumnRenamed("ids", "q_ids"), "question_id", "left")
+        .join(contexts.withColumnRenamed("pieces", "c_pieces"), "context_id", "left")
     )
+    # A blank text has no pieces and no row among its kind.
+    joined = joined.withColumns({
+        "q_ids": F.coalesce("q_ids", F.array().cast(joined.schema["q_ids"].dataType)),
+        "c_pieces": F.coalesce("c_pieces", F.array().cast(joined.schema["c_pieces"].dataType)),
+    })
     windows = stride_windows(joined, examples.columns, "q_ids", "c_pieces", max_len, stride)
     body = F.concat(
         F.array(cls), F.col("q"), F.array(sep), F.transform("c", lambda p: p["id"]), F.array(sep)

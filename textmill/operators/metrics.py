@@ -84,25 +84,27 @@ def two_sided_p(rho: Column, n: Column, steps: int = 20000) -> Column:
 
     With theta = atan(t / sqrt(df)) it is a ratio of two integrals of cos(theta)^(df-1), by midpoints.
     """
-    df = n - 2
+    df = F.when(n > 2, n - 2)
     top = F.least(F.lit(math.pi / 2), F.lit(40.0) / F.sqrt(df))
     theta = F.asin(F.abs(rho))
     mass = lambda low: F.aggregate(
         F.sequence(F.lit(0), F.lit(steps - 1)), F.lit(0.0),
         lambda s, k: s + F.exp((df - 1) * F.log(F.cos(low + (k + 0.5) / steps * (top - low)))) * (top - low) / steps,
     )
-    return F.when(theta >= top, 0.0).otherwise(mass(theta) / mass(F.lit(0.0)))
+    return F.when(df.isNull() | rho.isNull(), None).when(theta >= top, 0.0).otherwise(F.try_divide(mass(theta), mass(F.lit(0.0))))
 
 
 def spearman(df: DataFrame, x: str, y: str, pvalue: bool = False) -> DataFrame:
     """One row with ``rho`` (and ``p``): correlation of average ranks.
 
-    Equal pairs are counted first; ranks come from running totals over the distinct values.
+    Rows with a null count nowhere. Equal pairs are counted first; ranks come from running totals over the
+    distinct values. Undefined values are null: ``rho`` of a constant column, ``p`` of fewer than three rows.
     """
-    pairs = df.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").alias("_n"))
+    complete = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    pairs = complete.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").alias("_n"))
     ranked = pairs.join(_centred_ranks(pairs, "x", "rx"), "x").join(_centred_ranks(pairs, "y", "ry"), "y")
     s = lambda a, b: F.sum(F.col("_n") * F.col(a) * F.col(b))
-    out = ranked.agg((s("rx", "ry") / F.sqrt(s("rx", "rx") * s("ry", "ry"))).alias("rho"), F.sum("_n").alias("n"))
+    out = ranked.agg(F.try_divide(s("rx", "ry"), F.sqrt(s("rx", "rx") * s("ry", "ry"))).alias("rho"), F.sum("_n").alias("n"))
     return out.select("rho", two_sided_p(F.col("rho"), F.col("n")).alias("p")) if pvalue else out.select("rho")
 
 

@@ -7,10 +7,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from textmill.functions.stage import materialize
 from textmill.functions.text import PUNCTUATION, SPECIAL_TOKENS, lower_plain, words_of
 
-# The most frequent words, which cover most of a corpus, are joined by broadcast. The bound is this
-# constant whatever the corpus size (some 40 MB of words and ids); every other word goes through a shuffle
-# join, where no key is hot.
-HOT_WORDS = 400_000
+# Words with more than this share of all occurrences are joined by broadcast. There are at most its inverse of
+# them, of at most ``MAX_CHARS`` characters each, whatever the corpus; no other word can crowd a task.
+HOT_SHARE = 1e-4
+MAX_CHARS = 100
+SALTS = 1024
+# Lengths are packed in 15 bits.
+LENGTHS = 1 << 15
 
 
 def pretokenize(df: DataFrame, keys: list[str], text: str, lower: bool = True) -> DataFrame:
@@ -18,12 +21,14 @@ def pretokenize(df: DataFrame, keys: list[str], text: str, lower: bool = True) -
     return df.select(*keys, F.posexplode_outer(words_of(text, lower)).alias("pos", "word"))
 
 
-def wordpiece(words: DataFrame, vocab: DataFrame, unk: str = "[UNK]", max_chars: int = 100) -> DataFrame:
+def wordpiece(words: DataFrame, vocab: DataFrame, unk: str = "[UNK]", max_chars: int = MAX_CHARS) -> DataFrame:
     """Greedy longest match from the left for distinct words: adds ``pieces`` and ``ids``.
 
     Candidates (start, length) of a word meet the vocabulary in one join; the walk picks, at each start
     reached, the longest match. A word over ``max_chars`` or with an unmatched rest is one unknown token.
     """
+    if max_chars >= LENGTHS:
+        raise ValueError(f"words of {LENGTHS} and more characters cannot be matched")
     longest = vocab.agg(
         F.max(F.length("token") - F.when(F.col("token").startswith("##"), 2).otherwise(0))
     ).scalar()
@@ -37,10 +42,10 @@ def wordpiece(words: DataFrame, vocab: DataFrame, unk: str = "[UNK]", max_chars:
         "token",
         F.concat(F.when(F.col("start") > 1, "##").otherwise(""), F.substring("word", F.col("start"), F.col("len"))),
     )
-    # A match is one number: start, then the longest length first, then the id. Lengths stay below 128
-    # because longer words are unknown as a whole.
+    # A match is one number: start, then the longest length first, then the id. Lengths fit because longer
+    # words are unknown as a whole.
     packed = F.shiftleft(
-        (F.col("start") * 128 + 127 - F.col("len")).cast("bigint"), 32
+        F.col("start").cast("bigint") * LENGTHS + (LENGTHS - 1) - F.col("len"), 32
     ).bitwiseOR(F.col("id").cast("bigint"))
     # One-character candidates stay even without a match, so that no word vanishes. Rows of a word never
     # leave its partition: grouping by word needs no exchange when the words come counted.
@@ -53,7 +58,7 @@ def wordpiece(words: DataFrame, vocab: DataFrame, unk: str = "[UNK]", max_chars:
 
     def step(acc: Column, h: Column) -> Column:
         place = F.shiftright(h, 32)
-        start, len_ = F.shiftright(place, 7), F.lit(127) - place.bitwiseAND(F.lit(127))
+        start, len_ = F.shiftright(place, 15), F.lit(LENGTHS - 1) - place.bitwiseAND(F.lit(LENGTHS - 1))
         return F.when(
             start == acc["at"],
             F.struct((start + len_).cast("int").alias("at"), F.concat(acc["taken"], F.array(h)).alias("taken")),
@@ -61,7 +66,7 @@ def wordpiece(words: DataFrame, vocab: DataFrame, unk: str = "[UNK]", max_chars:
 
     def piece(h: Column) -> Column:
         place = F.shiftright(h, 32)
-        start, len_ = F.shiftright(place, 7).cast("int"), (F.lit(127) - place.bitwiseAND(F.lit(127))).cast("int")
+        start, len_ = F.shiftright(place, 15).cast("int"), (F.lit(LENGTHS - 1) - place.bitwiseAND(F.lit(LENGTHS - 1))).cast("int")
         return F.concat(F.when(start > 1, "##").otherwise(""), F.substring(F.col("word"), start, len_))
 
     walked = found.select(*words.columns, F.aggregate("hits", begin, step).alias("w"))
@@ -82,36 +87,40 @@ def word_codes(df: DataFrame, text: str, vocab: DataFrame, lower: bool = True) -
     return wordpiece(counted, vocab)
 
 
-def join_codes(occurrences: DataFrame, vocab: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
+def join_codes(
+    occurrences: DataFrame, vocab: DataFrame, hot_share: float = HOT_SHARE, unk: str = "[UNK]", max_chars: int = MAX_CHARS
+) -> DataFrame:
     """Word occurrences (…, word) with their pieces and ids; each distinct word is encoded once.
 
-    The table of distinct words is written and counted. Up to ``hot_words`` rows it is broadcast whole;
-    beyond that only its ``hot_words`` most frequent words are, so no hot word ever reaches a shuffle
-    partition, and the rare rest is shuffled by word.
+    Words over ``max_chars`` are unknown before any join. Words of more than ``hot_share`` of all occurrences get
+    their codes by broadcast; all others are joined by word. Rows that need no partner there (hot, too long,
+    without a word) carry a salt in place of the word, so that no key gathers them.
     """
-    counted = occurrences.filter(F.col("word").isNotNull()).groupBy("word").agg(F.count("*").alias("n"))
-    codes = materialize(wordpiece(counted, vocab), "codes")
-    if codes.count() <= hot_words:
-        return occurrences.join(F.broadcast(codes.drop("n")), "word", "left")
-    # The hot words are written too: a top-k that were worked out again could break ties differently
-    # from the table it is subtracted from.
-    hot = materialize(codes.orderBy(F.desc("n"), "word").limit(hot_words), "hot").drop("n")
-    cold = codes.drop("n").join(F.broadcast(hot.select("word")), "word", "left_anti")
-    by_broadcast = occurrences.join(F.broadcast(hot), "word")
-    rest = occurrences.join(F.broadcast(hot.select("word")), "word", "left_anti")
-    # Rows without a word keep their place but need no partner; they skip the shuffle by word.
-    by_shuffle = rest.filter(F.col("word").isNotNull()).join(cold, "word", "left")
-    empty = rest.filter(F.col("word").isNull()).select(
-        "*", F.lit(None).cast("array<string>").alias("pieces"), F.lit(None).cast("array<int>").alias("ids")
+    word = F.col("word")
+    short = word.isNotNull() & (F.length("word") <= max_chars)
+    counted = occurrences.filter(short).groupBy("word").agg(F.count("*").alias("n"))
+    codes = materialize(wordpiece(counted, vocab, unk, max_chars), "codes")
+    total = codes.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    hot = codes.filter(F.col("n") > hot_share * total)
+    hot = hot.select("word", F.col("pieces").alias("_hot_pieces"), F.col("ids").alias("_hot_ids"))
+    near = occurrences.join(F.broadcast(hot), "word", "left")
+    looked_up = short & F.col("_hot_ids").isNull()
+    salt = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*occurrences.columns), F.lit(SALTS)).cast("string"))
+    keyed = near.withColumn("_key", F.when(looked_up, word).otherwise(salt))
+    joined = keyed.join(codes.select(word.alias("_key"), "pieces", "ids"), "_key", "left")
+    long, unk_id = F.length("word") > max_chars, vocab.filter(F.col("token") == unk).agg(F.min("id")).scalar()
+    return joined.select(
+        *occurrences.columns,
+        F.when(long, F.array(F.lit(unk))).otherwise(F.coalesce("_hot_pieces", "pieces")).alias("pieces"),
+        F.when(long, F.array(unk_id)).otherwise(F.coalesce("_hot_ids", "ids")).alias("ids"),
     )
-    return by_broadcast.unionByName(by_shuffle).unionByName(empty)
 
 
 def encode_rows(
-    df: DataFrame, keys: list[str], text: str, vocab: DataFrame, lower: bool = True, hot_words: int = HOT_WORDS
+    df: DataFrame, keys: list[str], text: str, vocab: DataFrame, lower: bool = True, hot_share: float = HOT_SHARE
 ) -> DataFrame:
     """(keys, ids): the id array of each row's text. ``keys`` must identify the row."""
-    coded = join_codes(pretokenize(df, keys, text, lower), vocab, hot_words)
+    coded = join_codes(pretokenize(df, keys, text, lower), vocab, hot_share)
     ordered = F.sort_array(F.collect_list(F.struct("pos", "ids")))
     return coded.groupBy(*keys).agg(
         F.flatten(F.transform(ordered, lambda w: F.coalesce(w["ids"], F.array().cast("array<int>")))).alias("ids")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textmill.functions.stage import materialize, spread
+from textmill.functions.stage import materialize
 from textmill.operators.vocabulary import add_tokens
 from textmill.plans.report import shown
 from textmill.plans.sqlparts import BLANKS, PART, draw, q, query
@@ -45,7 +45,7 @@ PART["page_text"] = _page_sql()
 
 @S("clean_pages", query("SELECT page_id, text FROM page_text"))
 def _(w):
-    return corpus.clean_pages(spread(w.table("pages").select("page_id", "html")), ["page_id"])
+    return corpus.clean_pages(w.table("pages").select("page_id", "html"), ["page_id"])
 
 
 PART["sentences"] = f"""
@@ -58,7 +58,7 @@ PART["sentences"] = f"""
 
 @S("sentence_segment", query("SELECT doc_id, sent_no, sentence FROM sentences"))
 def _(w):
-    return corpus.sentence_segment(spread(w.documents.select("doc_id", "text")), ["doc_id"])
+    return corpus.sentence_segment(w.documents.select("doc_id", "text"), ["doc_id"])
 
 
 @S("merge_corpora", query("""
@@ -101,7 +101,7 @@ def _(w):
 def _(w):
     items = F.transform(F.split("text", "\n"), lambda t, i: F.struct(
         F.col("doc_id").alias("doc_id"), i.alias("line_no"), t.alias("line")))
-    files = spread(w.documents.select("doc_id", "text")).select(F.to_json(F.struct(items.alias("data"))).alias("json"))
+    files = w.documents.select("doc_id", "text").select(F.to_json(F.struct(items.alias("data"))).alias("json"))
     return nested.rows_of_field(files, "json", "data", "doc_id bigint, line_no int, line string")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textmill.functions.draws import uniform, uniform_index
-from textmill.functions.stage import materialize, spread
+from textmill.functions.stage import materialize
 from textmill.functions.text import SPECIAL_TOKENS
 from textmill.operators import encode as E, tokenize as T
 from textmill.operators.packing import token_id
@@ -89,7 +89,7 @@ PART["turn_cut"] = """
 
 
 def pairs(w):
-    turns = E.pair_turns(spread(w.table("conversations")))
+    turns = E.pair_turns(w.table("conversations"))
     return materialize(E.encode_pairs(turns, ["conv_id", "turn"], "text_a", "text_b", w.vocab), "pairs")
 
 
@@ -176,7 +176,7 @@ PART["offsets"] = """
 
 
 def offsets(w):
-    return T.token_offsets(spread(w.documents.select("doc_id", "text")), ["doc_id"], "text", w.vocab)
+    return T.token_offsets(w.documents.select("doc_id", "text"), ["doc_id"], "text", w.vocab)
 
 
 @S("token_offsets", query("""

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from textmill.functions.draws import uniform, uniform_index
-from textmill.functions.stage import materialize, spread
+from textmill.functions.stage import materialize
 from textmill.operators import encode as E, features as X
 from textmill.operators.packing import token_id
 from textmill.operators.tokenize import encode_rows
@@ -124,7 +124,7 @@ def qa_windows(w):
         w.table("benchmark").select(F.col("item_id").alias("question_id"), "text"), ["question_id"], "text", w.vocab
     )
     contexts = X.offsets_by_row(
-        spread(w.documents.select(F.col("doc_id").alias("context_id"), "text")), ["context_id"], "text", w.vocab
+        w.documents.select(F.col("doc_id").alias("context_id"), "text"), ["context_id"], "text", w.vocab
     )
     examples = qa_examples(w).select("id", "question_id", "context_id", "answer_start", "answer_text")
     return X.qa_windows(examples, questions, contexts, *specials(w))

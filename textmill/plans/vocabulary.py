@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textmill.functions.stage import materialize, spread
+from textmill.functions.stage import materialize
 from textmill.functions.text import words_of
 from textmill.operators import vocabulary as V
 from textmill.operators.tokenize import wordpiece
@@ -95,7 +95,7 @@ def _(w):
     parts = []
     for kind, lower in (("cased", False), ("plain", True)):
         counted = (
-            spread(w.documents.select("lang", "source", "text"))
+            w.documents.select("lang", "source", "text")
             .select("lang", "source", F.explode(words_of("text", lower)).alias("word"))
             .groupBy("lang", "source", "word").agg(F.count("*").alias("n"))
         )

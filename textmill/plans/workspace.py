@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.functions.stage import materialize, spread
+from textmill.functions.stage import materialize
 from textmill.operators.packing import build_examples
 from textmill.operators.tokenize import encode_rows
 from textmill.operators.vocabulary import alphabet, assemble_vocab, frequent_pieces, word_counts
@@ -32,7 +32,7 @@ class Workspace:
 
     @cached_property
     def word_counts(self) -> DataFrame:
-        return word_counts(spread(self.documents.select("text")))
+        return word_counts(self.documents.select("text"))
 
     @cached_property
     def vocab(self) -> DataFrame:
@@ -42,7 +42,7 @@ class Workspace:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return corpus_lines(spread(self.documents.select("doc_id", "text")), ["doc_id"])
+        return corpus_lines(self.documents.select("doc_id", "text"), ["doc_id"])
 
     @cached_property
     def encoded(self) -> DataFrame:

@@ -15,9 +15,6 @@ SQL_SETTINGS = {
     # Word tables are small in bytes but costly per row: keep every core busy rather than merge to 1 MB.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
-    # collect_list groups are short lines and words, so keep many of them in the hash map
-    # before falling back to sorting (the default falls back at 128 groups).
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
 }
 
 
@@ -36,6 +33,9 @@ def local_session(cores: str = "8", partitions: str = "8", memory: str = "16g")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", partitions)
+        # Test tables are one small file each: small splits keep all cores busy.
+        .config("spark.sql.files.maxPartitionBytes", "2m")
+        .config("spark.sql.files.openCostInBytes", "64k")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -43,9 +43,11 @@ def local_session(cores: str = "8", partitions: str = "8", memory: str = "16g")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a fresh one only where none is named."""
+    """The folder named by ``spark.checkpoint.dir``; a fresh one only where none is named and all runs on one machine."""
     context = spark.sparkContext
     named = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir", None)
+    if named is None and context.master != "local" and not context.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if named is None:
         named = tempfile.mkdtemp(prefix="textmill-")
     if context.getCheckpointDir() is None:

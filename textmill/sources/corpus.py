@@ -49,7 +49,9 @@ def read_corpus_lines(spark: SparkSession, path: str, blanks_separate_docs: bool
         .join(bases, ["file", "block"])
         .filter(F.col("line") != "")
         .select(
-            F.concat_ws("#", F.element_at(F.split("file", "/"), -1), doc_no.cast("string")).alias("doc_id"),
+            # The folder tells files of one name apart.
+            F.concat_ws("#", F.substring_index("file", "/", -1), doc_no.cast("string"),
+                        F.regexp_extract("file", "^(.*)/", 1)).alias("doc_id"),
             (F.col("row_base") + F.col("nth")).alias("line_no"), "line",
         )
     )

@@ -5,12 +5,18 @@ randomised singular value decomposition of that matrix, with sums worked out whe
 latent vector; a passage's vector is the sum of its words'. Benchmark passages are searched for among windows of
 their own length at every few words of every document, by cosine. What is near enough is compared word by word:
 by the longest common subsequence with the passage, and for paraphrases by how much of its answer is there too.
+
+Verbatim copies do not depend on the cosine, whose weights sink with each further copy. A stretch of text with enough
+of an item's words in order misses few of them, so it has some of any few more: places of the item's rarest words,
+looked up at every word of every document, lead to all such stretches.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +46,9 @@ class Settings:
     cosine: float = 0.6  # the least of a candidate
     overlap: float = 0.5  # and the least share of its item's weight that its words have
     verbatim: float = 0.8  # share of an item's words in order that is a copy
+    inserted: float = 0.25  # share of an item's words that may stand between the words of a copy
+    places: int = 3  # of an item's rarest words must be near each other before more is compared; excludes no copy
+    places_at_once: int = 1 << 21
     paraphrase: float = 0.6  # and that is a paraphrase, if so much of the answer is there too:
     answer: float = 0.75
     answer_words: int = 8  # the end of an item, where it has no answer of its own
@@ -270,6 +279,7 @@ def gram_of(rows: DataFrame, weight: np.ndarray, basis: np.ndarray, settings: Se
 class Latent:
     weight: np.ndarray  # of each feature; 0 if negligible
     vectors: np.ndarray  # of each feature, times its weight, scaled so that all dimensions count alike
+    frequency: np.ndarray  # passages of each feature
 
 
 def latent_words(rows: DataFrame, settings: Settings) -> Latent | None:
@@ -286,7 +296,8 @@ def latent_words(rows: DataFrame, settings: Settings) -> Latent | None:
     basis = np.linalg.qr(range_of(rows, weight, start, settings))[0]
     values, turn = np.linalg.eigh(gram_of(rows, weight, basis, settings))
     kept = values > 1e-6 * values.max()
-    return Latent(weight, ((basis @ turn[:, kept]) / np.sqrt(values[kept]) * weight[:, None]).astype(np.float32))
+    vectors = ((basis @ turn[:, kept]) / np.sqrt(values[kept]) * weight[:, None]).astype(np.float32)
+    return Latent(weight, vectors, frequency)
 
 
 @dataclass(frozen=True)
@@ -332,19 +343,120 @@ class Search:
 
     def __init__(self, items: list[Item], latent: Latent, settings: Settings):
         self.latent, self.settings, self.by, self.vectors = latent, settings, [], with_zeros(latent.vectors)
+        self.items = items
+        self.held = np.zeros((len(items), FEATURES // 8), dtype=np.uint8)  # a bit for each feature
         sizes = np.array(settings.lengths)
-        nearest = [int(np.abs(np.log(sizes / len(i.words))).argmin()) for i in items]
+        nearest = np.array([np.abs(np.log(sizes / len(i.words))).argmin() for i in items])
         for k, size in enumerate(settings.lengths):
-            own = [item for item, n in zip(items, nearest, strict=True) if n == k]
-            if own:
+            which = np.flatnonzero(nearest == k)
+            if len(which):
+                own = [items[n] for n in which]
                 features = [np.unique(features_of(np.array(i.words, np.uint32))) for i in own]
                 vectors = np.stack([latent.vectors[features_of(np.array(i.words, np.uint32))].sum(axis=0) for i in own])
                 vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-                held = np.zeros((len(own), FEATURES), dtype=bool)
-                for row, f in zip(held, features, strict=True):
-                    row[f] = True
+                for n, f in zip(which, features, strict=True):
+                    np.bitwise_or.at(self.held[n], f >> 3, (1 << (f & 7)).astype(np.uint8))
                 whole = np.array([latent.weight[f].sum() for f in features])
-                self.by.append((size, own, vectors.T.copy(), np.packbits(held, axis=1, bitorder="little"), whole))
+                self.by.append((size, own, vectors.T.copy(), which, whole))
+        self.index_places()
+
+    def index_places(self) -> None:
+        """Words, and the items in which each is one of the rarest.
+
+        A copy misses at most len - least of its item's words. So of any len - least + ``places`` places of the item it
+        has ``places``, whichever are taken: the rarest are, which makes the search quick and never less whole.
+        """
+        s = self.settings
+        lengths = np.array([len(i.words) for i in self.items])
+        self.least = np.array([math.ceil(s.verbatim * n - 1e-9) for n in lengths])
+        self.reach = lengths + (lengths * s.inserted).astype(np.int64)  # the longest stretch that is a copy
+        self.places = np.minimum(self.least, s.places)
+        words, items = [], []
+        for n, item in enumerate(self.items):
+            own = np.array(item.words, np.uint32)
+            rarest = np.argsort(self.latent.frequency[features_of(own)], kind="stable")
+            words.append(own[rarest[: len(own) - self.least[n] + self.places[n]]])
+            items.append(np.full(len(words[-1]), n))
+        words, items = np.concatenate(words), np.concatenate(items)
+        order = np.argsort(words, kind="stable")
+        self.keys, self.key_first, self.key_count = np.unique(words[order], return_index=True, return_counts=True)
+        self.key_items = items[order]
+
+    def seeds(self, hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(words, items): each copy of an item has one of its words there, and enough of the item's words around it."""
+        key = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        at = np.flatnonzero(self.keys[key] == hashes)
+        key = key[at]
+        ends, made, longest = np.cumsum(counts), np.cumsum(self.key_count[key]), int(self.reach.max())
+        a = 0
+        while a < len(at):
+            # Of each part of the places, and what a copy that begins there has behind it.
+            b = max(a + 1, int(np.searchsorted(made, (made[a - 1] if a else 0) + self.settings.places_at_once)))
+            c = int(np.searchsorted(at, at[b - 1] + longest, "right"))
+            many = self.key_count[key[a:c]]
+            word = np.repeat(at[a:c], many)
+            inner = np.arange(len(word)) - np.repeat(np.cumsum(many) - many, many)
+            item = self.key_items[np.repeat(self.key_first[key[a:c]], many) + inner]
+            order = np.argsort(item, kind="stable")
+            word, item = word[order], item[order]
+            text = np.searchsorted(ends, word, "right")
+            later = np.arange(len(word)) + self.places[item] - 1
+            fits = later < len(word)
+            later = np.minimum(later, len(word) - 1)
+            fits &= (item[later] == item) & (text[later] == text) & (word[later] - word < self.reach[item])
+            fits &= word <= at[b - 1]
+            word, item = word[fits], item[fits]
+            if len(word):
+                kept = np.concatenate([[True], (word[1:] != word[:-1]) | (item[1:] != item[:-1])])
+                yield self.enough(hashes, counts, word[kept], item[kept])
+            a = b
+
+    def enough(self, hashes: np.ndarray, counts: np.ndarray, word: np.ndarray, item: np.ndarray):
+        """Those seeds around which some stretch has as many words as a copy that are the item's, in any order."""
+        ends, feature, good = np.cumsum(counts), features_of(hashes), []
+        for i in range(0, len(word), 4096):
+            w, n = word[i : i + 4096], item[i : i + 4096]
+            text = np.searchsorted(ends, w, "right")
+            reach, first, end = self.reach[n], (ends - counts)[text], ends[text]
+            span = int(reach.max())
+            at = w[:, None] + np.arange(1 - span, span)
+            inside = (at >= first[:, None]) & (at < end[:, None])
+            f = feature[np.clip(at, 0, len(feature) - 1)]
+            met = inside & (self.held[n[:, None], f >> 3] >> (f & 7).astype(np.uint8) & 1).astype(bool)
+            sums = np.concatenate([np.zeros((len(w), 1), np.int32), np.cumsum(met, axis=1, dtype=np.int32)], axis=1)
+            begin = np.arange(span)  # of a stretch of at most ``span`` words with the seed's; it ends after ``reach``
+            stop = np.minimum(begin + reach[:, None], sums.shape[1] - 1)
+            most = (np.take_along_axis(sums, stop, axis=1) - sums[:, :span]).max(axis=1)
+            good.append(most >= self.least[n])
+        good = np.concatenate(good)
+        return word[good], item[good]
+
+    def copies(self, hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int, int, Item, float]]:
+        """(text, first word, end, item, cosine) of stretches that have enough of an item's words in order."""
+        begins, ends = np.cumsum(counts) - counts, np.cumsum(counts)
+        for word, item in self.seeds(hashes, counts):
+            text = np.searchsorted(ends, word, "right")
+            last = (-1, -1, 0)  # text, item and end of the copy found last; of a whole one, the text's end
+            for t, w, n in zip(text.tolist(), word.tolist(), item.tolist(), strict=True):
+                if last[:2] == (t, n) and w < last[2]:
+                    continue
+                own, reach, least = self.items[n].words, int(self.reach[n]), int(self.least[n])
+                low, high = max(int(begins[t]), w - reach + 1), min(int(ends[t]), w + reach)
+                near = hashes[low:high].tolist()
+                if common(own, near) < least:
+                    continue
+                # From the stretch in which the seed is the item's word on.
+                guess = w - low - (own.index(near[w - low]) if near[w - low] in own else 0)
+                for k in sorted(range(w - low + 1), key=lambda k: abs(k - guess)):
+                    if common(own, near[k : k + reach]) >= least:
+                        a, b = low + k, min(low + k + reach, high)
+                        made = self.latent.vectors[features_of(hashes[a : min(a + len(own), b)])].sum(axis=0)
+                        other = self.latent.vectors[features_of(np.array(own, np.uint32))].sum(axis=0)
+                        size = max(float(np.linalg.norm(made) * np.linalg.norm(other)), 1e-9)
+                        yield t, a - int(begins[t]), b - int(begins[t]), self.items[n], float(made @ other) / size
+                        whole = common(own, near[k : k + reach]) == len(own)
+                        last = (t, n, int(ends[t]) if whole else b)
+                        break
 
     def candidates(self, hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int, int, Item, float]]:
         """(text, first word, end, item, cosine) of windows near an item that have enough of its weight; words count
@@ -359,7 +471,7 @@ class Search:
         # Sums run along memory, row by row; a group of texts has too few cells to lose digits that matter.
         sums = np.zeros((len(lengths) + 1, len(cell)), dtype=np.float32)
         sums[1:] = np.cumsum(cell, axis=1).T
-        for size, own, vectors, held, whole in self.by:
+        for size, own, vectors, which, whole in self.by:
             span = size // grid
             step = max(1, span // 8)
             many = np.maximum(-(-(cells - span) // step) + 1, 1) * (cells > 0)
@@ -383,7 +495,7 @@ class Search:
                 got = np.zeros(len(w))
                 for j in range(size):
                     f = feature[np.minimum(at + j, len(feature) - 1)]
-                    met = (held[q, f >> 3] >> (f & 7).astype(np.uint8) & 1).astype(bool) & (a + j < b)
+                    met = (self.held[which[q], f >> 3] >> (f & 7).astype(np.uint8) & 1).astype(bool) & (a + j < b)
                     got += met * self.latent.weight[f]
                 for k in np.flatnonzero(got >= self.settings.overlap * whole[q]):
                     yield int(text[k]), int(a[k]), int(b[k]), own[q[k]], float(cosine[k])
@@ -396,7 +508,7 @@ class Search:
                 continue
             begins = np.cumsum(counts) - counts
             held: dict[int, list[int]] = {}
-            for t, first, end, item, cosine in self.candidates(hashes, counts):
+            for t, first, end, item, cosine in chain(self.candidates(hashes, counts), self.copies(hashes, counts)):
                 if t not in held:
                     held[t] = hashes[begins[t] : begins[t] + counts[t]].tolist()
                 reach = len(item.words) // 2 + 2

@@ -47,3 +47,18 @@ def test_copies_of_a_hot_item_are_all_found(spark, size):
     print(size, "recall", len(want & got) / len(want), "more", len(got - want))
     assert len(want) >= 100 and got == want and all(r.item_id == 0 for r in rows)
     assert {r.doc_id for r in decontaminate.drop_contaminated(table, bench).collect()} == set(range(300)) - want
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    items = ["Quartz", "blue zebra", "old tin roof!", "今天的天气非常好，我们去公园散步吧。", "東京タワーの高さは三百三十三メートルです。", "ประเทศไทยมีเมืองหลวงชื่ออะไร", "\u2014\u3002"]
+    filler = "some plain words that stand before and after it"
+    hits = [f"{filler} {items[0]}, {filler}", f"{filler} Blue\u2014Zebra {filler}", f"{filler} \u201cold tin roof\u201d"]
+    hits += [f"昨天下雨了{items[3]}后来又下雨了", f"問題：{items[4]}はい。", f"คำถาม{items[5]}ตอบ"]
+    clean = ["quartzite", "blue and zebra", "zebra blue", "old roof tin", "今天的公园很好", "東京の天気", "ประเทศอื่น", "\u3002\u3002", ""]
+    table = spark.createDataFrame(list(enumerate(hits + clean)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = decontaminate.contamination(table, bench).collect()
+    assert {r.doc_id: r.item_id for r in rows if r.contaminated} == {i: i for i in range(len(hits))}
+    assert all(r.word_share == 1 for r in rows if r.contaminated)
+    left = decontaminate.drop_contaminated(table, bench).collect()
+    assert {r.doc_id for r in left} == {r.doc_id for r in rows if not r.contaminated}

@@ -13,7 +13,10 @@ looked up at every word of every document, lead to all such stretches.
 
 from __future__ import annotations
 
+import functools
 import math
+import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -29,7 +32,7 @@ FEATURE_BITS = 13
 FEATURES = 1 << FEATURE_BITS
 BLOCK = 1 << 20  # bytes worked on at once
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-# Words are runs of ASCII letters and digits and of all bytes of other characters.
+# Words are runs of ASCII letters and digits and of all bytes of other characters that ``plain`` leaves.
 _IS_WORD = np.zeros(256, dtype=bool)
 _IS_WORD[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
@@ -42,7 +45,7 @@ class Settings:
     lengths: tuple[int, ...] = (8, 12, 20, 28, 40, 60)  # words of the windows; longer items are cut
     emphasis: int = 3  # the power of the inverse document frequency that weighs a word
     negligible: float = 0.01  # words of less than this share of the greatest weight are left out of sums
-    least_words: int = 4  # items of fewer words are not searched for
+    least_words: int = 4  # items of fewer words are found by exactly their words alone
     cosine: float = 0.6  # the least of a candidate
     overlap: float = 0.5  # and the least share of its item's weight that its words have
     verbatim: float = 0.8  # share of an item's words in order that is a copy
@@ -67,6 +70,33 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
 
 
 _tables: list[tuple[np.ndarray, np.ndarray]] = []
+# Scripts without spaces between words: each character is a word.
+_SPACELESS = (
+    "\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u0edc-\u0edf\u1000-\u103f\u1050-\u108f\u1780-\u17d3\u1950-\u19df"
+    "\u1a20-\u1a7f\u3005-\u3007\u3041-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\ua9e0-\ua9fe\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff"
+)
+_SPACELESS_CHARACTER = re.compile(f"([{_SPACELESS}])")
+_BETWEEN = {"Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po", "Zs", "Zl", "Zp", "Cc"}
+_ASCII = bytes(range(0x80))
+
+
+@functools.cache
+def _between_words(c: str) -> bool:
+    return unicodedata.category(c) in _BETWEEN or c in "\u200b\u2060\ufeff"
+
+
+def plain(text: str) -> bytes:
+    """Lower-case ``text`` in which spaces stand for all punctuation outside ASCII and around the characters of
+    scripts that are written without spaces."""
+    data = text.lower().encode()
+    if not data.isascii():
+        others = "".join(set(data.translate(None, _ASCII).decode()))
+        for c in filter(_between_words, others):
+            data = data.replace(c.encode(), b" ")
+        if _SPACELESS_CHARACTER.search(others):
+            data = _SPACELESS_CHARACTER.sub(r" \1 ", data.decode()).encode()
+    return data
 
 
 def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +146,7 @@ def groups_of_texts(column: pa.Array) -> Iterator[Group]:
     for i, text in enumerate(column.to_pylist()):
         if text:
             rows.append(i)
-            data.append(text.lower().encode())
+            data.append(plain(text))
             held += len(data[-1])
             if held >= BLOCK // 2:
                 yield made()
@@ -324,9 +354,9 @@ def items_of(rows: list, settings: Settings) -> list[Item]:
     """Passages to search for: items of at most the longest window, and overlapping cuts of longer ones."""
     found, longest = [], settings.lengths[-1]
     for row in rows:
-        words = tuple(words_of((row.text or "").lower().encode())[0].tolist())
-        own = tuple(words_of((row.answer or "").lower().encode())[0].tolist())
-        if len(words) < settings.least_words:
+        words = tuple(words_of(plain(row.text or ""))[0].tolist())
+        own = tuple(words_of(plain(row.answer or ""))[0].tolist())
+        if not words:
             continue
         if len(words) <= 1.25 * longest:
             found.append(Item(row.item_id, words, own or words[-settings.answer_words :]))
@@ -345,17 +375,18 @@ class Search:
         self.latent, self.settings, self.by, self.vectors = latent, settings, [], with_zeros(latent.vectors)
         self.items = items
         self.held = np.zeros((len(items), FEATURES // 8), dtype=np.uint8)  # a bit for each feature
-        sizes = np.array(settings.lengths)
+        for row, item in zip(self.held, items, strict=True):
+            f = features_of(np.array(item.words, np.uint32))
+            np.bitwise_or.at(row, f >> 3, (1 << (f & 7)).astype(np.uint8))
+        sizes, lengths = np.array(settings.lengths), np.array([len(i.words) for i in items])
         nearest = np.array([np.abs(np.log(sizes / len(i.words))).argmin() for i in items])
         for k, size in enumerate(settings.lengths):
-            which = np.flatnonzero(nearest == k)
+            which = np.flatnonzero((nearest == k) & (lengths >= settings.least_words))
             if len(which):
                 own = [items[n] for n in which]
                 features = [np.unique(features_of(np.array(i.words, np.uint32))) for i in own]
                 vectors = np.stack([latent.vectors[features_of(np.array(i.words, np.uint32))].sum(axis=0) for i in own])
                 vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-                for n, f in zip(which, features, strict=True):
-                    np.bitwise_or.at(self.held[n], f >> 3, (1 << (f & 7)).astype(np.uint8))
                 whole = np.array([latent.weight[f].sum() for f in features])
                 self.by.append((size, own, vectors.T.copy(), which, whole))
         self.index_places()
@@ -368,8 +399,10 @@ class Search:
         """
         s = self.settings
         lengths = np.array([len(i.words) for i in self.items])
-        self.least = np.array([math.ceil(s.verbatim * n - 1e-9) for n in lengths])
-        self.reach = lengths + (lengths * s.inserted).astype(np.int64)  # the longest stretch that is a copy
+        short = lengths < s.least_words
+        self.least = np.where(short, lengths, [math.ceil(s.verbatim * n - 1e-9) for n in lengths])
+        # The longest stretch that is a copy.
+        self.reach = lengths + np.where(short, 0, lengths * s.inserted).astype(np.int64)
         self.places = np.minimum(self.least, s.places)
         words, items = [], []
         for n, item in enumerate(self.items):
@@ -541,10 +574,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, settings: Settings | No
     """For each row of ``docs`` (doc_id, text) whether it holds a passage of ``benchmark`` (item_id, text and, if it
     is there, answer), and the best one's item_id, share of its words in order and cosine (else null).
 
-    Null and empty texts are clean; repeated rows are judged alike; a null doc_id stays; ties take the least
-    item_id; other columns are ignored; no rows give no rows and no items leave all clean. Documents are never
-    shuffled: texts are read once, and four passes over their words' hashes sum up statistics or search, with one
-    more for each further block of items.
+    Items of one to three words are in a row if exactly these words are, one behind the other; an item without words
+    (nothing but white space and punctuation) is in none. Null and empty texts are clean; repeated rows are judged
+    alike; a null doc_id stays; ties take the least item_id; other columns are ignored; no rows give no rows and no
+    items leave all clean. Documents are never shuffled: texts are read once, and four passes over their words' hashes
+    sum up statistics or search, with one more for each further block of items.
     """
     words, names = stored_words(docs), ("item_id", "word_share", "cosine")
     kinds = ("long", "double", "double")

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from textmill.llm import decontaminate
+from textmill.llm import decontaminate, personal
 
 
 def longest_common(a, b):
@@ -62,3 +62,28 @@ def test_short_items_and_scripts_without_spaces(spark):
     assert all(r.word_share == 1 for r in rows if r.contaminated)
     left = decontaminate.drop_contaminated(table, bench).collect()
     assert {r.doc_id for r in left} == {r.doc_id for r in rows if not r.contaminated}
+
+
+@pytest.mark.parametrize("share", [0.01, 0.1, 0.5, 1.0])
+def test_written_out_addresses_are_found_however_many(spark, share):
+    draw = random.Random(7)
+    texts, planted, prose = [], {}, set()
+    for i in range(600):
+        name, host = f"user{draw.randrange(999)}", f"host{draw.randrange(99)}"
+        if draw.random() < share:
+            said = f"{name} at {host} dot org"
+            planted[i] = ("email", said)
+        else:
+            said = f"{name}@{host}.org"
+        if i % 10 == 9:
+            said, _ = "we met at noon dot matrix printers", planted.pop(i, None)
+            prose.add(i)
+        texts.append(f"please write to {said} soon")
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in personal.personal_spans(table).collect()}
+    assert planted
+    for i, (kind, said) in planted.items():
+        at = texts[i].index(said)
+        assert spans[i] == f"{kind}:{at}:{at + len(said)}", texts[i]
+    assert all(spans[i] == "" for i in prose)
+    assert all(r.text == "please write to [EMAIL] soon" for r in personal.redact(table).collect() if r.doc_id in planted)

@@ -2,9 +2,11 @@
 
 Exact rules find the base spans of four kinds. Wider generators propose more spans, which may overlap them and
 each other: addresses written out with "at" and "dot", numbers in looser notations. Boosted trees score each
-proposal by its format and its context; they learn from the corpus itself, where proposals that a base span
-covers are positive and all others negative, and never see by which notation a proposal strays from the rule. A
-kind's threshold is the least score at which enough of the proposals of documents kept out of learning are positive.
+proposal by its format and its context; they learn from the corpus itself, where a proposal is positive if its
+normal form (written-out signs as signs, other separators as the usual ones) keeps the base rule and its check, for an
+address also a top-level domain that exists, and negative if not. Whether a base span is there plays no part, as only
+proposals without one can be added. Trees never see by which notation a proposal strays from the rule. A kind's
+threshold is the least score at which enough of the proposals of documents kept out of learning are positive.
 """
 
 from __future__ import annotations
@@ -32,6 +34,12 @@ WIDE = {
     "card": r"(?<![0-9])[0-9](?:[ ./_-]{0,2}[0-9]){11,18}+",
     "phone": r"(?<![0-9])(?:\+|00)?\(?[0-9](?:[ ().-]{0,2}[0-9]){7,14}+",
 }
+# The end of an address: a country's two letters, or a common or reserved domain. Prose ("at noon dot matrix") has others.
+DOMAIN = (
+    r"(?i)\.(?:[a-z]{2}|com|net|org|edu|gov|mil|int|info|biz|name|pro|mobi|jobs|museum|travel|coop|aero|cat|tel|asia"
+    r"|app|dev|cloud|online|site|shop|store|tech|blog|xyz|club|live|email|agency|company|world|news|media|systems"
+    r"|eu|example|test|invalid|local|localhost|internal)$"
+)
 # Words that announce a kind, in the languages of the usual corpora.
 CONTEXT = {
     "email": r"mail|contact|write|kontakt|contacto|correo|courriel|schreib",
@@ -147,12 +155,29 @@ def character(text: Column) -> Column:
     )
 
 
+def normal(kind: str, hit: Column) -> Column:
+    """A wide match in the base rule's notation."""
+    if kind == "email":
+        return F.regexp_replace(F.regexp_replace(hit, r" ?[\[(]at[\])] ?| at ", "@"), r" ?[\[(]dot[\])] ?| dot ", ".")
+    if kind == "ip":
+        return F.regexp_replace(hit, r"[^0-9.]", "")
+    if kind == "card":
+        return only_digits(hit)
+    return F.regexp_replace(hit, r"^00", "+")
+
+
+def keeps(kind: str, hit: Column) -> Column:
+    """Whether the normal form of a wide match is a base span, whether or not the match itself is one."""
+    form = normal(kind, hit)
+    right = form.rlike("^(?:" + BASE[kind] + ")$") & holds(kind, form)
+    return right & form.rlike(DOMAIN) if kind == "email" else right
+
+
 def features(kind: str, x: Column) -> dict[str, Column]:
     digits = only_digits(x["hit"])
-    plain = F.regexp_replace(F.regexp_replace(x["hit"], r" ?[\[(]at[\])] ?| at ", "@"), r" ?[\[(]dot[\])] ?| dot ", ".")
     checked = {
-        "email": plain.rlike(r"\.[A-Za-z]{2,12}$"),
-        "ip": small_parts(F.regexp_replace(x["hit"], r"[^0-9.]", "")),
+        "email": normal(kind, x["hit"]).rlike(DOMAIN),
+        "ip": small_parts(normal(kind, x["hit"])),
         "card": luhn(digits),
         "phone": F.length(digits).between(9, 15),
     }[kind]
@@ -168,8 +193,8 @@ def features(kind: str, x: Column) -> dict[str, Column]:
 
 
 def proposals(df: DataFrame) -> DataFrame:
-    """Adds ``base``, an array of (start, kind, end), and ``proposed``, the same with features and whether a base
-    span of its kind covers it. Needs the column ``text``."""
+    """Adds ``base``, an array of (start, kind, end), and ``proposed``, the same with features and whether its
+    normal form keeps the base rule. Needs the column ``text``."""
     kept = df.columns
     df = with_matches(df, "text", {f"base_{k}": p for k, p in BASE.items()} | {f"wide_{k}": p for k, p in WIDE.items()})
     spans = lambda kind: F.transform(
@@ -179,9 +204,8 @@ def proposals(df: DataFrame) -> DataFrame:
     df = df.select(*kept, *[f"wide_{k}" for k in KINDS], *[spans(k).alias(f"held_{k}") for k in KINDS])
 
     def told(kind: str) -> Column:
-        covered = lambda x: F.exists(f"held_{kind}", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
         return F.transform(f"wide_{kind}", lambda x: F.struct(
-            x["start"].alias("start"), x["end"].alias("end"), covered(x).alias("covered"),
+            x["start"].alias("start"), x["end"].alias("end"), keeps(kind, x["hit"]).alias("right"),
             *[c.cast("int").alias(n) for n, c in features(kind, x).items()],
         ))
 
@@ -265,7 +289,7 @@ def learn(proposed: DataFrame, trees: int = 12, depth: int = 3, rate: float = 0.
     """
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 3, F.lit(False))
     def cell(x: Column) -> Column:  # one number for all features, which is cheaper to group by than a struct
-        code = x["covered"].cast("int")
+        code = x["right"].cast("int")
         for name, size in FEATURES.items():
             code = code * size + x[name]
         return code
@@ -291,8 +315,10 @@ def learn(proposed: DataFrame, trees: int = 12, depth: int = 3, rate: float = 0.
     thresholds = []
     for kind in range(len(KINDS)):
         by: dict[float, list[int]] = {}
+        # A kind that no document kept out has is judged by the others.
+        kept_out = any(out and f["kind"] == kind for f, _, out, _ in cells)
         for f, y, out, n in cells:
-            if out and f["kind"] == kind:
+            if out == kept_out and f["kind"] == kind:
                 pair = by.setdefault(round(model.score(f), 9), [0, 0])
                 pair[not y] += n
         right = wrong = 0

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import chat, decontaminate, language, orc_ids, packing, personal, quality, repeats, sharding, simhash
+from textmill.llm import (
+    chat, decontaminate, language, orc_ids, packing, periodic, personal, quality, repeats, sharding, simhash,
+)
 from textmill.session import new_folder
 
 
@@ -62,10 +64,14 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op12_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.run_digests(periodic.repeated_runs(documents(spark, folder), prepare=periodic.repeat_tail))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_language, op2_personal, op3_sharding, op4_decontaminate, op5_simhash, op6_chat, op7_repeats, op8_orc_ids,
-        op9_quality, op10_packing,
+        op9_quality, op10_packing, op12_periodic,
     )
     return {f.__name__: f for f in registered}
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill.llm import (
-    chat, decontaminate, language, orc_ids, packing, periodic, personal, quality, repeats, sharding, simhash,
+    chat, decontaminate, language, orc_ids, packing, periodic, personal, quality, repeats, sharding, simhash, turns,
 )
 from textmill.session import new_folder
 
@@ -68,10 +68,15 @@ def op12_periodic(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.run_digests(periodic.repeated_runs(documents(spark, folder), prepare=periodic.repeat_tail))
 
 
+def op13_turns(spark: SparkSession, folder: str) -> DataFrame:
+    said = spark.read.parquet(f"{folder}/conversations.parquet")
+    return turns.audits(said, turns.damage(said))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_language, op2_personal, op3_sharding, op4_decontaminate, op5_simhash, op6_chat, op7_repeats, op8_orc_ids,
-        op9_quality, op10_packing, op12_periodic,
+        op9_quality, op10_packing, op12_periodic, op13_turns,
     )
     return {f.__name__: f for f in registered}
 

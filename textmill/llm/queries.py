@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill.llm import (
-    chat, decontaminate, language, orc_ids, packing, periodic, personal, quality, repeats, sharding, simhash, turns,
+    chat, decontaminate, language, orc_ids, packing, periodic, personal, quality, repeats, sharding, simhash, turns, warc,
 )
 from textmill.session import new_folder
 
@@ -64,6 +64,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.read_back(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op12_periodic(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.run_digests(periodic.repeated_runs(documents(spark, folder), prepare=periodic.repeat_tail))
 
@@ -76,10 +80,10 @@ def op13_turns(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_language, op2_personal, op3_sharding, op4_decontaminate, op5_simhash, op6_chat, op7_repeats, op8_orc_ids,
-        op9_quality, op10_packing, op12_periodic, op13_turns,
+        op9_quality, op10_packing, op11_warc, op12_periodic, op13_turns,
     )
     return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat": chat.SQL}
+    return {"op6_chat": chat.SQL, "op11_warc": warc.SQL}

@@ -1,3 +1,5 @@
+import random
+
 from conftest import make_vocab
 from pyspark.sql import functions as F
 
@@ -50,15 +52,62 @@ def test_wordpiece_cases(spark):
     assert got["a" * 101] == ["[UNK]"]
 
 
-def test_hot_and_rare_words_take_different_joins_with_one_result(spark):
+def test_rows_are_encoded_in_place(spark):
     vocab = make_vocab(spark, ["a", "b", "##b", "c"])
-    rows = [(i, ["a", "a bb", "a c bb zz", "", "a a a c"][i % 5]) for i in range(200)]
-    df = spark.createDataFrame(rows, "k int, text string")
-    whole = T.encode_rows(df, ["k"], "text", vocab)
-    split = T.encode_rows(df, ["k"], "text", vocab, hot_share=0.2)
-    want = {r.k: r.ids for r in whole.collect()}
-    assert want == {r.k: r.ids for r in split.collect()}
-    assert len(want) == 200 and want[3] == [] and want[2] == [5, 8, 6, 7, 0]
+    rows = [(i, ["a", "a bb", "a c bb zz", "", "a a a c", None][i % 6]) for i in range(60)]
+    encoded = T.encode_rows(spark.createDataFrame(rows, "k int, text string"), ["k"], "text", vocab)
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan and "Window" not in plan
+    want = {r.k: r.ids for r in encoded.collect()}
+    assert len(want) == 60 and want[3] == want[5] == [] and want[2] == [5, 8, 6, 7, 0] and want[4] == [5, 5, 5, 8]
+
+
+def test_the_trie_finds_what_a_greedy_loop_finds(spark):
+    rng = random.Random(4)
+    letters = "abcdé中\U0001f600[(\\.#"
+    tokens = sorted({("##" if rng.random() < 0.6 else "") + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 5))) for _ in range(400)})
+    tokens += [chr(0x3041 + i) + x for i in range(80) for x in ("", "b")]
+    vocab = make_vocab(spark, tokens)
+    words_ = ["".join(rng.choice(letters + "\u3041\u3050") for _ in range(rng.randrange(1, 12))) for _ in range(3000)]
+    df = spark.createDataFrame([(w,) for w in sorted(set(words_))], "word string")
+    known = set(tokens)
+    for r in T.wordpiece(df, vocab).collect():
+        assert r.pieces == greedy(r.word, known), r.word
+
+
+def test_added_tokens_pass_whole(spark):
+    vocab = make_vocab(spark, ["ab", "cd", "tok", "xx", "##yy"])
+    new = spark.createDataFrame([("new tok", 1), ("New", 2)], "token string, o int")
+    grown = V.add_tokens(vocab, new, "o", lower=True)
+    ids = {r.token: r.id for r in grown.collect()}
+    rows = spark.createDataFrame([(1, "ab new tok cd"), (2, "xxNEWtok"), (3, "new  tok"), (4, "[MASK]new")], "k int, text string")
+    got = {r.k: r.ids for r in T.encode_rows(rows, ["k"], "text", grown).collect()}
+    assert got[1] == [ids["ab"], ids["new tok"], ids["cd"]]
+    assert got[2] == [ids["xx"], ids["new"], ids["tok"]] and got[3] == [ids["new"], ids["tok"]]
+    assert got[4] == [ids["[MASK]"], ids["new"]]
+    cased = {r.k: r.ids for r in T.encode_rows(rows, ["k"], "text", T.Codebook(grown, lower=False)).collect()}
+    assert cased[2] == [0]
+
+
+ODD = [
+    "ab中文cd [MASK]", "한국어 テスト", "İstanbul İ", "x\u0000y\u200bz caf\u0301e", "a" * 100 + " " + "a" * 101, "[SEP][sep]",
+    "\u3000ab\u00a0cd\u2028x", "", " \t", "\U0001f600ab \U0001f600", "ΑΣ. ΑΣΑ", "\ue000ab\ufffd", "á̂b a",
+]
+
+
+def test_offsets_have_the_ids_of_encoding(spark):
+    vocab = make_vocab(spark, ["ab", "cd", "中", "a", "##a", "ist", "##anbul", "i", "x", "##y", "##z", "cafe", "[", "sep", "]", "한", "##국"])
+    df = spark.createDataFrame(list(enumerate(ODD)), "k int, text string")
+    ids = {r.k: r.ids for r in T.encode_rows(df, ["k"], "text", vocab).collect()}
+    found = T.with_offsets(df, "text", "t", vocab).collect()
+    for r in found:
+        assert [t.id for t in r.t] == ids[r.k], r.text
+        assert all(0 <= t.s < t.e <= len(r.text) for t in r.t)
+        assert all(x.e <= y.s for x, y in zip(r.t, r.t[1:]))
+    spans = {(r.k, t.token): r.text[t.s:t.e] for r in found for t in r.t}
+    assert spans[0, "[MASK]"] == "[MASK]" and spans[0, "中"] == "中" and spans[2, "ist"] == "İst"
+    assert spans[3, "x"] == "x" and spans[3, "##z"] == "z" and spans[3, "cafe"] == "caf\u0301e"
+    assert [t.token for t in found[4].t] == ["a"] + ["##a"] * 99 + ["[UNK]"] and found[4].t[-1].e == 202
 
 
 def test_offsets_point_into_the_original(spark):
@@ -67,7 +116,7 @@ def test_offsets_point_into_the_original(spark):
     df = spark.createDataFrame([(1, text)], "k int, text string")
     got = T.token_offsets(df, ["k"], "text", vocab).orderBy("s").collect()
     assert [(r.token, text[r.s:r.e]) for r in got] == [
-        ("caf", "Caf"), ("##e", "é"), ("[UNK]", ","), ("ok", "ok"), (".", "."), ("[UNK]", "zz"), ("ok", "ok")
+        ("caf", "Caf"), ("##e", "é"), ("[UNK]", ","), ("ok", "ok"), (".", "."), ("[UNK]", "zz​ok")
     ]
     chars = spark.createDataFrame([(1, 3), (1, 0), (1, 10)], "k int, at int")
     found = {r.at: r.token for r in T.char_to_token(T.token_offsets(df, ["k"], "text", vocab), chars, ["k"], "at").collect()}

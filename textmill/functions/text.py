@@ -5,9 +5,11 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from textmill.functions.arrays import starts
 from textmill.functions.draws import as_column
+from textmill.functions.trie import longest
 
 # Fixed values of the tokenizer format: special tokens, ASCII punctuation ranges (which include the
 # symbols Unicode does not call punctuation), and the eight ideograph blocks.
@@ -20,10 +22,17 @@ IDEOGRAPHS = (
 
 WORD = rf"[{PUNCTUATION}]|[^\p{{Z}}{PUNCTUATION}]+"
 SPECIAL = "|".join(t.replace("[", r"\[").replace("]", r"\]") for t in SPECIAL_TOKENS)
+# Stands for found tokens, or round them. A private character: cleaning drops it, so no word holds it.
+MARK = "\ue000"
+# A word with the blanks before it, in cleaned and folded text: an ideograph, a punctuation character, a mark or a run.
+SPOTTED = rf" *+(?:[{IDEOGRAPHS}]|[{PUNCTUATION}]|\x{{E000}}|[^ \x{{E000}}{PUNCTUATION}{IDEOGRAPHS}]++)"
 # What the quick path of word splitting cannot take: dropped characters, free combining marks (and the
-# dotted capital I, whose small form has one), ideographs and special tokens.
-RARE_PLAIN = rf"[\p{{C}}\p{{Mn}}\x{{FFFD}}\x{{130}}&&[^\t\n\r]]|{SPECIAL}"
-RARE = rf"[\p{{C}}\p{{Mn}}\x{{FFFD}}\x{{130}}{IDEOGRAPHS}&&[^\t\n\r]]|{SPECIAL}"
+# dotted capital I, whose small form has one), ideographs and special tokens. Characters up to U+02FF but for
+# two hold none of it, so most texts need the first, cheaper look only.
+UNUSUAL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F\xAD\x{130}\x{300}-\x{10FFFF}]"
+RARE = rf"[\p{{C}}\p{{Mn}}\x{{FFFD}}\x{{130}}{IDEOGRAPHS}&&[^\t\n\r]]"
+# Other blanks than the space, all of which end words.
+BLANKS = "\t\n\r\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # Vocabulary learning keeps runs: word characters together, everything else that is not blank together.
 RUN_CHARS = r"\p{L}\p{M}\p{N}\p{Pc}"
 RUN = rf"[{RUN_CHARS}]+|[^{RUN_CHARS}\p{{Z}}\s]+"
@@ -50,34 +59,111 @@ def lower_plain(text) -> Column:
     return strip_accents(F.lower(as_column(text)))
 
 
-def clean(text) -> Column:
-    """Tab and line ends become spaces; control and replacement characters go away."""
-    spaced = F.translate(as_column(text), "\t\n\r", "   ")
-    return F.regexp_replace(spaced, r"[\p{C}\x{FFFD}]+", "")
+def _folded(text: Column, lower: bool) -> Column:
+    """Blanks as spaces, small letters without accents; as long as the text, unless that is rare."""
+    source, target = accent_table() if lower else ("", "")
+    return F.translate(F.lower(text) if lower else text, BLANKS + source, " " * len(BLANKS) + target)
+
+
+def _rare(text: Column, tokens: str | None) -> Column:
+    found = (text.rlike(UNUSUAL) & text.rlike(RARE)) | (text.contains("[") & text.rlike(SPECIAL))
+    return found | text.rlike(tokens) if tokens else found
+
+
+def _dropped(lower: bool) -> str:
+    return r"[\p{C}\p{Mn}\x{FFFD}]+" if lower else r"[\p{C}\x{FFFD}]+"
+
+
+def _parts(text: Column, tokens: str | None) -> Column:
+    """The text cut at special and added tokens: plain parts and tokens in turn."""
+    pattern = f"{SPECIAL}|{tokens}" if tokens else SPECIAL
+    return F.split(F.regexp_replace(F.translate(text, MARK, "\x00"), f"({pattern})", f"{MARK}$1{MARK}"), MARK)
+
+
+def _named(token: Column, lower: bool) -> Column:
+    special = F.array(*[F.lit(t) for t in SPECIAL_TOKENS])
+    return F.when(F.array_contains(special, token), token).otherwise(F.lower(token)) if lower else token
 
 
-def space_ideographs(text) -> Column:
-    return F.regexp_replace(as_column(text), f"([{IDEOGRAPHS}])", " $1 ")
+CHARS = "array<struct<x:string,at:int,part:int>>"
+SPAN = "array<struct<word:string,s:int,at:array<int>>>"
 
 
-def words_of(text, lower: bool = True, ideographs: bool = True) -> Column:
-    """Array of words: special tokens whole, each punctuation character on its own."""
+def words_of(text, lower: bool = True, tokens: str | None = None) -> Column:
+    """Array of words: special tokens whole, ideographs and punctuation characters on their own.
+
+    ``tokens``: a pattern of added tokens (:func:`added_pattern`), which pass whole too, also from inside a word.
+    """
     text = as_column(text)
-    spaced = clean(text)
-    if ideographs:
-        spaced = space_ideographs(spaced)
-    careful = F.regexp_extract_all(spaced, F.lit(f"{SPECIAL}|{WORD}"), F.lit(0))
-    if lower:
-        keep = F.array(*[F.lit(t) for t in SPECIAL_TOKENS])
-        careful = F.filter(
-            F.transform(careful, lambda w: F.when(F.array_contains(keep, w), w).otherwise(lower_plain(w))),
-            lambda w: w != "",
-        )
-    # Most texts hold nothing that needs care: one scan tells, and one character mapping then does it all.
+    # Most texts hold nothing that needs care: one character mapping and one split then do it all.
+    spaced = F.regexp_replace(_folded(text, lower), f"([{PUNCTUATION}])", " $1 ")
+    quick = F.array_remove(F.split(spaced, " "), "")
+    plain = lambda p: F.regexp_extract_all(F.regexp_replace(_folded(p, lower), _dropped(lower), ""), F.lit(SPOTTED), F.lit(0))
+    careful = F.flatten(F.transform(
+        _parts(text, tokens), lambda p, i: F.when(i % 2 == 1, F.array(_named(p, lower))).otherwise(F.transform(plain(p), lambda w: F.ltrim(w)))
+    ))
+    return F.when(_rare(text, tokens), careful).otherwise(quick)
+
+
+def with_spans(df: DataFrame, text: str, out: str, lower: bool = True, tokens: str | None = None) -> DataFrame:
+    """Adds ``out``: array<struct<word, s, at>>, the words of :func:`words_of` with their place in the text.
+
+    ``s`` is a word's first character in the text. ``at`` holds the place of each character of the word; it is null
+    where they follow each other from ``s`` on. Cleaning may drop characters inside a word and folding make more of
+    them, so rare texts go character by character: each kept one carries its place along.
+    """
     source, target = accent_table() if lower else ("", "")
-    mapped = F.translate(F.lower(text) if lower else text, "\t\n\r" + source, "   " + target)
-    quick = F.regexp_extract_all(mapped, F.lit(WORD), F.lit(0))
-    return F.when(text.rlike(RARE if ideographs else RARE_PLAIN), careful).otherwise(quick)
+    rare, parts = F.col("_rare"), F.col("_parts")
+    rows = df.withColumn("_rare", _rare(F.col(text), tokens)).withColumn("_parts", F.when(rare, _parts(F.col(text), tokens)))
+    rows = rows.withColumn("_offsets", starts(F.transform("_parts", lambda p: F.length(p))))
+
+    def chars(part: Column) -> Column:
+        single = F.split(part, "")
+        if not lower:
+            return single
+        # Small forms depend on what is around; only where one takes more characters they are made one by one.
+        return F.when(F.length(F.lower(part)) == F.length(part), F.split(F.lower(part), "")).otherwise(F.transform(single, lambda c: F.lower(c)))
+
+    def fold(char: Column) -> Column:
+        return F.regexp_replace(F.translate(char, BLANKS + source, " " * len(BLANKS) + target), _dropped(lower), "")
+
+    def placed(both: Column, no: Column) -> Column:
+        part, first = both["_parts"], both["_offsets"]
+        token = F.array(F.struct(F.lit(MARK).alias("x"), first.alias("at"), no.alias("part")))
+        return F.when(no % 2 == 1, token).when(part == "", F.array().cast(CHARS)).otherwise(
+            F.transform(chars(part), lambda c, i: F.struct(fold(c).alias("x"), (first + i).cast("int").alias("at"), no.alias("part")))
+        )
+
+    rows = rows.withColumn("_placed", F.flatten(F.transform(F.arrays_zip("_parts", "_offsets"), placed)))
+    rows = rows.withColumn("_chars", F.flatten(F.transform("_placed", lambda k: F.when(
+        k["x"] != "", F.transform(F.split(k["x"], ""), lambda x: F.struct(x.alias("x"), k["at"].alias("at"), k["part"].alias("part")))
+    ).otherwise(F.array().cast(CHARS)))))
+    clean = F.when(rare, F.array_join(F.transform("_chars", lambda k: k["x"]), "")).otherwise(_folded(F.col(text), lower))
+    rows = rows.withColumn("_clean", clean)
+    rows = rows.withColumn("_found", F.regexp_extract_all("_clean", F.lit(SPOTTED), F.lit(0)))
+    rows = rows.withColumn("_words", F.transform("_found", lambda w: F.ltrim(w))).withColumn("_s", starts(F.transform("_found", lambda m: F.length(m))))
+    rows = rows.withColumn("_gaps", F.zip_with("_found", "_words", lambda m, w: F.length(m) - F.length(w)))
+    rows = rows.withColumn("_s", F.zip_with("_s", "_gaps", lambda s, g: (s + g).cast("int")))
+
+    def careful(word: Column, s: Column) -> Column:
+        first = F.element_at("_chars", s + 1)
+        name = F.element_at(parts, first["part"] + 1)
+        at = F.when(word == MARK, F.sequence(first["at"], first["at"] + F.length(name) - 1)).otherwise(
+            F.transform(F.slice("_chars", s + 1, F.length(word)), lambda k: k["at"])
+        )
+        return F.struct(F.when(word == MARK, _named(name, lower)).otherwise(word).alias("word"), first["at"].alias("s"), at.alias("at"))
+
+    quick = lambda w, s: F.struct(w.alias("word"), s.alias("s"), F.lit(None).cast("array<int>").alias("at"))
+    spans = F.when(rare, F.zip_with("_words", "_s", careful).cast(SPAN)).otherwise(F.zip_with("_words", "_s", quick).cast(SPAN))
+    return rows.withColumn(out, spans).drop("_rare", "_parts", "_offsets", "_placed", "_chars", "_clean", "_words", "_found", "_gaps", "_s")
+
+
+def added_pattern(tokens: list[str], lower: bool = True) -> str | None:
+    """A pattern that finds added tokens, the longest at a place; in any case if texts are lower-cased."""
+    names = [t for t in tokens if t and t not in SPECIAL_TOKENS]
+    if not names:
+        return None
+    return f"(?iu:{longest(t.lower() for t in names)})" if lower else f"(?:{longest(names)})"
 
 
 def runs_of(text) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from textmill.functions.arrays import let
 from textmill.functions.draws import uniform
 from textmill.operators.packing import filled
 
@@ -116,22 +117,15 @@ def scatter_update(df: DataFrame, sequence: str, positions: str, updates: str, o
         ).alias("value")),
     )
     df = df.withColumn("_pairs", pairs).withColumn("_hit", F.map_from_entries(sums))
-    start = F.struct(
-        F.col("_hit").alias("h"), F.array().cast("array<struct<v:int,c:int>>").alias("out"), F.lit(0).alias("i")
-    )
-
-    def step(acc: Column, x: Column) -> Column:
-        hit = F.element_at(acc["h"], acc["i"])
-        value = F.floor(hit["s"] / hit["n"]).cast("int")
-        new = F.struct(F.coalesce(value, x).alias("v"), F.when(hit.isNull(), 0).otherwise(1).alias("c"))
-        return F.struct(acc["h"].alias("h"), F.concat(acc["out"], F.array(new)).alias("out"), (acc["i"] + 1).alias("i"))
-
-    done = F.aggregate(F.col(sequence), start, step, lambda acc: acc["out"])
+    # At most one entry for each position, so a look-up is short.
+    # Named once around the lambda: inside it, the optimizer would put the making of the map.
+    hits = let(F.col("_hit"), lambda hit: F.transform(sequence, lambda _, i: F.element_at(hit, i)))
+    mean = lambda h: F.floor(h["s"] / h["n"]).cast("int")
     return (
-        df.withColumn("_done", done)
-        .withColumn(out, F.transform("_done", lambda x: x["v"]))
-        .withColumn(changed, F.transform("_done", lambda x: x["c"]))
-        .drop("_pairs", "_hit", "_done")
+        df.withColumn("_hits", hits)
+        .withColumn(out, F.zip_with(sequence, "_hits", lambda x, h: F.when(h.isNull(), x).otherwise(mean(h))))
+        .withColumn(changed, F.transform("_hits", lambda h: F.when(h.isNull(), 0).otherwise(1)))
+        .drop("_pairs", "_hit", "_hits")
     )
 
 

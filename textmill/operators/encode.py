@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from textmill.functions.text import words_of
 from textmill.operators.packing import filled
-from textmill.operators.tokenize import encode_rows
+from textmill.operators.tokenize import Codebook, codebook
 
 NONE = "array<int>"
 
@@ -157,11 +158,13 @@ def pair_turns(conversations: DataFrame) -> DataFrame:
     return asked.join(follow, ["conv_id", "turn"])
 
 
-def encode_pairs(df: DataFrame, keys: list[str], a: str, b: str, vocab: DataFrame, lower: bool = True) -> DataFrame:
-    """(keys, a, b): the id arrays of two text columns, encoded in one pass over the words of both."""
-    sides = F.array(F.struct(F.lit("a").alias("side"), F.col(a).alias("text")),
-                    F.struct(F.lit("b").alias("side"), F.col(b).alias("text")))
-    long = df.select(*keys, F.explode(sides).alias("x")).select(*keys, "x.side", "x.text")
-    ids = encode_rows(long, [*keys, "side"], "text", vocab, lower)
-    pick = lambda side: F.coalesce(F.max(F.when(F.col("side") == side, F.col("ids"))), empty_ids())
-    return ids.groupBy(*keys).agg(pick("a").alias("a"), pick("b").alias("b"))
+def encode_pairs(
+    df: DataFrame, keys: list[str], a: str, b: str, vocab: DataFrame | Codebook, lower: bool = True
+) -> DataFrame:
+    """(keys, a, b): the id arrays of two text columns. Inside the row; no shuffle."""
+    book = codebook(vocab, lower)
+    coded = df
+    for text, out in ((a, "_a_ids"), (b, "_b_ids")):
+        coded = book.coded(coded, words_of(text, lower, book.tokens), lambda w: w, out, kind="ids")
+    made = [F.coalesce(F.flatten(out), empty_ids()).alias(side) for out, side in (("_a_ids", "a"), ("_b_ids", "b"))]
+    return coded.select(*keys, *made)

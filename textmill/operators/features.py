@@ -8,45 +8,49 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.functions.draws import uniform
 from textmill.functions.prefix import hashed_rank, running_total
+from textmill.functions.text import words_of
 from textmill.operators.encode import stride_windows
 from textmill.operators.packing import filled
-from textmill.operators.tokenize import join_codes, pretokenize, token_offsets
+from textmill.operators.tokenize import Codebook, codebook, with_offsets
 
 IGNORED = -100
 
 
 def align_labels(
-    df: DataFrame, keys: list[str], vocab: DataFrame, cls: Column, sep: Column, tokens: str = "tokens",
+    df: DataFrame, keys: list[str], vocab: DataFrame | Codebook, cls: Column, sep: Column, tokens: str = "tokens",
     tags: str = "tags", label_all: bool = False,
 ) -> DataFrame:
     """(keys, input_ids, labels): the first piece of a word gets its tag, later pieces the tag or -100,
     special tokens -100. A given token that splits further keeps its own first piece as the first one."""
-    words = df.select(*keys, F.posexplode_outer(F.arrays_zip(F.col(tokens).alias("w"), F.col(tags).alias("t"))).alias("token_no", "x"))
-    inner = pretokenize(words.select(*keys, "token_no", F.col("x.t").alias("tag"), F.col("x.w").alias("token")),
-                        [*keys, "token_no", "tag"], "token")
-    coded = join_codes(inner, vocab)  # words without pieces keep their sentence
-    later = F.col("tag") if label_all else F.lit(IGNORED)
-    labels = F.transform(
-        "ids", lambda _, i: F.when((i == 0) & (F.col("pos") == 0), F.col("tag")).otherwise(later).cast("int")
-    )
-    known = F.when(F.col("ids").isNotNull(), F.struct("token_no", "pos", "ids", labels.alias("labels")))
-    listed = F.sort_array(F.collect_list(known))
-    grouped = coded.groupBy(*keys).agg(listed.alias("all"))
-    return grouped.select(
-        *keys,
-        F.concat(F.array(cls), F.flatten(F.transform("all", lambda x: x["ids"])), F.array(sep)).alias("input_ids"),
-        F.concat(filled(IGNORED, F.lit(1)), F.flatten(F.transform("all", lambda x: x["labels"])),
-                 filled(IGNORED, F.lit(1))).alias("labels"),
+    book = codebook(vocab)
+    # All words of all tokens of a sentence are matched in one pass; each word knows its token's tag.
+    inner = F.transform(F.arrays_zip(F.col(tokens).alias("w"), F.col(tags).alias("t")), lambda x: F.transform(
+        words_of(x["w"], book.lower, book.tokens), lambda w, i: F.struct(w.alias("word"), x["t"].cast("int").alias("tag"), i.alias("pos"))
+    ))
+
+    def labelled(words: Column, ids: Column) -> Column:
+        def labels(x: Column, own: Column) -> Column:
+            first = lambda i: (i == 0) & (x["pos"] == 0)
+            later = x["tag"] if label_all else F.lit(IGNORED)
+            return F.transform(own, lambda _, i: F.when(first(i), x["tag"]).otherwise(later).cast("int"))
+
+        return F.struct(F.flatten(ids).alias("ids"), F.flatten(F.zip_with(words, ids, labels)).alias("labels"))
+
+    rows = df.withColumn("_inner", F.flatten(inner))
+    rows = book.coded(rows, "_inner", lambda ws: F.transform(ws, lambda w: w["word"]), "_made", labelled, "ids")
+    none = F.array().cast("array<int>")
+    ids, labels = F.coalesce("_made.ids", none), F.coalesce("_made.labels", none)
+    return rows.select(
+        *keys, F.concat(F.array(cls), ids, F.array(sep)).alias("input_ids"),
+        F.concat(filled(IGNORED, F.lit(1)), labels, filled(IGNORED, F.lit(1))).alias("labels"),
     )
 
 
-def offsets_by_row(df: DataFrame, keys: list[str], text: str, vocab: DataFrame) -> DataFrame:
+def offsets_by_row(df: DataFrame, keys: list[str], text: str, vocab: DataFrame | Codebook) -> DataFrame:
     """(keys, pieces): the token spans of a text as one ordered array of (id, s, e)."""
-    spans = token_offsets(df, keys, text, vocab)
-    listed = F.sort_array(F.collect_list(F.struct("word_no", "piece_no", "id", "s", "e")))
-    return spans.groupBy(*keys).agg(
-        F.transform(listed, lambda x: F.struct(x["id"].alias("id"), x["s"].alias("s"), x["e"].alias("e"))).alias("pieces")
-    )
+    return with_offsets(df, text, "_tokens", vocab).select(*keys, F.transform(
+        "_tokens", lambda t: F.struct(t["id"].alias("id"), t["s"].alias("s"), t["e"].alias("e"))
+    ).alias("pieces"))
 
 
 def qa_windows(

@@ -116,18 +116,24 @@ def _opens(row: Window, tag: str) -> Column:
     return (F.col(tag) != "O") & (F.col(tag).startswith("B") | fresh)
 
 
-def _tag_spans(tags: DataFrame, sentence: list[str], pos: str, sides: list[str]) -> DataFrame:
-    """(sentence, side, type, s, e): the spans of several tag columns from one sort per sentence."""
+def _tag_spans(tags: DataFrame, sentence: list[str], pos: str, sides: list[str], hit: Column | None = None) -> DataFrame:
+    """(sentence, side, type, s, e): the spans of several tag columns from one sort per sentence.
+
+    With ``hit`` a sentence has one row more, of side -1, and ``n`` and ``hits`` count its tokens and those that hit.
+    """
     row = Window.partitionBy(*sentence).orderBy(pos)
     opened = tags.withColumns({f"_open{i}": _opens(row, tag).cast("int") for i, tag in enumerate(sides)})
     numbered = opened.withColumns({f"_span{i}": F.sum(f"_open{i}").over(row) for i in range(len(sides))})
     stacked = F.array(*[
         F.struct(F.lit(i).alias("side"), F.col(tag).alias("tag"), F.col(f"_span{i}").alias("span"))
         for i, tag in enumerate(sides)
-    ])
+    ], *([] if hit is None else [
+        F.struct(F.lit(-1).alias("side"), F.when(hit, "B-1").otherwise("B-0").alias("tag"), F.lit(0).cast("long").alias("span"))
+    ]))
     long = numbered.select(*sentence, F.col(pos).alias("_pos"), F.explode(stacked).alias("_x")).filter("_x.tag <> 'O'")
+    counted = [] if hit is None else [F.count("*").alias("n"), F.sum((F.col("_x.tag") == "B-1").cast("int")).alias("hits")]
     return long.groupBy(*sentence, F.col("_x.side").alias("side"), F.col("_x.span").alias("_span")).agg(
-        F.first(F.substring("_x.tag", 3, 1 << 30)).alias("type"), F.min("_pos").alias("s"), F.max("_pos").alias("e")
+        F.first(F.substring("_x.tag", 3, 1 << 30)).alias("type"), F.min("_pos").alias("s"), F.max("_pos").alias("e"), *counted
     ).drop("_span")
 
 
@@ -138,22 +144,24 @@ def entity_spans(tags: DataFrame, sentence: list[str], pos: str, tag: str) -> Da
 
 def entity_scores(tags: DataFrame, sentence: list[str], pos: str, pred: str, ref: str) -> DataFrame:
     """One row: exact-match precision, recall, F1 and token accuracy. Tokens whose reference tag is null or
-    -100 are ignored. Everything after the shuffle by sentence stays in its partition up to the last sum."""
+    -100 are ignored; a null prediction is wrong. One pass over the tags. Everything after the shuffle by sentence stays in its partition up to the last sum."""
     used = tags.filter(F.col(ref).isNotNull() & (F.col(ref).cast("string") != "-100"))
-    spans = _tag_spans(used, sentence, pos, [pred, ref])
+    spans = _tag_spans(used, sentence, pos, [pred, ref], F.col(pred).eqNullSafe(F.col(ref)))
+    counted = F.col("side") == -1
+    spans = spans.withColumn("type", F.when(~counted, F.col("type")))
     matched = spans.groupBy(*sentence, "type", "s", "e").agg(
-        F.max((F.col("side") == 0).cast("int")).alias("p"), F.max((F.col("side") == 1).cast("int")).alias("r")
+        F.max((F.col("side") == 0).cast("int")).alias("p"), F.max((F.col("side") == 1).cast("int")).alias("r"),
+        F.sum(F.when(counted, F.col("n"))).alias("n"), F.sum(F.when(counted, F.col("hits"))).alias("hits"),
     )
     counts = matched.agg(
         F.sum(F.col("p") * F.col("r")).cast("double").alias("tp"), F.sum("p").cast("double").alias("n_pred"),
-        F.sum("r").cast("double").alias("n_ref"),
+        F.sum("r").cast("double").alias("n_ref"), (F.sum("hits") / F.sum("n")).alias("accuracy"),
     )
-    tokens = used.agg(F.avg((F.col(pred) == F.col(ref)).cast("double"))).scalar()
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     tp, n_pred, n_ref = zero(F.col("tp")), zero(F.col("n_pred")), zero(F.col("n_ref"))
     return counts.select(
         _ratio(tp, n_pred).alias("precision"), _ratio(tp, n_ref).alias("recall"),
-        _ratio(2 * tp, n_pred + n_ref).alias("f1"), tokens.alias("accuracy"),
+        _ratio(2 * tp, n_pred + n_ref).alias("f1"), "accuracy",
     )
 
 

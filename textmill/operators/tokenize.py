@@ -1,129 +1,165 @@
-"""Words, word pieces, ids, offsets and decoding."""
+"""Words, word pieces, ids, offsets and decoding.
+
+Encoding is a projection: a row's words, pieces and ids are array expressions inside the row, so texts are never
+exploded, shuffled or gathered again, and no word can crowd a task. What they look things up in is a
+:class:`Codebook`: the vocabulary as a trie and as a hash table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import zlib
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from textmill.functions.stage import materialize
-from textmill.functions.text import PUNCTUATION, SPECIAL_TOKENS, lower_plain, words_of
+from textmill.functions.arrays import let
+from textmill.functions.draws import as_column
+from textmill.functions.text import SPECIAL_TOKENS, added_pattern, with_spans, words_of
+from textmill.functions.trie import longest
 
-# Words with more than this share of all occurrences are joined by broadcast. There are at most its inverse of
-# them, of at most ``MAX_CHARS`` characters each, whatever the corpus; no other word can crowd a task.
-HOT_SHARE = 1e-4
 MAX_CHARS = 100
-SALTS = 1024
-# Lengths are packed in 15 bits.
-LENGTHS = 1 << 15
+# Bounds of what a codebook holds: tokens of all kinds, and added ones among them.
+MAX_TOKENS, MAX_ADDED = 4_000_000, 100_000
+# Stand behind each matched piece of a word, and between words. Control characters: words hold none.
+CUT, NEXT = "\x01", "\x02"
+CODE = "array<struct<id:int,f:int,n:int>>"
+CODES = f"array<{CODE}>"
 
 
-def pretokenize(df: DataFrame, keys: list[str], text: str, lower: bool = True) -> DataFrame:
+def pretokenize(df: DataFrame, keys: list[str], text: str, lower: bool = True, tokens: str | None = None) -> DataFrame:
     """(keys, pos, word); a row without words keeps one row with null pos and word."""
-    return df.select(*keys, F.posexplode_outer(words_of(text, lower)).alias("pos", "word"))
+    return df.select(*keys, F.posexplode_outer(words_of(text, lower, tokens)).alias("pos", "word"))
+
+
+def _table(spark: SparkSession, ids: dict[str, int]) -> tuple[DataFrame, int]:
+    """A hash table as one row, array<map<token, id>> by the hash of the token, and its size."""
+    n = slots(len(ids))
+    table: list[dict[str, int]] = [{} for _ in range(n)]
+    for token, i in ids.items():
+        table[zlib.crc32(token.encode()) % n][token] = i
+    return spark.createDataFrame([(table,)], "ids array<map<string,int>>"), n
+
+
+def slots(n: int) -> int:
+    """Places of a hash table for ``n`` entries: a power of two, so that most places hold one entry or none."""
+    return 1 << max(n - 1, 1).bit_length()
+
+
+def slot(word: Column, n: int) -> Column:
+    return F.pmod(F.crc32(word.cast("binary")), F.lit(n)).cast("int")
 
 
-def wordpiece(words: DataFrame, vocab: DataFrame, unk: str = "[UNK]", max_chars: int = MAX_CHARS) -> DataFrame:
+class Codebook:
+    """What encoding needs of a vocabulary (token, id, source).
+
+    ``pattern`` is a trie of the pieces: it finds the longest one at a place of a word, in time linear in the word.
+    ``ids`` is a hash table of the tokens and ``whole`` one of the special and added tokens, which never split.
+
+    A code is (id, f, n): a token, the character of the word it begins at and how many it takes. Vocabularies are
+    bounded by their size; added tokens by ``MAX_ADDED``, beyond which this is an error.
+    """
+
+    def __init__(self, vocab: DataFrame, unk: str = "[UNK]", max_chars: int = MAX_CHARS, lower: bool = True):
+        spark, self.max_chars, self.unk, self.lower = vocab.sparkSession, max_chars, unk, lower
+        rows = vocab.select("token", F.col("id").cast("int"), "source").limit(MAX_TOKENS + 1).collect()
+        rows.sort(key=lambda r: -r.id)  # of tokens that repeat, the least id counts
+        added = {r.token: r.id for r in rows if r.source == "added"}
+        if len(rows) > MAX_TOKENS or len(added) > MAX_ADDED:
+            raise ValueError(f"more than {MAX_TOKENS} tokens, or more than {MAX_ADDED} added ones")
+        base = {r.token: r.id for r in rows if r.source != "added"}
+        self.id_of = base | added
+        self.tokens = added_pattern(list(added), lower)
+        heads = longest(t for t in base if t not in SPECIAL_TOKENS)
+        tails = longest(t[2:] for t in base if t.startswith("##"))
+        self.pattern = rf"(?<![^{NEXT}]){heads}|\G(?<!^)(?<!{NEXT}){tails}"
+        self._ids = _table(spark, self.id_of)
+        self._whole = _table(spark, {t: i for t, i in self.id_of.items() if t in SPECIAL_TOKENS or t in added})
+
+    def coded(self, df: DataFrame, source: str | Column, words: Callable, out: str, body: Callable | None = None, kind: str = "code") -> DataFrame:
+        """Adds ``out``: for each of the row's words its code, or with ``kind`` ``ids`` just the ids.
+
+        ``words`` takes ``source`` to the array of words, ``body`` source and codes to what is wanted in the end. A
+        word over ``max_chars`` or with a rest that no piece matches is unknown as a whole. All words of the row are
+        matched by one pass. The tables and the source are each named once, so that the optimizer puts the tables
+        where they are used and never into rows.
+        """
+        as_ids = kind == "ids"
+        shape = "array<int>" if as_ids else CODE
+        ids_table, n_ids = self._ids
+        whole_table, n_whole = self._whole
+        rows = df.withColumn("_ids", ids_table.scalar()).withColumn("_whole", whole_table.scalar())
+        known = lambda p: F.element_at(F.element_at("_ids", slot(p, n_ids) + 1), p)
+        whole = lambda w: F.element_at(F.element_at("_whole", slot(w, n_whole) + 1), w)
+
+        def pieces(cut: Column) -> Column:
+            """A word whose last piece has a cut behind it is matched as a whole."""
+            listed = F.split(F.substring(cut, F.lit(1), F.length(cut) - 1), CUT)
+            named = lambda p, i: known(F.when(i == 0, p).otherwise(F.concat(F.lit("##"), p)))
+            if as_ids:
+                return F.transform(listed, named)
+            return let(listed, lambda l: F.transform(l, lambda p, i: F.struct(
+                named(p, i).alias("id"), F.when(i == 0, 0).otherwise(
+                    F.aggregate(F.slice(l, F.lit(1), i), F.lit(0), lambda a, x: a + F.length(x))
+                ).alias("f"),
+                F.length(p).alias("n"),
+            ))).cast(CODE)
+
+        def one(i: Column, word: Column) -> Column:
+            return F.array(i if as_ids else F.struct(i.alias("id"), F.lit(0).alias("f"), F.length(word).alias("n"))).cast(shape)
+
+        def code(word: Column, cut: Column) -> Column:
+            matched = cut.endswith(CUT) & (F.length(word) <= self.max_chars) & ~word.contains(CUT)
+            single = one(F.coalesce(whole(word), F.lit(self.id_of[self.unk])), word)
+            # Special tokens begin with a bracket, added ones with anything.
+            plain = whole(word).isNull() if self.tokens else ~word.startswith("[") | whole(word).isNull()
+            return F.when(matched & plain, pieces(cut)).otherwise(single)
+
+        cuts = lambda ws: F.split(F.regexp_replace(F.array_join(ws, NEXT), F.lit(self.pattern), F.lit("$0" + CUT)), NEXT)
+        coded = lambda ws: F.when(F.size(ws) > 0, F.zip_with(ws, cuts(ws), code)).otherwise(
+            F.when(ws.isNotNull(), F.array().cast(f"array<{shape}>"))
+        )
+        finish = body or (lambda _, codes: codes)
+        made = let(as_column(source), lambda given: let(words(given), lambda ws: finish(given, coded(ws))))
+        return rows.withColumn(out, made).drop("_ids", "_whole")
+
+    def token(self, word: Column, code: Column) -> Column:
+        """The text of one of the word's tokens."""
+        piece = F.concat(F.when(code["f"] > 0, F.lit("##")).otherwise(F.lit("")), F.substring(word, code["f"] + 1, code["n"]))
+        return F.when(code["id"] == self.id_of[self.unk], F.lit(self.unk)).otherwise(piece)
+
+
+def codebook(vocab: DataFrame | Codebook, lower: bool = True) -> Codebook:
+    return vocab if isinstance(vocab, Codebook) else Codebook(vocab, lower=lower)
+
+
+def wordpiece(words: DataFrame, vocab: DataFrame | Codebook, unk: str = "[UNK]", max_chars: int = MAX_CHARS) -> DataFrame:
     """Greedy longest match from the left for distinct words: adds ``pieces`` and ``ids``.
 
-    Candidates (start, length) of a word meet the vocabulary in one join; the walk picks, at each start
-    reached, the longest match. A word over ``max_chars`` or with an unmatched rest is one unknown token.
+    One pass of the vocabulary's trie over the word. A word over ``max_chars`` or with an unmatched rest is one
+    unknown token; special and added tokens are themselves.
     """
-    if max_chars >= LENGTHS:
-        raise ValueError(f"words of {LENGTHS} and more characters cannot be matched")
-    longest = vocab.agg(
-        F.max(F.length("token") - F.when(F.col("token").startswith("##"), 2).otherwise(0))
-    ).scalar()
-    unk_id = vocab.filter(F.col("token") == unk).agg(F.min("id")).scalar()
-    length = F.length("word")
-    fits = length <= max_chars
-    starts = words.withColumn("start", F.explode(F.sequence(F.lit(1), F.when(fits, length).otherwise(1))))
-    candidates = starts.withColumn(
-        "len", F.explode(F.sequence(F.lit(1), F.least(longest, length - F.col("start") + 1)))
-    ).withColumn(
-        "token",
-        F.concat(F.when(F.col("start") > 1, "##").otherwise(""), F.substring("word", F.col("start"), F.col("len"))),
-    )
-    # A match is one number: start, then the longest length first, then the id. Lengths fit because longer
-    # words are unknown as a whole.
-    packed = F.shiftleft(
-        F.col("start").cast("bigint") * LENGTHS + (LENGTHS - 1) - F.col("len"), 32
-    ).bitwiseOR(F.col("id").cast("bigint"))
-    # One-character candidates stay even without a match, so that no word vanishes. Rows of a word never
-    # leave its partition: grouping by word needs no exchange when the words come counted.
-    found = (
-        candidates.join(vocab.select("token", "id"), "token", "left")
-        .filter(F.col("id").isNotNull() | (F.col("len") == 1))
-        .groupBy(*words.columns).agg(F.sort_array(F.collect_list(packed)).alias("hits"))
-    )
-    begin = F.struct(F.lit(1).alias("at"), F.array().cast("array<bigint>").alias("taken"))
-
-    def step(acc: Column, h: Column) -> Column:
-        place = F.shiftright(h, 32)
-        start, len_ = F.shiftright(place, 15), F.lit(LENGTHS - 1) - place.bitwiseAND(F.lit(LENGTHS - 1))
-        return F.when(
-            start == acc["at"],
-            F.struct((start + len_).cast("int").alias("at"), F.concat(acc["taken"], F.array(h)).alias("taken")),
-        ).otherwise(acc)
-
-    def piece(h: Column) -> Column:
-        place = F.shiftright(h, 32)
-        start, len_ = F.shiftright(place, 15).cast("int"), (F.lit(LENGTHS - 1) - place.bitwiseAND(F.lit(LENGTHS - 1))).cast("int")
-        return F.concat(F.when(start > 1, "##").otherwise(""), F.substring(F.col("word"), start, len_))
-
-    walked = found.select(*words.columns, F.aggregate("hits", begin, step).alias("w"))
-    whole = fits & (F.col("w.at") == length + 1)
-    code = F.transform("w.taken", lambda h: h.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
-    return walked.select(
-        *words.columns,
-        F.when(whole, F.transform("w.taken", piece)).otherwise(F.array(F.lit(unk))).alias("pieces"),
-        F.when(whole, code).otherwise(F.array(unk_id)).alias("ids"),
+    book = vocab if isinstance(vocab, Codebook) else Codebook(vocab, unk=unk, max_chars=max_chars)
+    rows = book.coded(words, "word", lambda w: F.array(w), "_codes").withColumn("_code", F.element_at("_codes", 1))
+    return rows.select(
+        *words.columns, F.transform("_code", lambda c: book.token(F.col("word"), c)).alias("pieces"), F.transform("_code", lambda c: c["id"]).alias("ids")
     )
 
 
-def word_codes(df: DataFrame, text: str, vocab: DataFrame, lower: bool = True) -> DataFrame:
+def word_codes(df: DataFrame, text: str, vocab: DataFrame | Codebook, lower: bool = True) -> DataFrame:
     """Distinct words of a corpus with count, pieces and ids."""
+    book = codebook(vocab, lower)
     counted = (
-        df.select(F.explode(words_of(text, lower)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+        df.select(F.explode(words_of(text, lower, book.tokens)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     )
-    return wordpiece(counted, vocab)
+    return wordpiece(counted, book)
 
 
-def join_codes(
-    occurrences: DataFrame, vocab: DataFrame, hot_share: float = HOT_SHARE, unk: str = "[UNK]", max_chars: int = MAX_CHARS
-) -> DataFrame:
-    """Word occurrences (…, word) with their pieces and ids; each distinct word is encoded once.
-
-    Words over ``max_chars`` are unknown before any join. Words of more than ``hot_share`` of all occurrences get
-    their codes by broadcast; all others are joined by word. Rows that need no partner there (hot, too long,
-    without a word) carry a salt in place of the word, so that no key gathers them.
-    """
-    word = F.col("word")
-    short = word.isNotNull() & (F.length("word") <= max_chars)
-    counted = occurrences.filter(short).groupBy("word").agg(F.count("*").alias("n"))
-    codes = materialize(wordpiece(counted, vocab, unk, max_chars), "codes")
-    total = codes.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-    hot = codes.filter(F.col("n") > hot_share * total)
-    hot = hot.select("word", F.col("pieces").alias("_hot_pieces"), F.col("ids").alias("_hot_ids"))
-    near = occurrences.join(F.broadcast(hot), "word", "left")
-    looked_up = short & F.col("_hot_ids").isNull()
-    salt = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*occurrences.columns), F.lit(SALTS)).cast("string"))
-    keyed = near.withColumn("_key", F.when(looked_up, word).otherwise(salt))
-    joined = keyed.join(codes.select(word.alias("_key"), "pieces", "ids"), "_key", "left")
-    long, unk_id = F.length("word") > max_chars, vocab.filter(F.col("token") == unk).agg(F.min("id")).scalar()
-    return joined.select(
-        *occurrences.columns,
-        F.when(long, F.array(F.lit(unk))).otherwise(F.coalesce("_hot_pieces", "pieces")).alias("pieces"),
-        F.when(long, F.array(unk_id)).otherwise(F.coalesce("_hot_ids", "ids")).alias("ids"),
-    )
-
-
-def encode_rows(
-    df: DataFrame, keys: list[str], text: str, vocab: DataFrame, lower: bool = True, hot_share: float = HOT_SHARE
-) -> DataFrame:
-    """(keys, ids): the id array of each row's text. ``keys`` must identify the row."""
-    coded = join_codes(pretokenize(df, keys, text, lower), vocab, hot_share)
-    ordered = F.sort_array(F.collect_list(F.struct("pos", "ids")))
-    return coded.groupBy(*keys).agg(
-        F.flatten(F.transform(ordered, lambda w: F.coalesce(w["ids"], F.array().cast("array<int>")))).alias("ids")
+def encode_rows(df: DataFrame, keys: list[str], text: str, vocab: DataFrame | Codebook, lower: bool = True) -> DataFrame:
+    """(keys, ids): the id array of each row's text. No shuffle; a null text has no ids."""
+    book = codebook(vocab, lower)
+    words = words_of(text, lower, book.tokens)
+    return book.coded(df, words, lambda w: w, "_ids_of", kind="ids").select(
+        *keys, F.coalesce(F.flatten("_ids_of"), F.array().cast("array<int>")).alias("ids")
     )
 
 
@@ -163,50 +199,35 @@ def decode(
     return known.groupBy(*keys).agg(text.alias("text"))
 
 
-GAP = r"[\p{Z}\p{C}\x{FFFD}]*"
-SPOTTED = rf"({GAP})([{PUNCTUATION}]|[^\p{{Z}}\p{{C}}\x{{FFFD}}{PUNCTUATION}]+)"
-
+TOKEN = "array<struct<word_no:int,piece_no:int,token:string,id:int,s:int,e:int>>"
 
-def word_spans(df: DataFrame, keys: list[str], text: str, lower: bool = True) -> DataFrame:
-    """(keys, word_no, word, s): words with their character start in the original text.
 
-    Blank or dropped characters before a word are matched with it, so starts are a running sum of match
-    lengths inside one text. Dropped characters end a word here; folding keeps the length of composed text.
+def with_offsets(df: DataFrame, text: str, out: str, vocab: DataFrame | Codebook, lower: bool = True) -> DataFrame:
+    """Adds ``out``: array<struct<word_no, piece_no, token, id, s, e>>, the tokens that :func:`encode_rows` gives with
+    the characters of the text they stand for, end exclusive. An unknown word is one token over the whole word. Inside
+    the row; no shuffle.
     """
-    gaps = F.regexp_extract_all(F.col(text), F.lit(SPOTTED), F.lit(1))
-    words = F.regexp_extract_all(F.col(text), F.lit(SPOTTED), F.lit(2))
-    spotted = df.select(*keys, F.posexplode(F.arrays_zip(gaps.alias("gap"), words.alias("raw"))).alias("word_no", "m"))
-    before = Window.partitionBy(*keys).orderBy("word_no").rowsBetween(Window.unboundedPreceding, -1)
-    taken = F.length("m.gap") + F.length("m.raw")
-    raw = F.col("m.raw")
-    return spotted.select(
-        *keys, "word_no", (lower_plain(raw) if lower else raw).alias("word"), F.length(raw).alias("n_chars"),
-        (F.coalesce(F.sum(taken).over(before), F.lit(0)) + F.length("m.gap")).cast("int").alias("s"),
-    )
+    book = codebook(vocab, lower)
+    rows = with_spans(df, text, "_spans", lower, book.tokens)
 
+    def token(word: Column, code: Column, no: Column) -> Column:
+        place = lambda f: F.when(word["at"].isNull(), word["s"] + f).otherwise(F.element_at(word["at"], f + 1))
+        return F.transform(code, lambda c, i: F.struct(
+            no.alias("word_no"), i.alias("piece_no"), book.token(word["word"], c).alias("token"), c["id"].alias("id"),
+            place(c["f"]).alias("s"), (place(c["f"] + c["n"] - 1) + 1).alias("e"),
+        ))
 
-def token_offsets(df: DataFrame, keys: list[str], text: str, vocab: DataFrame, lower: bool = True) -> DataFrame:
-    """(keys, word_no, piece_no, token, id, s, e): character span of each piece, end exclusive.
+    def tokens(spans: Column, codes: Column) -> Column:
+        pairs = F.zip_with(spans, codes, lambda w, c: F.struct(w.alias("w"), c.alias("c")))
+        return F.flatten(F.transform(pairs, lambda p, no: token(p["w"], p["c"], no))).cast(TOKEN)
 
-    An unknown word is one piece over the whole word.
-    """
-    coded = join_codes(word_spans(df, keys, text, lower), vocab)
-    bare = F.transform("pieces", lambda p: F.when(p.startswith("##"), F.length(p) - 2).otherwise(F.length(p)))
-    widths = F.when(F.element_at("pieces", 1) == "[UNK]", F.array("n_chars")).otherwise(bare)
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
-    ends = F.aggregate(
-        widths, begin,
-        lambda acc, w: F.struct((acc["at"] + w).alias("at"), F.concat(acc["all"], F.array(acc["at"] + w)).alias("all")),
-        lambda acc: acc["all"],
-    )
-    piece = F.arrays_zip(
-        F.col("pieces").alias("token"), F.col("ids").alias("id"), widths.alias("width"), ends.alias("end")
-    )
-    long = coded.select(*keys, "word_no", "s", F.posexplode(piece).alias("piece_no", "p"))
-    return long.select(
-        *keys, "word_no", "piece_no", "p.token", "p.id",
-        (F.col("s") + F.col("p.end") - F.col("p.width")).alias("s"), (F.col("s") + F.col("p.end")).alias("e"),
-    )
+    words = lambda spans: F.transform(spans, lambda w: w["word"])
+    return book.coded(rows, "_spans", words, out, tokens).drop("_spans")
+
+
+def token_offsets(df: DataFrame, keys: list[str], text: str, vocab: DataFrame | Codebook, lower: bool = True) -> DataFrame:
+    """(keys, word_no, piece_no, token, id, s, e): :func:`with_offsets` as rows."""
+    return with_offsets(df, text, "_tokens", vocab, lower).select(*keys, F.inline("_tokens"))
 
 
 SPAN_BUCKET = 64

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from textmill.functions.draws import uniform, uniform_index
 from textmill.functions.stage import materialize
-from textmill.functions.text import SPECIAL_TOKENS
+from textmill.functions.text import SPECIAL_TOKENS, words_of
 from textmill.operators import encode as E, tokenize as T
 from textmill.operators.packing import token_id
 from textmill.plans.report import shown
-from textmill.plans.sqlparts import PART, code_parts, draw, folded, q, query, repeated, words
+from textmill.plans.sqlparts import PART, SPOTTED, code_parts, draw, folded, q, query, repeated, words
 from textmill.plans.sqlparts import shown as text_of
 from textmill.plans.workspace import workspace
 
@@ -27,20 +27,37 @@ def S(name, sql=None):
     return keep
 
 
+# Texts that the given tables have nothing like: ideographs and special tokens in one run, Hangul, dropped characters
+# inside a word, a word over the limit, composed and free accents. Their results are written out in the SQL.
+ODD_TEXTS = [
+    (-1, "ab\u4e2d\u6587cd [MASK]Now[SEP]"), (-2, "\ud55c\uad6d \x00\ud55c\u200b\uae00"), (-3, "q" * 101), (-4, "\u4e2d[MASK]\u6587\t[sep]"),
+    (-5, "E\u0301T\u00e9 \u0130x"),
+]
+
+
+def odd_texts(w):
+    return w.spark.createDataFrame(ODD_TEXTS, "doc_id bigint, text string")
+
+
 @S("pretokenize", query("""
   SELECT doc_id, line_no, count(*) AS n_words, string_agg(word, ' ' ORDER BY pos) AS words
-  FROM line_occ GROUP BY doc_id, line_no"""))
+  FROM line_occ GROUP BY doc_id, line_no
+  UNION ALL SELECT -1, 0, 7, 'ab ' || chr(20013) || ' ' || chr(25991) || ' cd [MASK] now [SEP]'
+  UNION ALL SELECT -2, 0, 2, chr(54620) || chr(44397) || ' ' || chr(54620) || chr(44544)
+  UNION ALL SELECT -3, 0, 1, repeat('q', 101)
+  UNION ALL SELECT -4, 0, 6, chr(20013) || ' [MASK] ' || chr(25991) || ' [ sep ]'
+  UNION ALL SELECT -5, 0, 2, 'ete ix'"""))
 def _(w):
-    occ = T.pretokenize(w.lines, ["doc_id", "line_no"], "line").filter(F.col("word").isNotNull())
-    listed = F.sort_array(F.collect_list(F.struct("pos", "word")))
-    return occ.groupBy("doc_id", "line_no").agg(
-        F.count("*").alias("n_words"), F.array_join(F.transform(listed, lambda x: x["word"]), " ").alias("words")
+    lines = w.lines.unionByName(odd_texts(w).select("doc_id", F.lit(0).alias("line_no"), F.col("text").alias("line")))
+    split = lines.select("doc_id", "line_no", words_of("line").alias("words")).filter(F.size("words") > 0)
+    return split.select(
+        "doc_id", "line_no", F.size("words").cast("bigint").alias("n_words"), F.array_join("words", " ").alias("words")
     )
 
 
 @S("wordpiece", query(f"SELECT word, {text_of('pieces')} AS pieces FROM line_codes"))
 def _(w):
-    return T.word_codes(w.lines, "line", w.vocab).select("word", "pieces")
+    return T.word_codes(w.lines, "line", w.book).select("word", "pieces")
 
 
 PART["vocab_added"] = "SELECT token, id, source FROM vocab UNION ALL SELECT token, id, 'added' FROM added"
@@ -48,17 +65,18 @@ PART["vocab_added"] = "SELECT token, id, source FROM vocab UNION ALL SELECT toke
 
 @S("to_ids", query("""
   SELECT o.token, coalesce(v.id, 0)::BIGINT AS id, n FROM (
-    SELECT token, count(*) AS n FROM (
-      SELECT source AS token FROM documents UNION ALL SELECT url FROM pages
-      UNION ALL SELECT substr(text, 1, 1) FROM documents) GROUP BY token) o
+    SELECT token, sum(n)::BIGINT AS n FROM (
+      SELECT source AS token, 1 AS n FROM documents UNION ALL SELECT url, 1 FROM pages
+      UNION ALL SELECT unnest(pieces), 1 FROM line_occ o JOIN line_codes c ON c.word = o.word) GROUP BY token) o
   LEFT JOIN vocab_added v ON v.token = o.token"""))
 def _(w):
+    """Sources, addresses and all pieces of all lines; each distinct word is cut once."""
     from textmill.plans.corpus import added_vocab
 
-    names = w.documents.select(F.col("source").alias("token")).unionByName(
-        w.table("pages").select(F.col("url").alias("token"))
-    ).unionByName(w.documents.select(F.substring("text", 1, 1).alias("token")))
-    return T.to_ids(names.groupBy("token").agg(F.count("*").alias("n")), added_vocab(w))
+    names = w.documents.select(F.col("source").alias("token")).unionByName(w.table("pages").select(F.col("url").alias("token")))
+    pieces = T.word_codes(w.lines, "line", w.book).select(F.explode("pieces").alias("token"), "n")
+    counted = names.withColumn("n", F.lit(1).cast("bigint")).unionByName(pieces).groupBy("token").agg(F.sum("n").alias("n"))
+    return T.to_ids(counted, added_vocab(w))
 
 
 PART["turn_pair"] = """
@@ -90,7 +108,7 @@ PART["turn_cut"] = """
 
 def pairs(w):
     turns = E.pair_turns(w.table("conversations"))
-    return materialize(E.encode_pairs(turns, ["conv_id", "turn"], "text_a", "text_b", w.vocab), "pairs")
+    return materialize(E.encode_pairs(turns, ["conv_id", "turn"], "text_a", "text_b", w.book), "pairs")
 
 
 def specials(w):
@@ -160,8 +178,8 @@ PART["spotted"] = f"""
          coalesce(sum(length(gap) + length(raw)) OVER (PARTITION BY doc_id ORDER BY word_no
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(gap) AS s
   FROM (SELECT doc_id, unnest(range(len(raws))) AS word_no, unnest(gaps) AS gap, unnest(raws) AS raw FROM (
-    SELECT doc_id, regexp_extract_all(text, {q(T.SPOTTED)}, 1) AS gaps,
-           regexp_extract_all(text, {q(T.SPOTTED)}, 2) AS raws FROM documents))"""
+    SELECT doc_id, regexp_extract_all(text, {q(SPOTTED)}, 1) AS gaps,
+           regexp_extract_all(text, {q(SPOTTED)}, 2) AS raws FROM documents))"""
 PART.update(code_parts("spot", "SELECT DISTINCT word FROM spotted"))
 PART["offsets"] = """
   SELECT doc_id, word_no, piece_no, token, id,
@@ -175,17 +193,32 @@ PART["offsets"] = """
               FROM spotted o JOIN spot_codes c ON c.word = o.word))"""
 
 
+# The word ``sep`` of an odd text, cut by the vocabulary.
+PART.update(code_parts("odd", "SELECT 'sep' AS word"))
+PART["odd_word"] = """
+  SELECT token, 1 + coalesce(sum(n) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_char, n FROM (
+    SELECT i, token, CASE WHEN token = '[UNK]' THEN 3 WHEN starts_with(token, '##') THEN length(token) - 2 ELSE length(token) END AS n
+    FROM (SELECT unnest(range(len(pieces))) AS i, unnest(pieces) AS token FROM odd_codes))"""
+
+
 def offsets(w):
-    return T.token_offsets(w.documents.select("doc_id", "text"), ["doc_id"], "text", w.vocab)
+    return T.token_offsets(w.documents.select("doc_id", "text"), ["doc_id"], "text", w.book)
 
 
 @S("token_offsets", query("""
   SELECT doc_id, string_agg(token || '@' || s || ':' || e, ' ' ORDER BY word_no, piece_no) AS spans
-  FROM offsets GROUP BY doc_id"""))
+  FROM offsets GROUP BY doc_id
+  UNION ALL SELECT -2, '[UNK]@0:2 [UNK]@4:7'
+  UNION ALL SELECT -3, '[UNK]@0:101'
+  UNION ALL SELECT -4, '[UNK]@0:1 [MASK]@1:7 [UNK]@7:8 ' || (
+    SELECT CASE WHEN count(*) = 1 THEN '[@9:10' ELSE '[UNK]@9:10' END FROM vocab WHERE token = '[')
+    || ' ' || (SELECT string_agg(token || '@' || (9 + first_char) || ':' || (9 + first_char + n), ' ' ORDER BY first_char) FROM odd_word)
+    || ' ' || (SELECT CASE WHEN count(*) = 1 THEN ']@13:14' ELSE '[UNK]@13:14' END FROM vocab WHERE token = ']')"""))
 def _(w):
-    span = F.concat("token", F.lit("@"), F.col("s").cast("string"), F.lit(":"), F.col("e").cast("string"))
-    listed = F.sort_array(F.collect_list(F.struct("word_no", "piece_no", span.alias("x"))))
-    return offsets(w).groupBy("doc_id").agg(F.array_join(F.transform(listed, lambda t: t["x"]), " ").alias("spans"))
+    texts = w.documents.select("doc_id", "text").unionByName(odd_texts(w).filter("doc_id in (-2, -3, -4)"))
+    span = lambda t: F.concat(t["token"], F.lit("@"), t["s"].cast("string"), F.lit(":"), t["e"].cast("string"))
+    rows = T.with_offsets(texts, "text", "tokens", w.book).filter(F.size("tokens") > 0)
+    return rows.select("doc_id", F.array_join(F.transform("tokens", span), " ").alias("spans"))
 
 
 @S("char_to_token", query(f"""

@@ -8,8 +8,16 @@ from __future__ import annotations
 
 import re
 
-from textmill.functions.text import IDEOGRAPHS, RUN, WORD
-
+# Written out here, so that the reference SQL does not follow the library's own patterns. Fixed values of the
+# tokenizer format: punctuation and the eight ideograph blocks; and runs for vocabulary learning.
+PUNCTUATION = r"!-/:-@\[-`{-~\p{P}"
+IDEOGRAPHS = (
+    r"\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
+    r"\x{2B740}-\x{2B81F}\x{2B820}-\x{2CEAF}\x{F900}-\x{FAFF}\x{2F800}-\x{2FA1F}"
+)
+WORD = rf"[{PUNCTUATION}]|[^\p{{Z}}{PUNCTUATION}]+"
+SPOTTED = rf"([\p{{Z}}\t\n\r]*)([{PUNCTUATION}]|[^\p{{Z}}\t\n\r{PUNCTUATION}]+)"
+RUN = r"[\p{L}\p{M}\p{N}\p{Pc}]+|[^\p{L}\p{M}\p{N}\p{Pc}\p{Z}\s]+"
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 VOCAB_SIZE = 2000
 PART: dict[str, str] = {}

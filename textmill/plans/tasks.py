@@ -72,12 +72,12 @@ def tagged(w):
 
 @S("align_labels", query(_align_sql("-100")))
 def _(w):
-    return X.align_labels(tagged(w), ["doc_id", "line_no"], w.vocab, *specials(w))
+    return X.align_labels(tagged(w), ["doc_id", "line_no"], w.book, *specials(w))
 
 
 @S("align_labels_all", query(_align_sql("tag")))
 def _(w):
-    return X.align_labels(tagged(w), ["doc_id", "line_no"], w.vocab, *specials(w), label_all=True)
+    return X.align_labels(tagged(w), ["doc_id", "line_no"], w.book, *specials(w), label_all=True)
 
 
 PART["qa_example"] = f"""
@@ -121,10 +121,10 @@ def qa_examples(w):
 
 def qa_windows(w):
     questions = encode_rows(
-        w.table("benchmark").select(F.col("item_id").alias("question_id"), "text"), ["question_id"], "text", w.vocab
+        w.table("benchmark").select(F.col("item_id").alias("question_id"), "text"), ["question_id"], "text", w.book
     )
     contexts = X.offsets_by_row(
-        w.documents.select(F.col("doc_id").alias("context_id"), "text"), ["context_id"], "text", w.vocab
+        w.documents.select(F.col("doc_id").alias("context_id"), "text"), ["context_id"], "text", w.book
     )
     examples = qa_examples(w).select("id", "question_id", "context_id", "answer_start", "answer_text")
     return X.qa_windows(examples, questions, contexts, *specials(w))

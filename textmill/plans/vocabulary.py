@@ -100,7 +100,7 @@ def _(w):
             .groupBy("lang", "source", "word").agg(F.count("*").alias("n"))
         )
         counted = materialize(counted, f"{kind}-counts")
-        codes = wordpiece(counted.select("word").distinct(), w.vocab)
+        codes = wordpiece(counted.select("word").distinct(), w.book)
         parts.append(V.coverage_report(counted, codes, ["lang", "source"]).withColumn("kind", F.lit(kind)))
     both = parts[0].unionByName(parts[1])
     return both.withColumn("pieces_per_word", F.col("pieces") / F.col("words")).withColumn(

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textmill.functions.stage import materialize
 from textmill.operators.packing import build_examples
-from textmill.operators.tokenize import encode_rows
+from textmill.operators.tokenize import Codebook, encode_rows
 from textmill.operators.vocabulary import alphabet, assemble_vocab, frequent_pieces, word_counts
-from textmill.session import configure
+from textmill.session import DEAL, configure
 from textmill.sources.corpus import corpus_lines
 
 VOCAB_SIZE = 2000
@@ -22,9 +22,12 @@ class Workspace:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
         self.folder = folder
+        dealt = spark.conf.get(DEAL, None)
+        self.deal = int(dealt) if dealt else None
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        rows = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return rows.repartition(self.deal) if self.deal else rows
 
     @cached_property
     def documents(self) -> DataFrame:
@@ -40,13 +43,17 @@ class Workspace:
         built = assemble_vocab(alphabet(counts), frequent_pieces(counts), VOCAB_SIZE)
         return materialize(built, "vocab").hint("broadcast")
 
+    @cached_property
+    def book(self) -> Codebook:
+        return Codebook(self.vocab)
+
     @cached_property
     def lines(self) -> DataFrame:
         return corpus_lines(self.documents.select("doc_id", "text"), ["doc_id"])
 
     @cached_property
     def encoded(self) -> DataFrame:
-        return materialize(encode_rows(self.lines, ["doc_id", "line_no"], "line", self.vocab), "encoded")
+        return materialize(encode_rows(self.lines, ["doc_id", "line_no"], "line", self.book), "encoded")
 
     def examples(self, lengths: list[int] | None = None) -> DataFrame:
         return build_examples(self.encoded, self.vocab, lengths or [128])

@@ -18,6 +18,11 @@ SQL_SETTINGS = {
 }
 
 
+# Partitions that input tables are dealt to right after the scan; not set, no dealing. For tables that are one file
+# with one row group, which no split size can divide, as on one machine; leave it unset on a cluster.
+DEAL = "spark.textmill.dealPartitions"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
@@ -33,6 +38,7 @@ def local_session(cores: str = "8", partitions: str = "8", memory: str = "16g")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", partitions)
+        .config(DEAL, cores)
         # Test tables are one small file each: small splits keep all cores busy.
         .config("spark.sql.files.maxPartitionBytes", "2m")
         .config("spark.sql.files.openCostInBytes", "64k")

@@ -4,7 +4,9 @@ import random
 
 import pytest
 
-from textmill.llm import decontaminate, personal
+from textmill.llm import decontaminate, orc_ids, personal, repeats, simhash
+from textmill.llm.queries import tokenizer_file
+from textmill.session import new_folder
 
 
 def longest_common(a, b):
@@ -87,3 +89,41 @@ def test_written_out_addresses_are_found_however_many(spark, share):
         assert spans[i] == f"{kind}:{at}:{at + len(said)}", texts[i]
     assert all(spans[i] == "" for i in prose)
     assert all(r.text == "please write to [EMAIL] soon" for r in personal.redact(table).collect() if r.doc_id in planted)
+
+
+def test_one_row_stays_for_each_component(spark):
+    """A doc_id on unlike texts loses none of them; copies without a doc_id go; of repeated rows one stays."""
+    draw = random.Random(1)
+    prose = lambda: " ".join(f"w{draw.randrange(5000)}" for _ in range(300))
+    a, b, c = prose(), prose(), prose()
+    rows = [(1, a, "x"), (1, b, "y"), (2, a, "z"), (None, a, "n"), (None, c, "n"), (None, c, "n"), (3, c, "k"), (4, None, "e"), (5, "", "e")]
+    rows += [(6, prose(), "r")] * 2
+    table = spark.createDataFrame(rows, "doc_id long, text string, _row string").repartition(4)
+    kept = simhash.keep_one(table).collect()
+    assert {r._row for r in kept} <= set("xyznker")
+    assert sorted((r.doc_id, r.text or "") for r in kept) == sorted([(1, a), (1, b), (3, c), (4, ""), (6, rows[-1][1])])
+
+
+def test_strings_over_the_field_are_an_error(spark):
+    table = spark.createDataFrame([(1, "ab" * 900)], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        repeats.remove_repeats(table, least=1200)
+    text = "".join(random.Random(2).choice("abcdefgh") for _ in range(2000))
+    pair = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    assert [r.n_removed for r in repeats.remove_repeats(pair, least=repeats.LONGEST).collect()] == [2000, 2000]
+
+
+def test_positions_are_right_where_files_are_cut(spark):
+    rows = [(i, f"text {i} " * (i % 7)) for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 50)
+    try:
+        folder = new_folder(spark, "orc-test")
+        orc_ids.write_ids(table, folder, tokenizer_file("word_bpe_49k.json"), files=2)
+        found = sorted(orc_ids.document_positions(spark, folder).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    at = 0
+    for r in found:
+        assert r.start == at
+        at += r.n_tokens

@@ -58,6 +58,7 @@ def write_ids(
         .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
         .option("orc.row.index.stride", row_index_stride).option("orc.stripe.size", stripe_bytes)
         .option("orc.encoding.strategy", "SPEED").option("compression", "zstd")
+        .option("maxRecordsPerFile", 0)  # one file a task: ``before`` counts along it
         .save(folder)
     )
 

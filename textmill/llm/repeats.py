@@ -62,6 +62,10 @@ def segments(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, least: i
     return hashes[anchor[new]].view(np.int64), first, at[last] - first + least, anchor[new] - first
 
 
+# The longest segment is twice the least string less one gram, and has to fit the fields of ten bits below.
+LONGEST = (1023 + GRAM) // 2
+
+
 # ``place``: a segment's first byte in its text, its size and where its anchor is in it, in one number.
 def first_of(p: str = "place") -> Column:
     return F.shiftright(F.col(p), 20)
@@ -330,6 +334,8 @@ def remove_repeats(docs: DataFrame, least: int = 200, bucket_bytes: int = 2 << 2
     """
     if least < 2 * GRAM:
         raise ValueError(f"strings of less than {2 * GRAM} bytes are not searched for")
+    if least > LONGEST:
+        raise ValueError(f"strings of more than {LONGEST} bytes do not fit the fields of a segment's place")
     rows = columns(docs, doc_id="long", text="string")
     rows = rows.withColumn("key", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
     ranges = repeated_ranges(rows.where(F.octet_length("text") >= least), least, bucket_bytes)

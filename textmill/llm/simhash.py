@@ -18,7 +18,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.functions.stage import materialize
 from textmill.llm.components import roots
@@ -51,13 +51,20 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, print) with the fingerprint as a signed long."""
+    """(doc_id, row, print): the fingerprint as a signed long, and a digest of doc_id and text that names the row."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = np.array([fingerprint(t, shingle, seed) for t in text_bytes(batch.column("text"))], dtype=np.uint64)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made.view(np.int64))], ["doc_id", "print"])
+        ids = [batch.column("doc_id"), batch.column("row")]
+        return pa.RecordBatch.from_arrays([*ids, pa.array(made.view(np.int64))], ["doc_id", "row", "print"])
 
-    return map_batches(columns(docs, doc_id="long", text="string"), work, "doc_id long, print long")
+    rows = columns(docs, doc_id="long", text="string")
+    return map_batches(rows.withColumn("row", row_name(F.col("doc_id"), F.col("text"))), work, "doc_id long, row binary, print long")
+
+
+def row_name(doc_id: Column, text: Column) -> Column:
+    parts = F.concat_ws(":", F.coalesce(doc_id.cast("long").cast("string"), F.lit("none")), F.coalesce(text.cast("string"), F.lit("")))
+    return F.unhex(F.md5(parts.cast("binary")))
 
 
 def bit_statistics(prints: DataFrame) -> tuple[int, np.ndarray]:
@@ -203,23 +210,42 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, most: int = 3, seed: int
     unless the component has no other. Repeated rows stay; other columns are ignored; no rows give no rows.
     """
     printed = materialize(fingerprints(docs, shingle, seed), "prints")
-    distinct = materialize(printed.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct")
-    root = materialize(roots(links(distinct.select("print"), most)), "roots")
-    rooted = distinct.join(root, F.col("print") == F.col("node"), "left")
-    rooted = rooted.select("print", "least", F.coalesce("root", "print").alias("root"))
+    rooted = rooted_prints(printed, most)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(named, "root").select("print", "component_id")
     joined = printed.join(named, "print")
     return joined.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def rooted_prints(printed: DataFrame, most: int) -> DataFrame:
+    """(print, least, root) of each distinct fingerprint: its least doc_id and its component."""
+    distinct = materialize(printed.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct")
+    root = materialize(roots(links(distinct.select("print"), most)), "roots")
+    rooted = distinct.join(root, F.col("print") == F.col("node"), "left")
+    return rooted.select("print", "least", F.coalesce("root", "print").alias("root"))
+
+
 def keep_one(docs: DataFrame, shingle: int = 3, most: int = 3, seed: int = 42) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose doc_id names a component; one row for a doc_id.
+    """One row of ``docs``, with all its columns, for each component.
 
-    Rows without a doc_id cannot stand for a component or be told apart, so they all stay.
+    It is the row of the least doc_id, and of rows of one doc_id the one whose text has the least digest, so a doc_id
+    that stands on unlike texts keeps a row for each component they are in. Rows without a doc_id come last in their
+    component. Of rows that repeat doc_id and text one stays, whichever; null texts are empty ones. No rows give none.
     """
-    named = docs.where(F.col("doc_id").isNotNull())
-    leaders = near_duplicates(named, shingle, most, seed).select(F.col("component_id").alias("_leader")).distinct()
-    leaders = materialize(leaders, "leaders")
-    kept = named.join(leaders, F.col("doc_id").cast("long") == F.col("_leader"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    printed = materialize(fingerprints(docs, shingle, seed), "prints")
+    grouped = printed.join(rooted_prints(printed, most).select("print", "root"), "print")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    leaders = grouped.groupBy("root").agg(first.alias("lead")).select(F.col("lead.row").alias("_row"))
+    copies = printed.groupBy(F.col("row").alias("_row")).agg((F.count("*") > 1).alias("_copies"))
+    leaders = materialize(leaders.join(copies, "_row"), "leaders")
+    row, copies = [unused(name, docs.columns) for name in ("_row", "_copies")]
+    leaders = leaders.select(F.col("_row").alias(row), F.col("_copies").alias(copies))
+    kept = docs.withColumn(row, row_name(F.col("doc_id"), F.col("text"))).join(leaders, row)
+    single = kept.where(~F.col(copies)).unionByName(kept.where(F.col(copies)).dropDuplicates([row]))
+    return single.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def unused(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name

@@ -4,7 +4,7 @@ from conftest import make_vocab
 from pyspark.sql import functions as F
 
 from textmill.functions.text import words_of
-from textmill.operators import tokenize as T, vocabulary as V
+from textmill.operators import merges as M, tokenize as T, vocabulary as V
 
 
 def words(spark, text, **options):
@@ -168,13 +168,35 @@ def merges_by_hand(counts, k):
     return out
 
 
-def test_merges_equal_the_sequential_algorithm(spark):
-    counts = {"aaaa": 3, "aab": 5, "abab": 4, "banana": 2, "a": 9}
+def test_merges_equal_the_sequential_algorithm(spark, monkeypatch):
+    rng = random.Random(8)
+    samples = [{"aaaa": 3, "aab": 5, "abab": 4, "banana": 2, "a": 9, "aaaaaaa": 1}]
+    for letters in ("ab", "abcd", "abcdefghijkl"):
+        words = {"".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) for _ in range(120)}
+        samples.append({w: rng.randrange(1, 6) for w in words})
+    for counts in samples:
+        df = spark.createDataFrame(list(counts.items()), "word string, n bigint").repartition(3)
+        got = [tuple(r)[1:] for r in V.learn_wordpiece(df, merges=70).orderBy("merge_no").collect()]
+        assert got == merges_by_hand(counts, 70)
+    # A frontier too small for all pairs is filled again and gives the same.
+    monkeypatch.setattr(M, "FRONTIER", 6)
+    got = [tuple(r)[1:] for r in V.learn_wordpiece(df, merges=25).orderBy("merge_no").collect()]
+    assert got == merges_by_hand(counts, 25)
+
+
+def test_a_round_takes_several_merges_and_size_counts_tokens(spark):
+    counts = {w: 3 + i for i, w in enumerate(["abab", "cdcd", "efef", "xyz", "xyxy"])}
+    front = M.Frontier(sorted({("##" if i else "") + c for w in counts for i, c in enumerate(w)}))
+    pairs = {}
+    for w, n in counts.items():
+        s = [front.number[("##" if i else "") + c] for i, c in enumerate(w)]
+        for a, b in zip(s, s[1:]):
+            pairs[a << 32 | b] = pairs.get(a << 32 | b, 0) + n
+    front.refill(sorted(pairs.items(), key=front.order), True)
+    assert [t[2] for t in front.batch(99)] == ["xy", "##xy"]
     df = spark.createDataFrame(list(counts.items()), "word string, n bigint")
-    got = [tuple(r)[1:] for r in V.learn_wordpiece(df, 6, checkpoint_every=2).orderBy("merge_no").collect()]
-    assert got == merges_by_hand(counts, 6)
-    batched = V.learn_wordpiece(df, 4, per_round=2).orderBy("merge_no").collect()
-    assert batched[0].token == got[0][2] and len(batched) == 4
+    vocab = V.assemble_vocab(V.alphabet(df), V.ranked_merges(V.learn_wordpiece(df, size=24)), 24)
+    assert vocab.count() == 24
 
 
 def test_vocab_alphabet_is_a_floor(spark):

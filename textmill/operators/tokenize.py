@@ -226,8 +226,11 @@ def with_offsets(df: DataFrame, text: str, out: str, vocab: DataFrame | Codebook
 
 
 def token_offsets(df: DataFrame, keys: list[str], text: str, vocab: DataFrame | Codebook, lower: bool = True) -> DataFrame:
-    """(keys, word_no, piece_no, token, id, s, e): :func:`with_offsets` as rows."""
-    return with_offsets(df, text, "_tokens", vocab, lower).select(*keys, F.inline("_tokens"))
+    """(keys, word_no, piece_no, token, id, s, e): :func:`with_offsets` as rows.
+
+    The outer form, so that no filter on the array is inferred, which would work all tokens out twice.
+    """
+    return with_offsets(df, text, "_tokens", vocab, lower).select(*keys, F.inline_outer("_tokens")).filter("token is not null")
 
 
 SPAN_BUCKET = 64

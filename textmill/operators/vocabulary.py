@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textmill.functions.prefix import running_total
 from textmill.functions.text import SPECIAL_TOKENS, runs_of
-from textmill.session import shared_folder
-
-SEP = "\u0001"
+from textmill.operators.merges import learn_merges
 
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -30,10 +28,11 @@ def alphabet(counts: DataFrame) -> DataFrame:
     )
 
 
-def frequent_pieces(counts: DataFrame, longest: int = 8) -> DataFrame:
+def frequent_pieces(counts: DataFrame, longest: int = 100) -> DataFrame:
     """Word heads and tails of 2 to ``longest`` characters with their occurrence counts.
 
-    A one-pass stand-in for merge learning where many vocabularies are wanted quickly.
+    A one-pass stand-in for merge learning where many vocabularies are wanted quickly. Words over 100 characters are
+    unknown as a whole, so longer pieces would never be used.
     """
     size = F.length("word")
     spans = F.sequence(F.lit(2), F.least(size, F.lit(longest)))
@@ -76,77 +75,22 @@ def assemble_vocab(alphabet_counts: DataFrame, pieces: DataFrame, size: int) ->
 
 
 def ranked_merges(vocab_merges: DataFrame) -> DataFrame:
-    """Learned merges as pieces for :func:`assemble_vocab`: earlier merges rank first."""
-    return vocab_merges.select("token", (-F.col("merge_no")).cast("bigint").alias("n"))
-
-
-def _adjacent(symbols: Column) -> Column:
-    inner = F.split(F.substring(symbols, 2, 1 << 30), SEP + SEP, -1)
-    tidy = F.transform(inner, lambda s: F.replace(s, F.lit(SEP), F.lit("")))
-    count = F.greatest(F.size(inner) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(tidy, 1, count), F.slice(tidy, 2, count), lambda a, b: F.struct(a.alias("a"), b.alias("b"))
-    )
-
-
-def pack_symbols(counts: DataFrame) -> DataFrame:
-    """Words as marked symbol strings: one literal ``replace`` then merges a pair everywhere in a word."""
-    symbols = F.transform(start_symbols(F.col("word")), lambda s: F.concat(F.lit(SEP), s, F.lit(SEP)))
-    return counts.select("word", "n", F.array_join(symbols, "").alias("symbols"))
-
-
-def pair_counts(symbols: DataFrame) -> DataFrame:
-    return (
-        symbols.select(F.explode(_adjacent(F.col("symbols"))).alias("p"), "n")
-        .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
-        .agg(F.sum("n").alias("n"))
-    )
-
-
-def merged_token(a: Column, b: Column) -> Column:
-    return F.concat(a, F.when(b.startswith("##"), F.substring(b, 3, 1 << 30)).otherwise(b))
-
-
-def best_pairs(pairs: DataFrame, k: int) -> DataFrame:
-    return pairs.orderBy(F.desc("n"), "a", "b").limit(k)
+    """Learned merges as pieces for :func:`assemble_vocab`: earlier merges rank first; a token counts once."""
+    return vocab_merges.groupBy("token").agg((-F.min("merge_no")).cast("bigint").alias("n"))
 
 
-def learn_wordpiece(counts: DataFrame, merges: int, per_round: int = 1, checkpoint_every: int = 8) -> DataFrame:
-    """Pair merging over the distinct-word table: (merge_no, a, b, token, n).
+def learn_wordpiece(counts: DataFrame, merges: int | None = None, size: int | None = None) -> DataFrame:
+    """Pair merging over the distinct-word table (word, n): (merge_no, a, b, token, n).
 
-    Each round counts adjacent pairs weighted by word count and merges the best ``per_round`` pairs that
-    share no symbol (ties: count descending, then pair). Only those few pairs pass through the driver;
-    words stay distributed. ``per_round=1`` is the exact sequential algorithm.
+    Each merge is the most frequent pair of neighbours, weighted by word count (ties: count descending, then pair).
+    Stops after ``merges``, or when special tokens, alphabet and merged tokens are ``size``. A token can come from
+    several merges; it counts once. Only pairs and merges pass through the driver.
     """
-    spark = counts.sparkSession
-    shared_folder(spark)
-    table = pack_symbols(counts).checkpoint()
-    learned: list[tuple] = []
-    rounds = 0
-    while len(learned) < merges:
-        picked: list[tuple] = []
-        used: set[str] = set()
-        for row in best_pairs(pair_counts(table), 4 * per_round).collect():
-            if len(picked) == min(per_round, merges - len(learned)):
-                break
-            if row.a in used or row.b in used:
-                continue
-            used.update((row.a, row.b))
-            picked.append((row.a, row.b, row.n))
-        if not picked:
-            break
-        symbols = F.col("symbols")
-        for a, b, n in picked:
-            token = a + (b[2:] if b.startswith("##") else b)
-            symbols = F.replace(
-                symbols, F.lit(f"{SEP}{a}{SEP}{SEP}{b}{SEP}"), F.lit(f"{SEP}{token}{SEP}")
-            )
-            learned.append((len(learned) + 1, a, b, token, n))
-        table = table.withColumn("symbols", symbols)
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            table = table.checkpoint()
-    return spark.createDataFrame(learned, "merge_no int, a string, b string, token string, n bigint")
+    if merges is None and size is None:
+        raise ValueError("say how many merges, or the size of the vocabulary")
+    learned = learn_merges(counts, alphabet(counts), size and max(size - len(SPECIAL_TOKENS), 0), merges)
+    rows = [(i + 1, *m) for i, m in enumerate(learned)]
+    return counts.sparkSession.createDataFrame(rows, "merge_no int, a string, b string, token string, n bigint")
 
 
 def add_tokens(vocab: DataFrame, new: DataFrame, order: str, lower: bool = False) -> DataFrame:

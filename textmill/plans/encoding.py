@@ -49,8 +49,7 @@ def odd_texts(w):
   UNION ALL SELECT -5, 0, 2, 'ete ix'"""))
 def _(w):
     lines = w.lines.unionByName(odd_texts(w).select("doc_id", F.lit(0).alias("line_no"), F.col("text").alias("line")))
-    split = lines.select("doc_id", "line_no", words_of("line").alias("words")).filter(F.size("words") > 0)
-    return split.select(
+    return lines.select("doc_id", "line_no", words_of("line").alias("words")).select(
         "doc_id", "line_no", F.size("words").cast("bigint").alias("n_words"), F.array_join("words", " ").alias("words")
     )
 
@@ -217,8 +216,7 @@ def offsets(w):
 def _(w):
     texts = w.documents.select("doc_id", "text").unionByName(odd_texts(w).filter("doc_id in (-2, -3, -4)"))
     span = lambda t: F.concat(t["token"], F.lit("@"), t["s"].cast("string"), F.lit(":"), t["e"].cast("string"))
-    rows = T.with_offsets(texts, "text", "tokens", w.book).filter(F.size("tokens") > 0)
-    return rows.select("doc_id", F.array_join(F.transform("tokens", span), " ").alias("spans"))
+    return T.with_offsets(texts, "text", "tokens", w.book).select("doc_id", F.array_join(F.transform("tokens", span), " ").alias("spans"))
 
 
 @S("char_to_token", query(f"""

@@ -91,10 +91,10 @@ PART["letters"] = """
 PART["piece_counts"] = """
   SELECT token, sum(n)::BIGINT AS n FROM (
     SELECT substr(word, 1, k) AS token, n
-    FROM (SELECT word, n, unnest(range(2, least(length(word), 8) + 1)) AS k FROM run_counts)
+    FROM (SELECT word, n, unnest(range(2, least(length(word), 100) + 1)) AS k FROM run_counts)
     UNION ALL
     SELECT '##' || substr(word, length(word) - k + 1, k) AS token, n
-    FROM (SELECT word, n, unnest(range(2, least(length(word) - 1, 8) + 1)) AS k FROM run_counts)
+    FROM (SELECT word, n, unnest(range(2, least(length(word) - 1, 100) + 1)) AS k FROM run_counts)
   ) GROUP BY token"""
 PART["vocab"] = f"""
   SELECT token, id::INTEGER AS id, source FROM (
@@ -114,7 +114,7 @@ def code_parts(name: str, words_sql: str) -> dict[str, str]:
         f"{name}_words": words_sql,
         f"{name}_best": f"""
   SELECT word, start, max(len) AS len FROM (
-    SELECT word, start, unnest(range(1, least(8, length(word) - start + 1) + 1)) AS len
+    SELECT word, start, unnest(range(1, least((SELECT max(length(token)) FROM vocab), length(word) - start + 1) + 1)) AS len
     FROM (SELECT word, unnest(range(1, length(word) + 1)) AS start FROM {name}_words WHERE length(word) <= 100)
   ) c JOIN vocab v ON v.token = (CASE WHEN start > 1 THEN '##' ELSE '' END) || substr(word, start, len)
   GROUP BY word, start""",

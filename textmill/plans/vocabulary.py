@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textmill.functions.stage import materialize
 from textmill.functions.text import words_of
 from textmill.operators import vocabulary as V
-from textmill.operators.tokenize import wordpiece
+from textmill.operators.tokenize import encode_rows, wordpiece
 from textmill.plans.report import shown
 from textmill.plans.sqlparts import PART, code_parts, query, words
 from textmill.plans.workspace import workspace
@@ -45,7 +45,7 @@ def _(w):
     return w.vocab
 
 
-ROUNDS = 4
+ROUNDS = 12
 PART["marked0"] = """
   SELECT n, array_to_string(list_transform(range(1, length(word) + 1), lambda i:
     chr(1) || (CASE WHEN i = 1 THEN '' ELSE '##' END) || substr(word, i, 1) || chr(1)), '') AS symbols FROM run_counts"""
@@ -64,14 +64,19 @@ MERGES = " UNION ALL ".join(f"SELECT {r + 1}::BIGINT AS merge_no, a, b, token, n
 
 @S("merge_rounds", query(MERGES))
 def _(w):
-    return V.learn_wordpiece(w.word_counts, ROUNDS)
+    return V.learn_wordpiece(w.word_counts, merges=ROUNDS)
 
 
 @S("learn_wordpiece")
 def _(w):
-    counts = materialize(w.word_counts, "word-counts")
-    merges = V.learn_wordpiece(counts, 60, per_round=10)
-    return V.assemble_vocab(V.alphabet(counts), V.ranked_merges(merges), 250)
+    """The vocabulary of merges, up to the size of the workspace's vocabularies."""
+    return w.learned_vocab
+
+
+@S("encode_learned")
+def _(w):
+    """All lines in the ids of the learned vocabulary."""
+    return encode_rows(w.lines, ["doc_id", "line_no"], "line", w.learned_book)
 
 
 PART["cased_occ"] = f"SELECT lang, source, word, count(*) AS n FROM (SELECT lang, source, unnest({words('text', False)}) AS word FROM documents) GROUP BY 1, 2, 3"

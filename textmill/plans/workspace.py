@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from textmill.functions.stage import materialize
 from textmill.operators.packing import build_examples
 from textmill.operators.tokenize import Codebook, encode_rows
-from textmill.operators.vocabulary import alphabet, assemble_vocab, frequent_pieces, word_counts
+from textmill.operators.vocabulary import (
+    alphabet, assemble_vocab, frequent_pieces, learn_wordpiece, ranked_merges, word_counts,
+)
 from textmill.session import DEAL, configure
 from textmill.sources.corpus import corpus_lines
 
@@ -43,6 +45,17 @@ class Workspace:
         built = assemble_vocab(alphabet(counts), frequent_pieces(counts), VOCAB_SIZE)
         return materialize(built, "vocab").hint("broadcast")
 
+    @cached_property
+    def learned_vocab(self) -> DataFrame:
+        """Merges learned over all words, up to ``VOCAB_SIZE`` tokens."""
+        counts = materialize(self.word_counts, "word-counts")
+        merges = ranked_merges(learn_wordpiece(counts, size=VOCAB_SIZE))
+        return materialize(assemble_vocab(alphabet(counts), merges, VOCAB_SIZE), "learned-vocab").hint("broadcast")
+
+    @cached_property
+    def learned_book(self) -> Codebook:
+        return Codebook(self.learned_vocab)
+
     @cached_property
     def book(self) -> Codebook:
         return Codebook(self.vocab)

@@ -3,43 +3,10 @@ import random
 from pyspark.sql import functions as F
 
 from textmill.operators import corrupt as C, packing as P
-from textmill.streaming.packing import draw, pack_lines_stream, target
-
-
-def pack_by_hand(doc, lines, length, seed=0):
-    """The builder's rules, one line at a time."""
-    out, current, size, ex, goal = [], [], 0, 0, target(seed, doc, length, 0)
-
-    def close():
-        single = draw(seed, "single", doc, length, ex) < 0.1
-        want = 100000 if single else (goal - 3) // 2
-        a, b = [], []
-        for no, ids in current:
-            if not a or len(a) + len(ids) < want or (
-                not b and len(a) < want and draw(seed, "side", doc, length, ex, no) < 0.5
-            ):
-                a = a + ids
-            else:
-                b = b + ids
-        a = a[:length - 2]
-        b = b[:max(0, length - len(a) - 3)]
-        ids = [1] + a + [2]
-        kinds = [0] * len(ids)
-        if b:
-            ids, kinds = ids + b + [2], kinds + [1] * (len(b) + 1)
-        fill = [0] * (length - len(ids))
-        out.append((ex, ids + fill, [1] * len(ids) + fill, kinds + fill))
-
-    for no, ids in lines:
-        current.append((no, ids))
-        size += len(ids)
-        if size >= goal:
-            close()
-            current, size, ex = [], 0, ex + 1
-            goal = target(seed, doc, length, ex)
-    if size:
-        close()
-    return out
+from textmill.operators.traininglog import metric_windows
+from textmill.streaming.idle import run_until_idle
+from textmill.streaming.packing import pack_lines_stream, target
+from textmill.streaming.traininglog import metric_windows_stream
 
 
 def corpus():
@@ -51,41 +18,127 @@ def corpus():
     return docs
 
 
-def test_examples_equal_the_sequential_builder(spark):
-    docs = corpus()
+def as_table(spark, docs):
     rows = [(d, no, ids) for d, lines in docs.items() for no, ids in lines]
-    encoded = spark.createDataFrame(rows, "doc_id bigint, line_no int, ids array<int>").repartition(5)
-    packed = P.pack_lines(P.documents_of_lines(encoded), [16, 128])
-    built = P.assemble(P.split_segments(packed), F.lit(1), F.lit(2))
-    got = {}
-    for r in built.collect():
-        got.setdefault((r.doc_id, r.max_len), []).append((r.ex, r.input_ids, r.input_mask, r.segment_ids))
+    return spark.createDataFrame(rows, "doc_id bigint, line_no int, ids array<int>").repartition(5)
+
+
+def test_lines_are_packed_whole_in_order_up_to_the_target(spark):
+    docs = corpus()
+    packed = {}
+    for r in P.pack_lines(P.documents_of_lines(as_table(spark, docs)), [16, 128]).collect():
+        packed.setdefault((r.doc_id, r.max_len), []).append((r.ex, r.target, [(x.line_no, x.ids) for x in r.lines]))
     for d, lines in docs.items():
         for length in (16, 128):
-            assert sorted(got.get((d, length), [])) == pack_by_hand(d, lines, length)
-    assert any(len(v) > P.CHUNK for v in got.values())
+            found = sorted(packed.get((d, length), []))
+            assert [ex for ex, *_ in found] == list(range(len(found)))
+            joined = [line for *_, some in found for line in some]
+            assert joined == lines[: len(joined)] and not any(ids for _, ids in lines[len(joined) :])
+            for ex, goal, some in found:
+                size = sum(len(ids) for _, ids in some)
+                assert goal == target(0, d, length, ex) and 5 <= goal <= length
+                assert size - len(some[-1][1]) < goal and (size >= goal or ex == len(found) - 1)
+    assert any(len(v) > P.CHUNK for v in packed.values())
+    short = sum(goal < length for (_, length), v in packed.items() for _, goal, _ in v)
+    assert 0.02 < short / sum(map(len, packed.values())) < 0.09
+
+
+def test_segments_share_the_lines_and_examples_have_their_form(spark):
+    packed = P.pack_lines(P.documents_of_lines(as_table(spark, corpus())), [16, 128])
+    both = P.split_segments(packed).join(packed.select("doc_id", "max_len", "ex", "target", "lines"), ["doc_id", "max_len", "ex"])
+    built = {(r.doc_id, r.max_len, r.ex): r for r in P.assemble(P.split_segments(packed), F.lit(1), F.lit(2)).collect()}
+    singles = rows = 0
+    for r in both.collect():
+        a, b, goal = list(r.a), list(r.b), (r.target - 3) // 2
+        for line in r.lines:  # each line goes whole to the front of what is left of one segment
+            n = len(line.ids)
+            if a[:n] == line.ids and (len(r.a) - len(a) + n <= len(r.a)) and not (b[:n] == line.ids and len(r.a) - len(a) >= goal):
+                a = a[n:]
+            else:
+                assert b[:n] == line.ids
+                b = b[n:]
+        assert sorted(r.a + r.b) == sorted(x for line in r.lines for x in line.ids) and (r.a or not r.b)
+        singles += not r.b and len(r.lines) > 6
+        rows += len(r.lines) > 6
+        row = built[r.doc_id, r.max_len, r.ex]
+        first = r.a[: r.max_len - 2]
+        second = r.b[: max(0, r.max_len - len(first) - 3)]
+        ids = [1, *first, 2, *second, *([2] if second else [])]
+        rest = r.max_len - len(ids)
+        assert rest >= 0 and row.input_ids == ids + [0] * rest and row.input_mask == [1] * len(ids) + [0] * rest
+        assert row.segment_ids == [0] * (len(first) + 2) + [1] * (len(ids) - len(first) - 2) + [0] * rest
+    assert 0.03 < singles / rows < 0.25
+
+
+def test_examples_worked_by_hand(spark):
+    docs = {1: [(0, [9, 9])], 2: [(0, list(range(5, 300)))], 3: [(0, []), (4, [7])], 4: [(2, [])]}
+    rows = P.assemble(P.split_segments(P.pack_lines(P.documents_of_lines(as_table(spark, docs)), [16])), F.lit(1), F.lit(2)).collect()
+    assert {r.doc_id: r.input_ids for r in rows} == {
+        1: [1, 9, 9, 2] + [0] * 12, 2: [1, *range(5, 19), 2], 3: [1, 7, 2] + [0] * 13,
+    }
+
+
+STREAM = "doc_id bigint, i int, line_no int, ids array<int>, is_last boolean"
+
+
+def stream_rows(docs):
+    return [(d, i, no, ids, i == len(lines) - 1) for d, lines in docs.items() for i, (no, ids) in enumerate(lines)]
+
+
+def run_stream(spark, folder, idle_ms, quiet_s):
+    stream = spark.readStream.schema(STREAM).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    job = (
+        pack_lines_stream(stream, 16, idle_ms=idle_ms).writeStream.format("parquet").option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/state").trigger(processingTime="100 milliseconds").start()
+    )
+    run_until_idle(job, quiet_s, 300)
+
+
+def packed_rows(df):
+    return sorted((r.doc_id, r.ex, r.target, [(x.line_no, list(x.ids)) for x in r.lines]) for r in df.collect())
 
 
-def test_stream_equals_batch_with_lines_out_of_order(spark, tmp_path):
-    docs = {d: lines for d, lines in corpus().items() if lines}
-    rows = [(d, i, no, len(ids), i == len(lines) - 1)
-            for d, lines in docs.items() for i, (no, ids) in enumerate(lines)]
-    schema = "doc_id bigint, i int, line_no int, n int, is_last boolean"
+def test_stream_equals_batch_out_of_order_repeated_and_after_a_restart(spark, tmp_path):
+    docs = {d: lines for d, lines in corpus().items() if lines and d in (1, 2, 3, 4, 6, 9, 30)}
+    rows = stream_rows(docs)
     random.Random(3).shuffle(rows)
     for part in range(4):
-        spark.createDataFrame(rows[part::4], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        again = rows[::9] if part == 3 else []  # lines that come twice, some after their document is done
+        spark.createDataFrame(rows[part::4] + again, STREAM).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        if part in (1, 3):  # the second run goes on from the first one's checkpoint
+            run_stream(spark, tmp_path, idle_ms=600_000, quiet_s=5)
+    batch = P.pack_lines(P.documents_of_lines(as_table(spark, docs)), [16])
+    assert packed_rows(spark.read.parquet(f"{tmp_path}/out")) == packed_rows(batch)
+
+
+def test_stream_lets_go_of_documents_without_an_end(spark, tmp_path):
+    lines = [(i, [10 + i] * 3) for i in range(4)]
+    rows = [r[:4] + (False,) for r in stream_rows({1: lines})]
+    rows += [r for r in stream_rows({2: lines}) if r[1] != 1]  # a line that never comes
+    spark.createDataFrame(rows, STREAM).coalesce(1).write.parquet(f"{tmp_path}/in")
+    run_stream(spark, tmp_path, idle_ms=2000, quiet_s=6)
+    got = packed_rows(spark.read.parquet(f"{tmp_path}/out"))
+    assert [line for d, _, _, some in got for line in some if d == 1] == lines
+    assert [line for d, _, _, some in got for line in some if d == 2] == [lines[0], *lines[2:]]
+
+
+def test_step_windows_of_a_stream(spark, tmp_path):
+    schema = "rank bigint, metric string, step bigint, value double"
+    log = [(r, m, s, float(s % 7)) for r in (0, 1) for m in ("loss", "x_accuracy") for s in range(1, 48)]
+    late = [(0, "loss", 5, 100.0), (0, "loss", 47, None)]
+    for part in ([r for r in log if r[2] <= 25], [r for r in log if r[2] > 25], late):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
     job = (
-        pack_lines_stream(stream, 16).writeStream.format("parquet").option("path", str(tmp_path / "out"))
-        .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        metric_windows_stream(stream, idle_ms=2000).writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        .option("checkpointLocation", f"{tmp_path}/state").trigger(processingTime="100 milliseconds").start()
     )
-    job.awaitTermination()
-    got = sorted((r.doc_id, r.ex, r.tokens) for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    encoded = spark.createDataFrame(
-        [(d, no, ids) for d, lines in docs.items() for no, ids in lines], "doc_id bigint, line_no int, ids array<int>")
-    batch = P.pack_lines(P.documents_of_lines(encoded), [16]).select(
-        "doc_id", "ex", F.aggregate("lines", F.lit(0), lambda s, x: s + F.size(x["ids"])).alias("tokens"))
-    assert got == sorted(tuple(r) for r in batch.collect())
+    run_until_idle(job, 6, 300)
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    batch = metric_windows(spark.createDataFrame(log, schema)).collect()
+    on_time = sorted((r.rank, r.metric, r.step, round(r.value, 9)) for r in got if not r.late)
+    assert on_time == sorted((r.rank, r.metric, r.step, round(r.value, 9)) for r in batch)
+    assert [(r.rank, r.metric, r.step, r.value, r.n) for r in got if r.late] == [(0, "loss", 10, 100.0, 1)]
 
 
 def examples(spark, seed=1, n=30, length=64):

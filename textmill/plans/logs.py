@@ -8,11 +8,13 @@ from textmill.functions.prefix import running_total
 from textmill.functions.stage import materialize
 from textmill.operators import traininglog as L
 from textmill.plans.corpus import metric_log
+from textmill.plans.examples import EXAMPLE_SQL
 from textmill.plans.report import shown
 from textmill.plans.sqlparts import PART, query
 from textmill.plans.workspace import workspace
 from textmill.session import new_folder
-from textmill.streaming.packing import pack_lines_stream
+from textmill.streaming.idle import run_until_idle
+from textmill.streaming.packing import pack_lines_stream, stream_examples
 from textmill.streaming.traininglog import metric_windows_stream
 
 QUERIES, SQL = {}, {}
@@ -102,43 +104,60 @@ def _(w):
                       F.round("eta", 2).alias("eta"))
 
 
+IDLE_MS = 3000
+
+
 def run_to_end(w, stream: DataFrame, name: str) -> DataFrame:
-    """Runs a stream over the files that are there and gives back what it wrote."""
+    """Runs a stream over the files that are there, until its timers have let the last rows go."""
     path, state = new_folder(w.spark, name), new_folder(w.spark, name + "-state")
     job = (
         stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", state)
-        .outputMode("append").trigger(availableNow=True).start()
+        .outputMode("append").trigger(processingTime="200 milliseconds").start()
     )
-    job.awaitTermination()
+    run_until_idle(job, 2 * IDLE_MS / 1000)
     return w.spark.read.schema(stream.schema).parquet(path)
 
 
-@S("pack_lines_stream", query("""
-  SELECT doc_id, max_len::BIGINT AS max_len, ex::BIGINT AS ex, target::BIGINT AS target, first_line, n_lines FROM segments"""))
-def _(w):
+def line_stream(w) -> DataFrame:
+    """The encoded lines as a stream of several micro-batches, in which lines come out of order."""
     order = Window.partitionBy("doc_id").orderBy("line_no")  # the lines of one document
     lines = w.encoded.select(
-        "doc_id", (F.row_number().over(order) - 1).alias("i"), "line_no", F.size("ids").alias("n"),
+        "doc_id", (F.row_number().over(order) - 1).alias("i"), "line_no", "ids",
         F.lead("line_no").over(order).isNull().alias("is_last"),
     )
     path = new_folder(w.spark, "line-stream")
-    # Several files, so that the lines of a document reach the stream in several micro-batches.
     lines.withColumn("part", F.pmod(F.col("i"), F.lit(3))).repartition("part", "doc_id").drop("part").write.parquet(path)
     per_batch = max(1, len(w.spark.read.parquet(path).inputFiles()) // 3)
-    stream = w.spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
-    return run_to_end(w, pack_lines_stream(stream), "packed-stream").select(
-        "doc_id", "max_len", "ex", "target", "first_line", "n_lines")
+    return w.spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
+
+
+@S("pack_lines_stream", query("""
+  SELECT doc_id, max_len::BIGINT AS max_len, ex::BIGINT AS ex, target::BIGINT AS target, first_line, n_lines FROM segments"""))
+def _(w):
+    packed = run_to_end(w, pack_lines_stream(line_stream(w), idle_ms=100 * IDLE_MS), "packed-stream")
+    return packed.select(
+        "doc_id", "max_len", "ex", "target", F.element_at("lines", 1)["line_no"].alias("first_line"),
+        F.size("lines").cast("bigint").alias("n_lines"),
+    )
+
+
+@S("stream_examples", query(EXAMPLE_SQL))
+def _(w):
+    ids = [F.lit(w.vocab.filter(F.col("token") == t).first().id) for t in ("[CLS]", "[SEP]")]
+    return run_to_end(w, stream_examples(line_stream(w), *ids, idle_ms=100 * IDLE_MS), "example-stream")
 
 
 @S("metric_windows_stream", query(f"""
-  SELECT start, rank, metric, round(mean * {PERCENT}, 6) AS value, n FROM (
-    SELECT epoch(date_trunc('day', ts))::BIGINT AS start, rank, metric, avg(value) AS mean, count(*) AS n
-    FROM metric_log GROUP BY 1, 2, 3)
-  WHERE start + 86400 <= (SELECT epoch(max(ts) - INTERVAL 1 HOUR) FROM metric_log)"""))
+  SELECT rank, metric, (ceil(step / 10.0) * 10)::BIGINT AS step, round(avg(value) * {PERCENT}, 6) AS value,
+         count(value) AS n, 0::BIGINT AS late
+  FROM metric_log GROUP BY 1, 2, 3"""))
 def _(w):
-    log = metric_log(w).select("rank", "metric", "value", "ts")
+    log = metric_log(w).select("rank", "metric", "step", "value")
     path = new_folder(w.spark, "log-stream")
-    log.write.parquet(path)
-    stream = metric_windows_stream(w.spark.readStream.schema(log.schema).parquet(path))
-    done = run_to_end(w, stream, "log-windows")
-    return done.withColumn("start", F.unix_seconds("start"))
+    last = log.agg(F.max("step")).scalar()
+    # The log comes in three parts, one after the other.
+    for i in range(3):
+        part = F.least(F.floor(3 * F.col("step") / (last + 1)), F.lit(2))
+        log.filter(part == i).coalesce(1).write.mode("append").parquet(path)
+    source = w.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return run_to_end(w, metric_windows_stream(source, idle_ms=IDLE_MS), "log-windows")

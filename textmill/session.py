@@ -15,6 +15,9 @@ SQL_SETTINGS = {
     # Word tables are small in bytes but costly per row: keep every core busy rather than merge to 1 MB.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
+    # State of keys beyond memory; transformWithState needs it.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

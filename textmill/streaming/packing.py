@@ -5,12 +5,16 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-OUTPUT = "doc_id bigint, max_len int, ex int, target int, first_line int, n_lines int, tokens int"
-STATE = "next_line int, ex int, target int, tokens int, first_line int, n_lines int, held_i array<int>, held array<string>, last int"
+from textmill.operators.packing import assemble, split_segments
+from textmill.streaming.idle import IdleTimer
+
+LINE = "line_no int, ids array<int>"
+OUTPUT = f"doc_id bigint, max_len int, ex int, target int, lines array<struct<{LINE.replace(' ', ':')}>>".replace(",:", ",")
+HEAD = "turn int, ex int, target int, tokens int, last int"
+MINUTE = 60_000
 
 
 def draw(seed: int, tag: str, *keys) -> float:
@@ -24,44 +28,111 @@ def target(seed: int, doc: int, max_len: int, ex: int) -> int:
     return max_len
 
 
-def pack_lines_stream(lines: DataFrame, max_len: int = 128, seed: int = 0) -> DataFrame:
-    """``lines``: a stream of (doc_id, i, line_no, n, is_last) where i counts a document's lines from 0.
+class LinePacker(StatefulProcessor):
+    """State of a document: where packing stands, the lines of the example that is open, lines ahead of their turn.
 
-    A line that arrives before its turn is held in the state until the gap closes. The last buffer of a
-    document leaves when the line marked ``is_last`` has been packed.
+    All of it lies in the state store (RocksDB) and is brought in only for documents that a batch touches.
     """
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        doc = int(key[0])
-        if state.exists:
-            turn, ex, goal, tokens, first, count, held_i, held, last = state.get
-            waiting = dict(zip(held_i, [tuple(map(int, h.split(","))) for h in held]))
-        else:
-            turn, ex, goal, tokens, first, count, last = 0, 0, target(seed, doc, max_len, 0), 0, -1, 0, -1
-            waiting = {}
-        for frame in frames:
-            for i, line_no, n, is_last in zip(frame["i"], frame["line_no"], frame["n"], frame["is_last"]):
-                waiting[int(i)] = (int(line_no), int(n))
-                if is_last:
-                    last = int(i)
-        out = []
-        while turn in waiting:
-            line_no, n = waiting.pop(turn)
-            first = line_no if count == 0 else first
-            tokens, count = tokens + n, count + 1
-            ended = turn == last
-            if tokens >= goal or (ended and tokens > 0):
-                out.append((doc, max_len, ex, goal, first, count, tokens))
-                ex, tokens, count = ex + 1, 0, 0
-                goal = target(seed, doc, max_len, ex)
+    def __init__(self, max_len: int, seed: int, idle_ms: int, keep_ms: int):
+        self.max_len, self.seed, self.idle_ms, self.keep_ms = max_len, seed, idle_ms, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.head = handle.getValueState("head", HEAD)
+        self.open = handle.getListState("open", LINE)
+        self.waiting = handle.getMapState("waiting", "i int", LINE)
+        # A document that is done is remembered for a while, so that lines sent again do not begin it anew.
+        self.done = handle.getValueState("done", "done boolean", self.keep_ms)
+        self.timer = IdleTimer(handle, self.idle_ms)
+
+    def _start(self, doc: int) -> tuple:
+        return tuple(self.head.get()) if self.head.exists() else (0, 0, target(self.seed, doc, self.max_len, 0), 0, -1)
+
+    def _walk(self, doc: int, head: tuple, arrived: dict, ended: bool) -> Iterator[Row]:
+        """Pack the lines whose turn it is; with ``ended`` also across gaps, and let go of what is left."""
+        turn, ex, goal, tokens, last = head
+        held = dict(arrived)
+        taken = None
+        while True:
+            if self.waiting.containsKey((turn,)):
+                held.setdefault(turn, tuple(self.waiting.getValue((turn,))))
+                self.waiting.removeKey((turn,))
+            if turn not in held:
+                ahead = [i for i in [*held, *(k[0] for k in self.waiting.keys())] if i > turn] if ended else []
+                if not ahead:
+                    break
+                turn = min(ahead)
+                continue
+            line_no, ids = held.pop(turn)
+            if taken is None:
+                taken = [tuple(line) for line in self.open.get()] if self.open.exists() else []
+            taken.append((line_no, list(ids)))
+            tokens += len(ids)
+            if tokens >= goal:
+                yield self._example(doc, ex, goal, taken)
+                ex, tokens, taken = ex + 1, 0, []
+                goal = target(self.seed, doc, self.max_len, ex)
             turn += 1
-        if last >= 0 and turn > last:
-            state.remove()
-        else:
-            keys = sorted(waiting)
-            state.update((turn, ex, goal, tokens, first, count, keys, [",".join(map(str, waiting[k])) for k in keys], last))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
-
-    return lines.groupBy("doc_id").applyInPandasWithState(
-        step, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
+            if turn - 1 == last:
+                ended = True
+        for i, line in held.items():
+            self.waiting.updateValue((i,), (line[0], list(line[1])))
+        if ended:
+            rest = [tuple(line) for line in self.open.get()] if taken is None and self.open.exists() else taken or []
+            if tokens > 0:
+                yield self._example(doc, ex, goal, rest)
+            for state in (self.head, self.open, self.waiting):
+                state.clear()
+            self.done.update((True,))
+            self.timer.stop()
+            return
+        if taken is not None:
+            self.open.clear()
+            if taken:
+                self.open.put(taken)
+        self.head.update((turn, ex, goal, tokens, last))
+
+    def _example(self, doc: int, ex: int, goal: int, lines: list[tuple]) -> Row:
+        return Row(doc_id=doc, max_len=self.max_len, ex=ex, target=goal, lines=[Row(line_no=n, ids=list(i)) for n, i in lines])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        doc = key[0]
+        if self.done.exists():
+            return
+        turn, ex, goal, tokens, last = self._start(doc)
+        arrived = {}
+        for r in rows:
+            if r.i >= turn:
+                arrived.setdefault(r.i, (r.line_no, r.ids or []))
+            if r.is_last:
+                last = r.i
+        self.timer.touch(timerValues)
+        yield from self._walk(doc, (turn, ex, goal, tokens, last), arrived, 0 <= last < turn)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.timer.over(expiredTimerInfo) and not self.done.exists():
+            yield from self._walk(key[0], self._start(key[0]), {}, True)
+
+    def close(self) -> None:
+        pass
+
+
+def pack_lines_stream(
+    lines: DataFrame, max_len: int = 128, seed: int = 0, idle_ms: int = 10 * MINUTE, keep_ms: int = 60 * MINUTE
+) -> DataFrame:
+    """(doc_id, max_len, ex, target, lines) from a stream of (doc_id, i, line_no, ids, is_last), i counting from 0.
+
+    Examples leave as soon as they are full. Lines that come before their turn are held until the gap closes; a line
+    that came before (of one document and i) is left out. The last example leaves with the line marked ``is_last``.
+    Where that mark or a line never comes, the document ends ``idle_ms`` after its last line came: what is there is
+    packed in order, across the gaps. Lines of a document that is done are left out for ``keep_ms``; after that
+    they would begin it anew. The state store has to be RocksDB (``textmill.session.configure`` sets it).
+    """
+    return lines.groupBy("doc_id").transformWithState(
+        LinePacker(max_len, seed, idle_ms, keep_ms), OUTPUT, "append", "processingTime"
     )
+
+
+def stream_examples(lines: DataFrame, cls: Column, sep: Column, max_len: int = 128, seed: int = 0, pad_id: int = 0, **options) -> DataFrame:
+    """Finished examples (doc_id, max_len, ex, input_ids, input_mask, segment_ids) from a stream of encoded lines."""
+    return assemble(split_segments(pack_lines_stream(lines, max_len, seed, **options), seed), cls, sep, pad_id)

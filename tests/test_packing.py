@@ -1,8 +1,10 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from textmill.operators import corrupt as C, packing as P
+from textmill.operators.longpacking import pack_long
 from textmill.operators.traininglog import metric_windows
 from textmill.streaming.idle import run_until_idle
 from textmill.streaming.packing import pack_lines_stream, target
@@ -34,15 +36,28 @@ def test_lines_are_packed_whole_in_order_up_to_the_target(spark):
             assert [ex for ex, *_ in found] == list(range(len(found)))
             joined = [line for *_, some in found for line in some]
             assert joined == lines[: len(joined)] and not any(ids for _, ids in lines[len(joined) :])
+            at = 0
             for ex, goal, some in found:
                 size = sum(len(ids) for _, ids in some)
-                assert goal == target(0, d, length, ex) and 5 <= goal <= length
+                assert goal == target(0, d, length, at) and 5 <= goal <= length
                 assert size - len(some[-1][1]) < goal and (size >= goal or ex == len(found) - 1)
+                at += len(some)
     assert any(len(v) > P.CHUNK for v in packed.values())
     short = sum(goal < length for (_, length), v in packed.items() for _, goal, _ in v)
     assert 0.02 < short / sum(map(len, packed.values())) < 0.09
 
 
+@pytest.mark.parametrize("block,tokens", [(1 << 16, 1 << 12), (16, 64), (3, 7)])
+def test_long_documents_are_packed_by_pointers_as_by_rows(spark, block, tokens):
+    docs = {d: lines for d, lines in corpus().items() if d % 3 == 0 or d < 5}
+    docs[31] = [(2 * i, [7] * (i % 3 == 0)) for i in range(700)]  # many lines without tokens
+    encoded = as_table(spark, docs)
+    got = pack_long(encoded, [16, 128], block=block, tokens=tokens).collect()
+    want = P.pack_lines(P.documents_of_lines(encoded), [16, 128]).collect()
+    rows = lambda rs: sorted((r.doc_id, r.max_len, r.ex, r.target, [(x.line_no, x.ids) for x in r.lines]) for r in rs)
+    assert rows(got) == rows(want)
+
+
 def test_segments_share_the_lines_and_examples_have_their_form(spark):
     packed = P.pack_lines(P.documents_of_lines(as_table(spark, corpus())), [16, 128])
     both = P.split_segments(packed).join(packed.select("doc_id", "max_len", "ex", "target", "lines"), ["doc_id", "max_len", "ex"])

@@ -12,10 +12,11 @@ NO_LIMIT = 100_000
 CHUNK = 256
 
 
-def example_target(seed: int, doc: Column, max_len, ex: Column) -> Column:
-    """The token count an example is filled to: now and then a random shorter one."""
+def example_target(seed: int, doc: Column, max_len, first: Column) -> Column:
+    """The token count an example is filled to: now and then a random shorter one. Drawn by the number of the line
+    it begins at, so that it does not depend on the examples before."""
     full = F.lit(max_len) if isinstance(max_len, int) else max_len
-    keys = (doc, full, ex)
+    keys = (doc, full, first)
     short = F.lit(5) + F.floor(uniform(seed, "target", *keys) * (full - 4)).cast("int")
     return F.when(uniform(seed, "short", *keys) < SHORT_TARGET, short).otherwise(full)
 
@@ -57,7 +58,7 @@ def example_bounds(lines: Column, doc: Column, max_len: Column, seed: int) -> Co
         spill = F.size(acc["chunk"]) >= CHUNK - 1
         reset = F.struct(
             after.alias("at"), F.lit(0).alias("tokens"), (acc["ex"] + 1).alias("ex"), after.alias("first"),
-            example_target(seed, doc, max_len, acc["ex"] + 1).cast("int").alias("target"),
+            example_target(seed, doc, max_len, after).cast("int").alias("target"),
             F.when(spill, F.array().cast(f"array<{bound}>")).otherwise(listed).alias("chunk"),
             F.when(spill, F.concat(acc["done"], F.array(listed))).otherwise(acc["done"]).alias("done"),
         )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.draws import uniform_index
 from textmill.operators import corrupt as C, packing as P
+from textmill.operators.longpacking import pack_long
 from textmill.plans.report import shown
 from textmill.plans.sqlparts import PART, draw, pack_part, query
 from textmill.plans.sqlparts import shown as text_of
@@ -55,6 +56,17 @@ def _(w):
     return w.examples()
 
 
+@S("pack_lines_long", query("""
+  SELECT doc_id, max_len::BIGINT AS max_len, ex::BIGINT AS ex, target::BIGINT AS target, first_line, n_lines FROM segments"""))
+def _(w):
+    """The examples of :func:`pack_lines` without a row for a document; small blocks, so that pointers cross many."""
+    packed = pack_long(w.encoded, [128], block=64, tokens=512)
+    return packed.select(
+        "doc_id", "max_len", "ex", "target", F.element_at("lines", 1)["line_no"].alias("first_line"),
+        F.size("lines").cast("bigint").alias("n_lines"),
+    )
+
+
 @S("build_examples", query(EXAMPLE_SQL, {"packed": pack_part([128, 512])}))
 def _(w):
     return w.examples([128, 512])

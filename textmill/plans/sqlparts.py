@@ -148,10 +148,10 @@ PART["numbered"] = """
   FROM encoded"""
 
 
-def target(doc: str, length: str, ex: str) -> str:
+def target(doc: str, length: str, first: str) -> str:
     return (
-        f"(CASE WHEN {draw('short', doc, length, ex)} < 0.05 "
-        f"THEN 5 + floor({draw('target', doc, length, ex)} * ({length} - 4))::INTEGER ELSE {length} END)"
+        f"(CASE WHEN {draw('short', doc, length, first)} < 0.05 "
+        f"THEN 5 + floor({draw('target', doc, length, first)} * ({length} - 4))::INTEGER ELSE {length} END)"
     )
 
 
@@ -179,7 +179,7 @@ def pack_part(lengths: list[int]) -> str:
          goal, tokens + n >= target, CASE WHEN first THEN 'a' ELSE 'b' END, n
   FROM (SELECT *, {first} AS first FROM (
     SELECT *, CASE WHEN was_closed THEN {goal('doc_id', 'max_len', 'ex', 'target')} ELSE old_goal END AS goal FROM (
-      SELECT *, CASE WHEN was_closed THEN {target('doc_id', 'max_len', 'ex')} ELSE old_target END AS target FROM (
+      SELECT *, CASE WHEN was_closed THEN {target('doc_id', 'max_len', '(i - 1)')} ELSE old_target END AS target FROM (
         SELECT p.doc_id, p.max_len, m.i, m.line_no, m.n, p.closed AS was_closed,
                CASE WHEN p.closed THEN p.ex + 1 ELSE p.ex END AS ex,
                CASE WHEN p.closed THEN 0 ELSE p.tokens END AS tokens,

@@ -22,9 +22,9 @@ def draw(seed: int, tag: str, *keys) -> float:
     return int(hashlib.md5(text.encode()).hexdigest()[:8], 16) / 4294967296.0
 
 
-def target(seed: int, doc: int, max_len: int, ex: int) -> int:
-    if draw(seed, "short", doc, max_len, ex) < 0.05:
-        return 5 + int(draw(seed, "target", doc, max_len, ex) * (max_len - 4))
+def target(seed: int, doc: int, max_len: int, first: int) -> int:
+    if draw(seed, "short", doc, max_len, first) < 0.05:
+        return 5 + int(draw(seed, "target", doc, max_len, first) * (max_len - 4))
     return max_len
 
 
@@ -71,7 +71,7 @@ class LinePacker(StatefulProcessor):
             if tokens >= goal:
                 yield self._example(doc, ex, goal, taken)
                 ex, tokens, taken = ex + 1, 0, []
-                goal = target(self.seed, doc, self.max_len, ex)
+                goal = target(self.seed, doc, self.max_len, turn + 1)
             turn += 1
             if turn - 1 == last:
                 ended = True

@@ -52,6 +52,20 @@ def test_spearman_known_value_and_ties(spark):
     assert value(M.spearman(tied, "x", "y")) == pytest.approx(want)
 
 
+def test_p_values_to_nine_digits(spark):
+    # Worked out from closed forms of Student's t: one degree 1 - 2 atan(t) / pi; two degrees 1 - |rho|;
+    # four degrees 1 - |rho| (3 - rho^2) / 2; a correlation of zero is certain to be reached.
+    cases = [(0.6, 4, 0.4), (0.3, 6, 1 - 0.3 * (3 - 0.09) / 2), (-0.9, 6, 1 - 0.9 * (3 - 0.81) / 2), (0.0, 50, 1.0), (1.0, 9, 0.0)]
+    cases += [(r, 3, 1 - 2 / math.pi * math.atan(r / math.sqrt(1 - r * r))) for r in (0.1, 0.5, 0.99)]
+    # Many rows: close to the normal law.
+    cases += [(2.5 / math.sqrt(10**7), 10**7, math.erfc(2.5 / math.sqrt(2)))]
+    df = spark.createDataFrame([(float(r), n, float(p)) for r, n, p in cases], "rho double, n long, want double")
+    for row in df.select("*", M.two_sided_p(F.col("rho"), F.col("n")).alias("p")).collect():
+        assert row.p == pytest.approx(row.want, abs=1e-9 if row.n < 1000 else 1e-6), row
+    few = spark.createDataFrame([(0.5, 2)], "rho double, n long")
+    assert few.select(M.two_sided_p(F.col("rho"), F.col("n"))).first()[0] is None
+
+
 def test_entities(spark):
     def tags(*rows):
         flat = [(s, i, p, r) for s, (ps, rs) in enumerate(rows) for i, (p, r) in enumerate(zip(ps.split(), rs.split()))]

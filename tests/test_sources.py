@@ -112,3 +112,16 @@ def test_step_times_cross_blocks(spark):
     got = {r.step: r for r in L.throughput_eta(df, 8, 2, 100, block=4).collect()}
     assert got[1].seconds is None and all(got[s].seconds == 2 * s - 1 for s in range(2, 30))
     assert got[5].eta == (25 - 1) / 4 * 95 and got[3].per_second == 16 / 5
+
+
+def test_metric_records_of_mixed_kinds(spark):
+    lines = [
+        'DLLL {"type":"LOG","step":"PARAMETER","data":{"lr":0.1,"name":"x","deep":{"a":[1,2]},"on":true,"none":null,"big":12345678901}}',
+        'DLLL {"type":"LOG","step":10,"data":{"loss":2}}', "DLLL not json", 'DLLL {"type":"META"}',
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "k int, line string")
+    got = {r.k: r for r in metriclog.parse_metric_lines(df).collect()}
+    assert got[0].data == {"lr": 0.1, "none": None, "big": 12345678901.0}
+    assert got[0].texts == {"name": "x", "deep": '{"a":[1,2]}', "on": "true"} and got[0].step == "PARAMETER"
+    assert got[1].step == "10" and got[1].data == {"loss": 2.0} and got[1].texts == {}
+    assert got[2].type is None and got[2].data is None and got[3].type == "META" and got[3].data is None

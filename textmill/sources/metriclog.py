@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 PREFIX = "DLLL "
-RECORD = "type string, step string, data map<string,double>"
 
 
 def parse_metric_lines(df: DataFrame, line: str = "line") -> DataFrame:
-    """Adds ``type``, ``step`` (text; training steps are numbers) and ``data`` from a log line."""
-    record = F.from_json(F.substring(F.col(line), len(PREFIX) + 1, 1 << 30), RECORD)
-    return df.withColumn("_r", record).select(*[c for c in df.columns if c != line], "_r.type", "_r.step", "_r.data")
+    """Adds ``type``, ``step`` (text; training steps are numbers), ``data`` and ``texts`` from a log line.
+
+    A record's values can be of any kind. ``data`` holds its numbers as doubles (null for a null), ``texts`` all others
+    as text, JSON where they are nested. A line that is no JSON has nulls.
+    """
+    record = F.try_parse_json(F.substring(F.col(line), len(PREFIX) + 1, 1 << 30))
+    get = lambda path, kind: F.try_variant_get("_r", path, kind)
+    values = F.col("_values")
+    kind = lambda v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    number = lambda v: kind(v).isin("BIGINT", "DOUBLE", "DECIMAL", "FLOAT", "INT", "SMALLINT", "TINYINT", "VOID")
+    rows = df.withColumn("_r", record).withColumn("_values", get("$.data", "map<string,variant>"))
+    return rows.select(
+        *[c for c in df.columns if c != line], get("$.type", "string").alias("type"), get("$.step", "string").alias("step"),
+        F.transform_values(F.map_filter(values, lambda _, v: number(v)), lambda _, v: F.try_variant_get(v, "$", "double")).alias("data"),
+        F.transform_values(F.map_filter(values, lambda _, v: ~number(v)), lambda _, v: F.try_variant_get(v, "$", "string")).alias("texts"),
+    )
 
 
 def read_metric_logs(spark: SparkSession, path: str) -> DataFrame:

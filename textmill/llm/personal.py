@@ -2,11 +2,17 @@
 
 Exact rules find the base spans of four kinds. Wider generators propose more spans, which may overlap them and
 each other: addresses written out with "at" and "dot", numbers in looser notations. Boosted trees score each
-proposal by its format and its context; they learn from the corpus itself, where a proposal is positive if its
-normal form (written-out signs as signs, other separators as the usual ones) keeps the base rule and its check, for an
-address also a top-level domain that exists, and negative if not. Whether a base span is there plays no part, as only
-proposals without one can be added. Trees never see by which notation a proposal strays from the rule. A kind's
-threshold is the least score at which enough of the proposals of documents kept out of learning are positive.
+proposal by its format and its context, and never see what its label comes from: check digits, the size of numbers,
+the top-level domain, a leading plus, the number of dots, or the notation. Two sources of labels weigh the same:
+
+* the corpus, where a proposal is positive if its normal form (written-out signs as signs, other separators as the
+  usual ones) keeps the base rule and its check. Generators are wide enough to propose prose ("arrived at noon"),
+  versions and order numbers too, so that the corpus shows in which contexts the format is no personal data;
+* planted sentences, where the sentence decides: the same well-formed span is positive where it is announced and
+  negative in prose, after "version" or after "order".
+
+A kind's threshold is the least score at which enough of the proposals kept out of learning are positive, and only
+proposals whose normal form keeps the base rule are added.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textmill.llm.rows import columns
 
@@ -29,8 +35,8 @@ BASE = {
 }
 WIDE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:@| ?[\[(]at[\])] ?| at )[A-Za-z0-9-]++"
-    r"(?:(?:\.| ?[\[(]dot[\])] ?| dot )[A-Za-z0-9-]++)++",
-    "ip": r"(?<![0-9])[0-9]{1,3}+(?:(?:\.|\[\.\]|\(\.\)| \. )[0-9]{1,3}+){3}",
+    r"(?:(?:\.| ?[\[(]dot[\])] ?| dot )[A-Za-z0-9-]++)*+",
+    "ip": r"(?<![0-9])[0-9]{1,3}+(?:(?:\.|\[\.\]|\(\.\)| \. )[0-9]{1,3}+){2,7}+",
     "card": r"(?<![0-9])[0-9](?:[ ./_-]{0,2}[0-9]){11,18}+",
     "phone": r"(?<![0-9])(?:\+|00)?\(?[0-9](?:[ ().-]{0,2}[0-9]){7,14}+",
 }
@@ -47,14 +53,24 @@ CONTEXT = {
     "card": r"card|visa|credit|pay|karte|carte|tarjeta",
     "phone": r"phone|tel|call|mobile|fax|anruf|appel|llam",
 }
+# Words that speak against all kinds.
+AGAINST = r"version|release|build|section|chapter|paragraph|order|invoice|serial|isbn|article|figure|table"
+# What a text must hold for a pattern to match; the others are not searched.
+HOLDS = {
+    "base_email": "@", "base_ip": r"[0-9]\.[0-9]", "base_card": "[0-9]", "base_phone": r"\+[0-9]",
+    "wide_email": r"@|[ \[(]at[ \])]", "wide_ip": r"[0-9](?:\.|\[\.|\(\.| \.)", "wide_card": "[0-9]", "wide_phone": "[0-9]",
+}
 # How many values each feature has.
-FEATURES = {"kind": 4, "digits": 7, "announced": 2, "before": 4, "after": 4, "checked": 2, "length": 5}
+FEATURES = {"kind": 4, "digits": 7, "announced": 3, "before": 4, "after": 4, "shape": 4, "length": 5}
 
 
-def code_points(text: str, name: str) -> dict[str, Column]:
+def code_points(text: str, name: str, holds: str) -> dict[str, Column]:
     """Pieces between matches and the matches themselves; the pieces are one more."""
-    pattern = F.lit(name)
-    return {"parts": F.split(F.col(text), pattern, -1), "hits": F.regexp_extract_all(F.col(text), pattern, 0)}
+    pattern, there = F.lit(name), F.col(text).rlike(holds)
+    return {
+        "parts": F.when(there, F.split(F.col(text), pattern, -1)).otherwise(F.array(F.col(text))),
+        "hits": F.when(there, F.regexp_extract_all(F.col(text), pattern, 0)).otherwise(F.array().cast("array<string>")),
+    }
 
 
 def with_matches(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
@@ -65,7 +81,7 @@ def with_matches(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFram
     """
     names = list(patterns)
     kept = df.columns
-    found = [c.alias(f"_{k}_{n}") for n in names for k, c in code_points(text, patterns[n]).items()]
+    found = [c.alias(f"_{k}_{n}") for n in names for k, c in code_points(text, patterns[n], HOLDS[n]).items()]
     df = df.select(*kept, *found)
 
     def add(df: DataFrame, label: str, make: Callable[[str], Column]) -> DataFrame:
@@ -173,22 +189,30 @@ def keeps(kind: str, hit: Column) -> Column:
     return right & form.rlike(DOMAIN) if kind == "email" else right
 
 
+def shape(kind: str, hit: Column) -> Column:
+    """For an address whether its name is one plain word, has capitals, or digits or joining signs; for numbers the
+    signs between the digits: none, blanks, dots, or others."""
+    if kind == "email":
+        name = F.regexp_extract(hit, "^[A-Za-z0-9._%+-]+", 0)
+        return F.when(name.rlike("[0-9]"), 3).when(name.rlike("[._%+-]"), 2).when(name.rlike("[A-Z]"), 1).otherwise(0)
+    if kind == "ip":
+        return F.lit(0)  # the dots are how its notation strays
+    inner = F.regexp_replace(hit, r"^(?:\+|00)", "")
+    return F.when(inner.rlike("^[0-9]+$"), 0).when(inner.rlike("[()/_-]"), 3).when(inner.contains("."), 2).otherwise(1)
+
+
 def features(kind: str, x: Column) -> dict[str, Column]:
-    digits = only_digits(x["hit"])
-    checked = {
-        "email": normal(kind, x["hit"]).rlike(DOMAIN),
-        "ip": small_parts(normal(kind, x["hit"])),
-        "card": luhn(digits),
-        "phone": F.length(digits).between(9, 15),
-    }[kind]
+    digits = only_digits(F.regexp_replace(x["hit"], "^00", "") if kind == "phone" else x["hit"])
+    said = F.lower(x["before"])
+    measured = F.regexp_extract(x["hit"], "^[A-Za-z0-9._%+-]+", 0) if kind == "email" else digits
     return {
         "kind": F.lit(KINDS.index(kind)),
         "digits": bins(F.length(digits), [1, 8, 11, 13, 16, 17]),
-        "announced": F.lower(x["before"]).rlike(CONTEXT[kind]).cast("int"),
+        "announced": F.when(said.rlike(AGAINST), 2).when(said.rlike(CONTEXT[kind]), 1).otherwise(0),
         "before": character(F.right(x["before"], F.lit(1))),
         "after": character(x["after"]),
-        "checked": checked.cast("int"),
-        "length": bins(F.length(x["hit"]), [8, 13, 18, 28]),
+        "shape": shape(kind, x["hit"]),
+        "length": bins(F.length(measured), [3, 5, 8, 13]),
     }
 
 
@@ -281,30 +305,93 @@ class Model:
         return total * self.rate >= threshold
 
 
-def learn(proposed: DataFrame, trees: int = 12, depth: int = 3, rate: float = 0.5, precision: float = 0.95) -> Model:
-    """A model from all rows with doc_id and ``proposed``; one in four documents is kept out for the thresholds.
+PLANTED = 4000  # sentences
 
-    Proposals are counted by their features first. There are at most 17,920 combinations of features, so what the
-    driver holds does not grow with the corpus.
-    """
+
+def planted(spark: SparkSession) -> DataFrame:
+    """(doc_id, text, kind, truth): sentences with one well-formed span each, personal data or not by what is said."""
+    def pick(label: str, *values: str) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.pmod(F.xxhash64("id", F.lit(label)), F.lit(len(values))).cast("int") + 1)
+
+    def number(label: str, size: int) -> Column:
+        return F.lpad(F.pmod(F.xxhash64("id", F.lit(label)), F.lit(10**size)).cast("string"), size, "0")
+
+    part = lambda label: F.pmod(F.xxhash64("id", F.lit(label)), F.lit(256)).cast("string")
+    yes = F.pmod(F.floor(F.col("id") / 4), F.lit(2)) == 0
+    lead = lambda right, wrong: F.when(yes, pick("lead", *right)).otherwise(pick("lead", *wrong))
+    at, dot = pick("at", "@", " at ", " [at] ", "(at)"), pick("dot", ".", " dot ", " [dot] ", "(dot)")
+    name = F.when(yes, pick("name", "john", "maria", "info", "j.smith", "ana_lopez", "User")).otherwise(
+        pick("name", "talks", "arrived", "look", "meeting", "held", "stayed"))
+    account = F.when(yes & (F.pmod(F.xxhash64("id"), F.lit(2)) == 0), F.concat(name, number("n", 2))).otherwise(name)
+    email = F.concat(
+        lead(["please write to ", "contact ", "my mail is ", "kontakt: "], ["the ", "they ", "we all ", "after the long "]), account,
+        F.when(yes, at).otherwise(" at "), pick("host", "geneva", "example", "home", "uni", "work"),
+        F.when(yes, dot).otherwise(" dot "), pick("end", "de", "org", "com", "fr"),
+    )
+    dots, mark = pick("dots", ".", "[.]", " . "), pick("mark", " ", "-", ".")
+    ip = F.concat(
+        lead(["server ", "the host ", "address ", "ip: "], ["version ", "release ", "section ", "chapter "]),
+        part("a"), dots, part("b"), dots, part("c"), dots, part("d"),
+    )
+    stem = number("card", 15)
+    valid = F.element_at(F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(stem, d.cast("string"))), luhn), 1)
+    card = F.concat(
+        lead(["my card ", "visa ", "pay with ", "credit: "], ["order ", "serial ", "invoice ", "article "]),
+        F.regexp_replace(valid, "([0-9]{4})(?=[0-9])", F.concat(F.lit("$1"), pick("mark", "", " ", ".", "/"))),
+    )
+    phone = F.concat(
+        lead(["call ", "phone ", "tel ", "mobile "], ["order ", "serial ", "isbn ", "invoice "]),
+        pick("plus", "+", "00"), pick("land", "49", "33", "1", "44"), F.lit(" "),
+        number("p", 2), mark, number("q", 4), mark, number("r", 4),
+    )
+    kind = F.pmod("id", F.lit(4)).cast("int")
+    text = F.concat(
+        F.when(kind == 0, email).when(kind == 1, ip).when(kind == 2, card).otherwise(phone), pick("tail", "", " soon", " again", ", thanks"),
+    )
+    return spark.range(PLANTED).select(F.col("id").alias("doc_id"), text.alias("text"), kind.alias("kind"), yes.alias("truth"))
+
+
+def cell_counts(rows: DataFrame, label: Callable[[Column], Column], of_kind: Column | None = None) -> list[tuple[dict[str, int], bool, bool, int]]:
+    """(features, label, kept out, count) of the proposals of all rows. There are at most 53,760 combinations,
+    so what the driver holds does not grow with the corpus."""
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 3, F.lit(False))
+
     def cell(x: Column) -> Column:  # one number for all features, which is cheaper to group by than a struct
-        code = x["right"].cast("int")
+        code = label(x).cast("int")
         for name, size in FEATURES.items():
             code = code * size + x[name]
         return code
 
-    counted = proposed.select(fold.alias("out"), F.explode(F.transform("proposed", cell)).alias("cell"))
+    proposed = F.col("proposed") if of_kind is None else F.filter("proposed", lambda x: x["kind"] == of_kind)
+    counted = rows.select(fold.alias("out"), F.explode(F.transform(proposed, cell)).alias("cell"))
     cells = []
     for row in counted.groupBy("out", "cell").count().collect():
         f, code = {}, row["cell"]
         for name, size in reversed(FEATURES.items()):
             code, f[name] = divmod(code, size)
         cells.append(({n: f[n] for n in FEATURES}, bool(code), row["out"], row["count"]))
-    cells.sort(key=lambda c: (tuple(c[0].values()), c[1], c[2]))
+    return sorted(cells, key=lambda c: (tuple(c[0].values()), c[1], c[2]))
+
+
+def shares(cells: list, weight: float = 1000.0) -> list:
+    """The counts as weights; those of a kind add up to ``weight`` in each fold."""
+    total: dict[tuple[int, bool], int] = {}
+    for f, _, out, n in cells:
+        total[f["kind"], out] = total.get((f["kind"], out), 0) + n
+    return [(f, y, out, weight * n / total[f["kind"], out]) for f, y, out, n in cells]
+
+
+def learn(proposed: DataFrame, trees: int = 16, depth: int = 3, rate: float = 0.5, precision: float = 0.95) -> Model:
+    """A model from all rows with doc_id and ``proposed``, and the planted sentences.
+
+    Proposals are counted by their features first. In each kind the corpus and the sentences weigh the same, whatever
+    the size of the corpus. One in four documents and sentences is kept out for the thresholds.
+    """
+    sentences = proposals(planted(proposed.sparkSession))
+    cells = shares(cell_counts(proposed, lambda x: x["right"])) + shares(cell_counts(sentences, lambda _: F.col("truth"), F.col("kind")))
     learned = [(f, y, n) for f, y, out, n in cells if not out]
     built, scores = [], [0.0] * len(learned)
-    for _ in range(trees if learned else 0):
+    for _ in range(trees):
         rows = []
         for (f, y, n), s in zip(learned, scores, strict=True):
             chance = 1 / (1 + math.exp(-s))
@@ -314,14 +401,12 @@ def learn(proposed: DataFrame, trees: int = 12, depth: int = 3, rate: float = 0.
     model = Model(tuple(built), rate, ())
     thresholds = []
     for kind in range(len(KINDS)):
-        by: dict[float, list[int]] = {}
-        # A kind that no document kept out has is judged by the others.
-        kept_out = any(out and f["kind"] == kind for f, _, out, _ in cells)
+        by: dict[float, list[float]] = {}
         for f, y, out, n in cells:
-            if out == kept_out and f["kind"] == kind:
-                pair = by.setdefault(round(model.score(f), 9), [0, 0])
+            if out and f["kind"] == kind:
+                pair = by.setdefault(round(model.score(f), 9), [0.0, 0.0])
                 pair[not y] += n
-        right = wrong = 0
+        right = wrong = 0.0
         least = math.inf
         for score in sorted(by, reverse=True):
             right, wrong = right + by[score][0], wrong + by[score][1]
@@ -339,7 +424,7 @@ def with_spans(df: DataFrame) -> DataFrame:
     """Adds ``base`` and ``spans`` (arrays of start, kind, end in order) to rows with doc_id and ``text``."""
     proposed = proposals(df)
     model = learn(proposed)
-    chosen = F.filter("proposed", lambda x: model.accepts(x) & ~F.exists("base", lambda b: overlap(b, x)))
+    chosen = F.filter("proposed", lambda x: x["right"] & model.accepts(x) & ~F.exists("base", lambda b: overlap(b, x)))
     added = F.transform(
         chosen, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))
     )

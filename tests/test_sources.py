@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from textmill.functions.prefix import hashed_rank, running_total
+from textmill.functions.prefix import hashed_rank, running_total, with_bucket
 from textmill.operators import traininglog as L
 from textmill.operators.features import batch_plan
 from textmill.sources import corpus, layout, metriclog, nested, vocabfile
@@ -39,8 +39,8 @@ def test_running_total_and_rank_equal_plain_windows(spark):
     rng = random.Random(1)
     keys = rng.sample(range(-10**6, 10**6), 2000)
     df = spark.createDataFrame([(k, k % 3, rng.randrange(9), rng.random()) for k in keys], "k bigint, g int, v int, u double")
-    got = {r.k: r.t for r in running_total(df, "k", F.col("v"), "t", ["g"], buckets=16).collect()}
-    rank = {r.k: r.r for r in hashed_rank(df, "u", ["k"], "r", buckets=16).collect()}
+    got = {r.k: r.t for r in running_total(df, "k", F.col("v"), "t", ["g"], bucket_rows=125).collect()}
+    rank = {r.k: r.r for r in hashed_rank(df, "u", ["k"], "r", bucket_rows=125).collect()}
     rows = df.collect()
     for g in range(3):
         total = 0
@@ -50,6 +50,43 @@ def test_running_total_and_rank_equal_plain_windows(spark):
     assert [rank[r.k] for r in sorted(rows, key=lambda r: r.u)] == list(range(2000))
 
 
+def test_totals_by_keys_of_any_type(spark):
+    """Text, composite and null keys, one group with most rows: plain sums, and buckets that grow with the keys."""
+    rng = random.Random(2)
+    names = [None, "", "é", "zz"] + [f"n{rng.randrange(10**9)}" for _ in range(60)]
+    keys = sorted({(names[rng.randrange(len(names))], rng.randrange(400)) for _ in range(9000)}, key=lambda k: (k[0] is not None, (k[0] or "").encode(), k[1]))
+    rows = [(*k, "hot" if rng.random() < 0.9 else "cold", rng.randrange(9)) for k in keys]
+    df = spark.createDataFrame(rows, "a string, b int, g string, v int").repartition(5)
+    got = {(r.a, r.b): r.t for r in running_total(df, "a", F.col("v"), "t", ["g"], ["b"], bucket_rows=640).collect()}
+    total = {"hot": 0, "cold": 0}
+    for a, b, g, v in rows:
+        assert got[a, b] == total[g]
+        total[g] += v
+    assert len(got) == len(rows)
+    placed = {(r.a, r.b): r._bucket for r in with_bucket(df, ["a", "b"], 640).collect()}
+    order = [placed[k] for k in keys]
+    assert order == sorted(order) and set(order) == set(range(max(order) + 1)) and len(set(order)) >= 9
+    sizes = [order.count(i) for i in set(order)]
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+    assert running_total(df.limit(0), "a", F.col("v"), "t", ["g"], ["b"]).count() == 0
+    one = spark.createDataFrame([("x", 1.5)], "k string, v double")
+    assert [r.t for r in running_total(one, "k", F.col("v"), "t").collect()] == [0.0]
+
+
+def test_lines_and_examples_of_documents_with_text_ids(spark):
+    rows = [(f"doc-{d}", n) for d in range(30) for n in range(d % 5)]
+    lines = spark.createDataFrame(rows, "doc_id string, line_no int").repartition(4)
+    got = {(r.doc_id, r.line_no): r.shard for r in layout.shard(lines, 7, "line").collect()}
+    assert got == {k: i % 7 for i, k in enumerate(sorted(rows))}
+    examples = [(f"doc-{d}", length, e) for d in range(30) for length in (128, 512) for e in range(512 // length * (d % 3))]
+    df = spark.createDataFrame(examples, "doc_id string, max_len int, ex int").repartition(4)
+    placed = layout.place_examples(df, 6, 2).collect()
+    for job in range(2):
+        mine = sorted((r.doc_id, r.max_len, r.ex, r.seq) for r in placed if r.job == job)
+        assert [m[3] for m in mine] == list(range(len(mine)))
+    assert len(placed) == len(examples)
+
+
 def test_nested_json_and_labels(spark, tmp_path):
     data = {"data": [{"tokens": ["a", "b"], "tags": [0, 1]}, {"tokens": [], "tags": []}]}
     (tmp_path / "t.json").write_text(json.dumps(data, indent=1))

@@ -157,11 +157,11 @@ def qa_best_spans(
 
 
 def batch_plan(df: DataFrame, keys: list[str], batch: int, shuffle: bool = True, seed: int = 0) -> DataFrame:
-    """Adds ``batch`` and ``pos``: a seeded order (or the order of the first key) cut into fixed batches."""
+    """Adds ``batch`` and ``pos``: a seeded order (or the order of the keys) cut into fixed batches."""
     if shuffle:
         ranked = hashed_rank(df.withColumn("_u", uniform(seed, "batch", *keys)), "_u", keys, "_rn").drop("_u")
     else:
-        ranked = running_total(df, keys[0], F.lit(1), "_rn")
+        ranked = running_total(df, keys[0], F.lit(1), "_rn", ties=keys[1:])
     return ranked.withColumn("batch", F.floor(F.col("_rn") / batch)).withColumn(
         "pos", F.pmod(F.col("_rn"), F.lit(batch))
     ).drop("_rn")

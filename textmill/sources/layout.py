@@ -12,7 +12,7 @@ def shard(df: DataFrame, n: int = 2048, by: str = "doc", seed: int = 0) -> DataF
     """Adds ``shard`` to (doc_id, line_no, …) rows.
 
     ``by='doc'`` keeps a document together. ``by='line'`` deals line i of the corpus (documents in id
-    order) to shard i mod n: line counts per document are summed up in buckets, rows are never sorted.
+    order) to shard i mod n: line counts per document are summed up in buckets, whatever the type of doc_id.
     """
     if by == "doc":
         return df.withColumn("shard", uniform_index(n, seed, "shard", "doc_id").cast("int"))
@@ -34,26 +34,34 @@ def assign_files(files: DataFrame, n_workers: int, name: str = "file") -> DataFr
     return files.select(name, F.pmod(index, F.lit(n_workers)).cast("int").alias("worker"))
 
 
-def place_examples(examples: DataFrame, n_files: int, n_jobs: int, seed: int = 0) -> DataFrame:
+def place_examples(
+    examples: DataFrame, n_files: int, n_jobs: int, seed: int = 0, within: list[str] | None = None
+) -> DataFrame:
     """Adds ``job``, ``seq`` (number of the example within its job) and ``out_file``.
 
-    Job j owns the files i with i mod n_jobs = j and deals its examples to them in turn.
+    Job j owns the files i with i mod n_jobs = j and deals its examples to them in turn, by doc_id and then by the
+    columns ``within``, which tell a document's examples apart: by default those of max_len and ex that are there.
+    Document ids may be of any type that sorts.
     """
+    within = within or [c for c in ("max_len", "ex") if c in examples.columns]
     jobs = examples.withColumn("job", uniform_index(n_jobs, seed, "job", "doc_id"))
     counts = jobs.groupBy("job", "doc_id").agg(F.count("*").alias("_n"))
     offsets = running_total(counts, "doc_id", F.col("_n"), "_before", ["job"]).drop("_n", "job")
     writers = F.ceil((F.lit(n_files) - F.col("job")) / n_jobs)
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(*within)) - 1  # one document's examples
     return (
-        jobs.join(offsets, "doc_id")
-        .withColumn("seq", F.col("_before") + F.col("ex"))
+        jobs.withColumn("_nth", nth).join(offsets, "doc_id")
+        .withColumn("seq", F.col("_before") + F.col("_nth"))
         .withColumn("out_file", F.col("job") + n_jobs * F.pmod(F.col("seq"), writers))
-        .drop("_before")
+        .drop("_before", "_nth")
     )
 
 
-def write_examples(examples: DataFrame, path: str, n_files: int, n_jobs: int, seed: int = 0) -> None:
+def write_examples(
+    examples: DataFrame, path: str, n_files: int, n_jobs: int, seed: int = 0, within: list[str] | None = None
+) -> None:
     """Parquet, one folder per output file number; rows of a file are shuffled together before writing."""
-    placed = place_examples(examples, n_files, n_jobs, seed)
+    placed = place_examples(examples, n_files, n_jobs, seed, within)
     placed.repartition("out_file").write.partitionBy("out_file").parquet(path)
 
 

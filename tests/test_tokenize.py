@@ -1,8 +1,10 @@
 import random
+import unicodedata
 
 from conftest import make_vocab
 from pyspark.sql import functions as F
 
+from textmill.functions.decompose import decompose
 from textmill.functions.text import words_of
 from textmill.operators import merges as M, tokenize as T, vocabulary as V
 
@@ -206,3 +208,23 @@ def test_vocab_alphabet_is_a_floor(spark):
     more = V.assemble_vocab(V.alphabet(counts), V.frequent_pieces(counts), 10)
     assert [r.token for r in more.filter("id >= 8").orderBy("id").collect()] == ["##bc", "ab"]
     assert more.agg(F.count("*")).first()[0] == 10
+
+
+def test_decomposition_is_that_of_the_standard(spark):
+    """All assigned characters, alone, before marks and after them; marks in any order; nulls and long runs."""
+    texts = []
+    for first in range(0, 0x110000, 64):
+        block = [chr(c) for c in range(first, first + 64) if unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co")]
+        if block:
+            texts += ["".join(block), "\u0301".join(block) + "\u0323", "e\u0345\u0327".join(block)]
+    draw = random.Random(5)
+    marks = [chr(c) for c in range(0x300, 0x360)] + ["\u05b0", "\u0591", "\u093c", "\u094d", "\u0f71", "\u302e", "\u0903"]
+    texts += ["".join(draw.choice("a\u00e9\ud55c" + "".join(marks)) for _ in range(60)) for _ in range(200)]
+    texts += ["", "plain", "x" + "\u0323\u0301" * 5000]
+    df = spark.createDataFrame([*enumerate(texts), (-1, None)], "i int, t string").repartition(8)
+    got = {r.i: r.d for r in df.select("i", decompose("t").alias("d")).collect()}
+    assert got.pop(-1) is None
+    assert [i for i, t in enumerate(texts) if got[i] != unicodedata.normalize("NFD", t)] == []
+    row = spark.createDataFrame([("\ud55c\uae00 \u1ed8n [CLS]",)], "t string")
+    words = row.select(words_of("t", full=True).alias("w")).first().w
+    assert words == ["\u1112\u1161\u11ab\u1100\u1173\u11af", "on", "[CLS]"]

@@ -8,6 +8,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.functions.arrays import starts
+from textmill.functions.decompose import decompose
 from textmill.functions.draws import as_column
 from textmill.functions.trie import longest
 
@@ -89,12 +90,13 @@ CHARS = "array<struct<x:string,at:int,part:int>>"
 SPAN = "array<struct<word:string,s:int,at:array<int>>>"
 
 
-def words_of(text, lower: bool = True, tokens: str | None = None) -> Column:
+def words_of(text, lower: bool = True, tokens: str | None = None, full: bool = False) -> Column:
     """Array of words: special tokens whole, ideographs and punctuation characters on their own.
 
     ``tokens``: a pattern of added tokens (:func:`added_pattern`), which pass whole too, also from inside a word.
+    ``full``: lower-cased text is decomposed wholly before it loses its marks, so Hangul becomes its letters.
     """
-    text = as_column(text)
+    text = decompose(text) if full and lower else as_column(text)
     # Most texts hold nothing that needs care: one character mapping and one split then do it all.
     spaced = F.regexp_replace(_folded(text, lower), f"([{PUNCTUATION}])", " $1 ")
     quick = F.array_remove(F.split(spaced, " "), "")

@@ -71,7 +71,9 @@ def _parts(char: Column) -> Column:
     (source, target), *more = part_tables()
     rest = [F.translate(char, s, t) for s, t in more]
     made = F.concat(F.translate(char, source, target), *[F.when(r == char, "").otherwise(r) for r in rest])
-    return F.when(char.between(chr(SYLLABLES), chr(LAST_SYLLABLE)), _syllable(char)).otherwise(made)
+    return F.when(char < chr(_characters().start), char).when(
+        char.between(chr(SYLLABLES), chr(LAST_SYLLABLE)), _syllable(char)
+    ).otherwise(made)
 
 
 def _ordered(marks: Column) -> Column:

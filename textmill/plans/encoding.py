@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
+from textmill.functions.decompose import decompose
 from textmill.functions.draws import uniform, uniform_index
 from textmill.functions.stage import materialize
 from textmill.functions.text import SPECIAL_TOKENS, words_of
@@ -232,3 +235,29 @@ def _(w):
     return found.select("doc_id", "no", "at", "word_no", "piece_no", "token").fillna(
         {"word_no": -1, "piece_no": -1, "token": ""}  # characters between words
     )
+
+
+def _latin_decomposed() -> str:
+    """The SQL replaces accented Latin letters one by one, until none is left that has parts."""
+    sql = "text"
+    for code in range(0xC0, 0x180):
+        parts = unicodedata.normalize("NFD", chr(code))
+        if len(parts) > 1:
+            sql = f"replace({sql}, chr({code}), {' || '.join(f'chr({ord(c)})' for c in parts)})"
+    return sql
+
+
+# Syllables with and without a closing letter, a letter of three parts, and marks out of order.
+COMPOSED_TEXTS = [(-1, "\ud55c\uae00 \uac00"), (-2, "\u1ed8n"), (-3, "q\u0307\u0323")]
+
+
+@S("decompose_text", f"""
+  SELECT doc_id, length(d)::BIGINT AS n_chars, md5(d) AS digest FROM (
+    SELECT doc_id, {_latin_decomposed()} AS d FROM documents
+    UNION ALL SELECT -1, chr(4370) || chr(4449) || chr(4523) || chr(4352) || chr(4467) || chr(4527) || ' ' || chr(4352) || chr(4449)
+    UNION ALL SELECT -2, 'O' || chr(803) || chr(770) || 'n'
+    UNION ALL SELECT -3, 'q' || chr(803) || chr(775))""")
+def decompose_text(w):
+    composed = w.spark.createDataFrame(COMPOSED_TEXTS, "doc_id bigint, text string")
+    texts = w.table("documents").select("doc_id", "text").unionByName(composed).select("doc_id", decompose("text").alias("d"))
+    return texts.select("doc_id", F.length("d").cast("bigint").alias("n_chars"), F.md5(F.col("d").cast("binary")).alias("digest"))

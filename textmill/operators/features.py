@@ -11,9 +11,11 @@ from textmill.functions.prefix import hashed_rank, running_total
 from textmill.functions.text import words_of
 from textmill.operators.encode import stride_windows
 from textmill.operators.packing import filled
+from textmill.operators.pieces import MARK
 from textmill.operators.tokenize import Codebook, codebook, with_offsets
 
 IGNORED = -100
+BAR = "\u00a6"  # neither punctuation nor a letter, and as common a character as splitting knows
 
 
 def align_labels(
@@ -23,21 +25,18 @@ def align_labels(
     """(keys, input_ids, labels): the first piece of a word gets its tag, later pieces the tag or -100,
     special tokens -100. A given token that splits further keeps its own first piece as the first one."""
     book = codebook(vocab)
-    # All words of all tokens of a sentence are matched in one pass; each word knows its token's tag.
-    inner = F.transform(F.arrays_zip(F.col(tokens).alias("w"), F.col(tags).alias("t")), lambda x: F.transform(
-        words_of(x["w"], book.lower, book.tokens), lambda w, i: F.struct(w.alias("word"), x["t"].cast("int").alias("tag"), i.alias("pos"))
-    ))
-
-    def labelled(words: Column, ids: Column) -> Column:
-        def labels(x: Column, own: Column) -> Column:
-            first = lambda i: (i == 0) & (x["pos"] == 0)
-            later = x["tag"] if label_all else F.lit(IGNORED)
-            return F.transform(own, lambda _, i: F.when(first(i), x["tag"]).otherwise(later).cast("int"))
-
-        return F.struct(F.flatten(ids).alias("ids"), F.flatten(F.zip_with(words, ids, labels)).alias("labels"))
-
-    rows = df.withColumn("_inner", F.flatten(inner))
-    rows = book.coded(rows, "_inner", lambda ws: F.transform(ws, lambda w: w["word"]), "_made", labelled, "ids")
+    # All words of a sentence in one array, with a mark ahead of those of each token. A sentence without one of its
+    # own has a mark that is a word; else, and where added tokens could reach over it, its tokens are split one by one.
+    df = df.withColumn("_whole", F.concat(F.lit(f"{BAR} "), F.array_join(tokens, f" {BAR} ")))
+    fast = ~F.exists(tokens, lambda t: t.contains(BAR)) if book.tokens is None else F.lit(False)
+    split = lambda t: words_of(t, book.lower, book.tokens)
+    words = F.when(F.size(tokens) == 0, F.array().cast("array<string>")).when(
+        fast, split(F.col("_whole"))
+    ).otherwise(F.flatten(F.transform(tokens, lambda t: F.concat(F.array(F.lit(MARK)), split(t)))))
+    known = ~F.exists(tokens, lambda t: t.isNull()) & (F.size(tags) <= F.size(tokens))
+    rows = df.withColumn("_words", F.when(known, words)).withColumn("_mark", F.when(fast, BAR).otherwise(MARK))
+    ints = F.col(tags).cast("array<int>")
+    rows = rows.withColumn("_made", book.labelled(F.col("_words"), F.col("_mark"), ints, None if label_all else IGNORED))
     none = F.array().cast("array<int>")
     ids, labels = F.coalesce("_made.ids", none), F.coalesce("_made.labels", none)
     return rows.select(

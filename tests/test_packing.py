@@ -217,3 +217,48 @@ def test_preview_stops_at_padding(spark):
     vocab = spark.createDataFrame([("[PAD]", 0), ("[CLS]", 1), ("[MASK]", 4), ("x", 5), ("y", 6)], "token string, id int")
     df = spark.createDataFrame([(1, [1, 4, 6, 0, 0], [1], [5])], "k int, masked_ids array<int>, positions array<int>, masked_lm_ids array<int>")
     assert C.preview_masked(df, vocab, ["k"]).first().preview == "[CLS] [MASK] (x) y"
+
+
+def test_the_state_is_asked_a_few_times_a_key_not_once_a_line(spark):
+    """Both streams on a store that counts its calls: many lines out of order, and many windows in a batch."""
+    from collections import Counter
+    from types import SimpleNamespace
+
+    from textmill.streaming.packing import LinePacker
+    from textmill.streaming.traininglog import StepWindows
+
+    calls = Counter()
+
+    class Store:
+        def __init__(self):
+            self.value, self.map = None, {}
+
+        def __getattr__(self, name):
+            calls[name] += 1
+            return {
+                "get": lambda: self.value, "exists": lambda: self.value is not None, "update": lambda v: setattr(self, "value", v),
+                "put": lambda v: setattr(self, "value", list(v)), "clear": lambda: (setattr(self, "value", None), self.map.clear()),
+                "containsKey": lambda k: k in self.map, "getValue": lambda k: self.map[k], "removeKey": lambda k: self.map.pop(k),
+                "updateValue": lambda k, v: self.map.__setitem__(k, v), "keys": lambda: iter(list(self.map)),
+                "iterator": lambda: iter(list(self.map.items())),
+            }[name]
+
+    def handle():
+        return SimpleNamespace(
+            getValueState=lambda *a: Store(), getListState=lambda *a: Store(), getMapState=lambda *a: Store(),
+            registerTimer=lambda t: None, deleteTimer=lambda t: None)
+
+    now = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: 5)
+    packer = LinePacker(16, 0, 1000, 1000)
+    packer.init(handle())
+    lines = [SimpleNamespace(i=i, line_no=2 * i, ids=[7] * (i % 5), is_last=i == 2999) for i in range(3000)]
+    out = [r for part in (2, 1, 0) for r in packer.handleInputRows((4,), lines[part::3], now)]
+    assert [(x.line_no, x.ids) for r in out for x in r.lines][:2990] == [(x.line_no, x.ids) for x in lines][:2990]
+    assert sum(calls.values()) < 3000 // 8
+    calls.clear()
+    windows = StepWindows(10, 0, 1000)
+    windows.init(handle())
+    rows = [SimpleNamespace(step=s, value=1.0) for s in range(1, 5006)]
+    got = [*windows.handleInputRows((1, "loss"), rows[:2503], now), *windows.handleInputRows((1, "loss"), rows[2503:], now)]
+    assert [(r.step, r.n, r.late) for r in got] == [(10 * k, 10, False) for k in range(1, 501)]
+    assert sum(calls.values()) < 40

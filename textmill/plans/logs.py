@@ -154,10 +154,11 @@ def _(w):
 def _(w):
     log = metric_log(w).select("rank", "metric", "step", "value")
     path = new_folder(w.spark, "log-stream")
-    last = log.agg(F.max("step")).scalar()
-    # The log comes in three parts, one after the other.
+    last, files = log.agg(F.max("step")).scalar(), w.deal
+    # The log comes in three parts, one after the other, each of as many files as tables are dealt to.
     for i in range(3):
         part = F.least(F.floor(3 * F.col("step") / (last + 1)), F.lit(2))
-        log.filter(part == i).coalesce(1).write.mode("append").parquet(path)
-    source = w.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        log.filter(part == i).repartition(files).write.mode("append").parquet(path)
+    per_batch = max(1, len(w.spark.read.parquet(path).inputFiles()) // 3)
+    source = w.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
     return run_to_end(w, metric_windows_stream(source, idle_ms=IDLE_MS), "log-windows")

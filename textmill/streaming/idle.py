@@ -31,16 +31,17 @@ class IdleTimer:
             self.due.clear()
 
 
-def run_until_idle(query: StreamingQuery, quiet_s: float, most_s: float = 600.0) -> None:
+def run_until_idle(query: StreamingQuery, quiet_s: float, most_s: float | None = None) -> None:
     """Ends a stream with timers once ``quiet_s`` have gone by without input, output or change of state.
 
     Such a stream has no end of its own, since a timer may always be due later. The time counts from the first batch
-    that found nothing to do, so ``quiet_s`` has to be longer than what timers wait for.
+    that found nothing to do, so ``quiet_s`` has to be longer than what timers wait for. How long the work takes grows
+    with the input, so there is no limit to it unless ``most_s`` sets one.
     """
     begin = time.monotonic()
     quiet: float | None = None
     last = -1
-    while time.monotonic() - begin < most_s:
+    while most_s is None or time.monotonic() - begin < most_s:
         if query.exception() is not None:
             raise query.exception()
         for progress in query.recentProgress:

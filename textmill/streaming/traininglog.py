@@ -39,17 +39,19 @@ class StepWindows(StatefulProcessor):
             top = max(top, r.step)
         for step in sorted(s for s in new if s <= given):
             yield self._give(key, step, *new.pop(step), True)
-        for step, (total, n) in new.items():
-            if self.open.containsKey((step,)):
-                before = self.open.getValue((step,))
-                total, n = total + before[0], n + before[1]
-            self.open.updateValue((step,), (total, n))
-        for step in sorted(k[0] for k in self.open.keys()):
-            if step > top - self.late:
-                break
-            yield self._give(key, step, *self.open.getValue((step,)), False)
-            self.open.removeKey((step,))
-            given = max(given, step)
+        # Only windows that stay open over a batch are in the state: few, however many steps a batch brings.
+        before = {k[0]: tuple(v) for k, v in self.open.iterator()}
+        for step, (total, n) in before.items():
+            more, count = new.get(step, (0.0, 0))
+            new[step] = (total + more, n + count)
+        for step in sorted(new):
+            if step <= top - self.late:
+                yield self._give(key, step, *new[step], False)
+                given = max(given, step)
+                if step in before:
+                    self.open.removeKey((step,))
+            elif new[step] != before.get(step):
+                self.open.updateValue((step,), new[step])
         self.top.update((top, given))
         self.timer.touch(timerValues)
 
@@ -57,8 +59,8 @@ class StepWindows(StatefulProcessor):
         if not self.timer.over(expiredTimerInfo):
             return
         top, given = self.top.get()
-        for step in sorted(k[0] for k in self.open.keys()):
-            yield self._give(key, step, *self.open.getValue((step,)), False)
+        for (step,), kept in sorted((tuple(k), tuple(v)) for k, v in self.open.iterator()):
+            yield self._give(key, step, *kept, False)
             given = max(given, step)
         self.open.clear()
         self.top.update((top, given))

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from textmill.operators.packing import assemble, split_segments
-from textmill.streaming.idle import IdleTimer
 
 LINE = "line_no int, ids array<int>"
 OUTPUT = f"doc_id bigint, max_len int, ex int, target int, lines array<struct<{LINE.replace(' ', ':')}>>".replace(",:", ",")
-HEAD = "turn int, ex int, target int, tokens int, last int"
+HEAD = "turn int, ex int, target int, tokens int, last int, kept int, held int, touched long"
+# Lines ahead of their turn lie together by so many numbers, so that the state is not asked for each of them.
+SPAN = 64
 MINUTE = 60_000
 
 
@@ -31,41 +32,55 @@ def target(seed: int, doc: int, max_len: int, first: int) -> int:
 class LinePacker(StatefulProcessor):
     """State of a document: where packing stands, the lines of the example that is open, lines ahead of their turn.
 
-    All of it lies in the state store (RocksDB) and is brought in only for documents that a batch touches.
+    All of it lies in the state store (RocksDB) and is brought in only for documents that a batch touches. Each call
+    of the store costs as much as packing many lines, so ``kept`` and ``held`` say how many lines the open example and
+    the spans of waiting lines have, and nothing is asked for that is not there.
     """
 
     def __init__(self, max_len: int, seed: int, idle_ms: int, keep_ms: int):
         self.max_len, self.seed, self.idle_ms, self.keep_ms = max_len, seed, idle_ms, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.head = handle.getValueState("head", HEAD)
         self.open = handle.getListState("open", LINE)
-        self.waiting = handle.getMapState("waiting", "i int", LINE)
+        self.waiting = handle.getMapState("waiting", "span int", f"lines array<struct<i:int,{LINE.replace(' ', ':').replace(',:', ',')}>>")
         # A document that is done is remembered for a while, so that lines sent again do not begin it anew.
         self.done = handle.getValueState("done", "done boolean", self.keep_ms)
-        self.timer = IdleTimer(handle, self.idle_ms)
 
-    def _start(self, doc: int) -> tuple:
-        return tuple(self.head.get()) if self.head.exists() else (0, 0, target(self.seed, doc, self.max_len, 0), 0, -1)
+    def _span(self, number: int) -> dict[int, tuple]:
+        value = self.waiting.getValue((number,)) if self.waiting.containsKey((number,)) else None
+        return {i: (line_no, list(ids)) for i, line_no, ids in value[0]} if value else {}
 
     def _walk(self, doc: int, head: tuple, arrived: dict, ended: bool) -> Iterator[Row]:
         """Pack the lines whose turn it is; with ``ended`` also across gaps, and let go of what is left."""
-        turn, ex, goal, tokens, last = head
-        held = dict(arrived)
-        taken = None
+        turn, ex, goal, tokens, last, kept, waits, touched = head
+        known = touched >= 0
+        taken: list[tuple] | None = None
+        spans: dict[int, dict[int, tuple]] = {}  # those brought in
+        fresh: dict[int, dict[int, tuple]] = {}
+        for i, line in arrived.items():
+            fresh.setdefault(i // SPAN, {})[i] = line
+        changed = set(fresh)
+
+        def span(number: int) -> dict[int, tuple]:
+            if number not in spans:
+                spans[number] = fresh.get(number, {}) | (self._span(number) if waits else {})
+            return spans[number]
+
         while True:
-            if self.waiting.containsKey((turn,)):
-                held.setdefault(turn, tuple(self.waiting.getValue((turn,))))
-                self.waiting.removeKey((turn,))
-            if turn not in held:
-                ahead = [i for i in [*held, *(k[0] for k in self.waiting.keys())] if i > turn] if ended else []
-                if not ahead:
+            here = span(turn // SPAN)
+            if turn not in here:
+                numbers = {*fresh, *(k[0] for k in self.waiting.keys())} if ended and waits else set(fresh) if ended else set()
+                ahead = next((m for m in (min((i for i in span(n) if i > turn), default=None) for n in sorted(numbers)) if m is not None), None)
+                if ahead is None:
                     break
-                turn = min(ahead)
+                turn = ahead
                 continue
-            line_no, ids = held.pop(turn)
+            line_no, ids = here.pop(turn)
+            changed.add(turn // SPAN)
             if taken is None:
-                taken = [tuple(line) for line in self.open.get()] if self.open.exists() else []
+                taken = [tuple(line) for line in self.open.get()] if kept else []
             taken.append((line_no, list(ids)))
             tokens += len(ids)
             if tokens >= goal:
@@ -75,43 +90,63 @@ class LinePacker(StatefulProcessor):
             turn += 1
             if turn - 1 == last:
                 ended = True
-        for i, line in held.items():
-            self.waiting.updateValue((i,), (line[0], list(line[1])))
         if ended:
-            rest = [tuple(line) for line in self.open.get()] if taken is None and self.open.exists() else taken or []
+            rest = [tuple(line) for line in self.open.get()] if taken is None and kept else taken or []
             if tokens > 0:
                 yield self._example(doc, ex, goal, rest)
-            for state in (self.head, self.open, self.waiting):
-                state.clear()
+            if known:
+                self.head.clear()
+                self.handle.deleteTimer(touched + self.idle_ms)
+            if kept:
+                self.open.clear()
+            if waits:
+                self.waiting.clear()
             self.done.update((True,))
-            self.timer.stop()
             return
+        held = waits
+        for number in sorted(changed):
+            lines = span(number)
+            if lines:
+                self.waiting.updateValue((number,), ([(i, *lines[i]) for i in sorted(lines)],))
+                held = True
+            elif waits and self.waiting.containsKey((number,)):
+                self.waiting.removeKey((number,))
         if taken is not None:
-            self.open.clear()
             if taken:
                 self.open.put(taken)
-        self.head.update((turn, ex, goal, tokens, last))
+            elif kept:
+                self.open.clear()
+            kept = len(taken)
+        if known:
+            self.handle.deleteTimer(touched + self.idle_ms)
+        self.handle.registerTimer(self.now + self.idle_ms)
+        self.head.update((turn, ex, goal, tokens, last, kept, int(held), self.now))
 
     def _example(self, doc: int, ex: int, goal: int, lines: list[tuple]) -> Row:
         return Row(doc_id=doc, max_len=self.max_len, ex=ex, target=goal, lines=[Row(line_no=n, ids=list(i)) for n, i in lines])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         doc = key[0]
-        if self.done.exists():
+        head = self.head.get()
+        if head is None and self.done.exists():
             return
-        turn, ex, goal, tokens, last = self._start(doc)
+        self.now = timerValues.getCurrentProcessingTimeInMs()
+        turn, ex, goal, tokens, last, kept, held, touched = (
+            tuple(head) if head is not None else (0, 0, target(self.seed, doc, self.max_len, 0), 0, -1, 0, 0, -1)
+        )
         arrived = {}
         for r in rows:
             if r.i >= turn:
                 arrived.setdefault(r.i, (r.line_no, r.ids or []))
             if r.is_last:
                 last = r.i
-        self.timer.touch(timerValues)
-        yield from self._walk(doc, (turn, ex, goal, tokens, last), arrived, 0 <= last < turn)
+        yield from self._walk(doc, (turn, ex, goal, tokens, last, kept, held, touched), arrived, 0 <= last < turn)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.timer.over(expiredTimerInfo) and not self.done.exists():
-            yield from self._walk(key[0], self._start(key[0]), {}, True)
+        head = self.head.get()
+        # Not a timer that input has put off.
+        if head is not None and head[7] + self.idle_ms <= expiredTimerInfo.getExpiryTimeInMs():
+            yield from self._walk(key[0], tuple(head), {}, True)
 
     def close(self) -> None:
         pass

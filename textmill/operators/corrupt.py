@@ -91,7 +91,7 @@ def sample_positions(
     else:
         key = draw
     possible = F.filter("candidates", lambda p: chance(p) > 0) if weights else F.col("candidates")
-    drawn = F.array_sort(F.transform(possible, lambda p: F.struct(key(p).alias("k"), p.alias("p"))))
+    drawn = F.sort_array(F.transform(possible, lambda p: F.struct(key(p).alias("k"), p.alias("p"))))
     chosen = F.sort_array(F.transform(F.slice(drawn, F.lit(1), F.col("budget")), lambda x: x["p"]))
     if already:
         chosen = F.array_except(chosen, F.col(already))

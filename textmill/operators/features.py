@@ -122,7 +122,7 @@ def qa_best_spans(
     Ties: earlier window, start, end.
     """
     def best(column: str) -> Column:
-        ranked = F.array_sort(F.transform(column, lambda v, i: F.struct((-v).alias("neg"), i.alias("i"))))
+        ranked = F.sort_array(F.transform(column, lambda v, i: F.struct((-v).alias("neg"), i.alias("i"))))
         return F.slice(ranked, 1, n_best)
 
     # Ranked before the join: a projection right under the pairing would be folded into its lambda.

@@ -262,3 +262,37 @@ def test_the_state_is_asked_a_few_times_a_key_not_once_a_line(spark):
     got = [*windows.handleInputRows((1, "loss"), rows[:2503], now), *windows.handleInputRows((1, "loss"), rows[2503:], now)]
     assert [(r.step, r.n, r.late) for r in got] == [(10 * k, 10, False) for k in range(1, 501)]
     assert sum(calls.values()) < 40
+
+
+def test_blocks_are_crossed_many_at_once_whatever_the_batches():
+    import pyarrow as pa
+
+    from textmill.operators import longpacking as L
+
+    draw, rows, crossed, begun = random.Random(3), [], [], []
+    for doc in range(30):
+        for block in range(3):
+            size, first = draw.randint(1, 9), block * 9
+            ahead = [first + i + draw.randint(1, 4) if draw.random() < 0.9 else None for i in range(size)]
+            entry = draw.randrange(size) if draw.random() < 0.8 else None
+            for i, to in enumerate(ahead):
+                rows.append((doc, 128, block, first + i, to, 100 + i, 7 if i == entry else None))
+                at, hops = i, 1
+                while ahead[at] is not None and ahead[at] - first < size:
+                    at, hops = ahead[at] - first, hops + 1
+                crossed.append((doc, 128, first + i, ahead[at], hops))
+            at, ex = entry, 7
+            while at is not None:
+                begun.append((doc, 128, first + at, ex, 100 + at))
+                at, ex = (ahead[at] - first if ahead[at] is not None and ahead[at] - first < size else None), ex + 1
+    names = [*L.KEYS, "_block", "pos", "next", "target", "ex"]
+    table = pa.table([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
+    listed = lambda made: [tuple(r.values()) for b in made for r in b.to_pylist()]
+    for size, enough in ((1, 1), (7, 20), (1000, 1 << 17)):
+        L.ROWS, kept = enough, L.ROWS
+        try:
+            batches = table.to_batches(max_chunksize=size)
+            assert listed(L._crossings(iter(batches))) == crossed
+            assert sorted(listed(L._starts(iter(batches)))) == sorted(begun)
+        finally:
+            L.ROWS = kept

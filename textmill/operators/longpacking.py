@@ -9,8 +9,11 @@ where pointers come into blocks, and pointer doubling goes through that in a log
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from textmill.functions.stage import materialize
@@ -18,6 +21,8 @@ from textmill.operators.packing import example_target
 
 # Lines whose pointers are followed in one task, and tokens among whose ends one is searched for.
 BLOCK, TOKENS = 1 << 16, 1 << 12
+# Lines taken at once, at least, where blocks are smaller.
+ROWS = 1 << 17
 KEYS = ["doc_id", "max_len"]
 
 
@@ -71,26 +76,59 @@ def pointers(placed: DataFrame, lengths: list[int], seed: int, tokens: int = TOK
     )
 
 
-def _crossings(frame: pd.DataFrame) -> pd.DataFrame:
-    """For each line of a block where its pointers leave the block, and after how many examples."""
-    frame = frame.sort_values("pos", ignore_index=True)
-    first, size = int(frame["pos"].iloc[0]), len(frame)
-    step = frame["next"].to_numpy(dtype=float, na_value=np.nan)
-    to, hops = step.copy(), np.ones(size, dtype=np.int64)
-    for i in range(size - 1, -1, -1):
-        inner = step[i] - first
-        if inner < size:  # not for nan
-            to[i], hops[i] = to[int(inner)], hops[int(inner)] + 1
-    out = frame[[*KEYS, "pos"]].copy()
-    out["to"], out["hops"] = pd.array(to, dtype="Float64").astype("Int64"), hops
-    return out
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows in order of blocks, many blocks at once and each of them whole, and for each row its block's first row."""
+    held, rows, enough = [], 0, ROWS
+    for batch in batches:
+        held.append(batch)
+        rows += len(batch)
+        if rows >= enough:
+            table = pa.Table.from_batches(held)
+            first = _first_rows(table)
+            cut = int(first[-1])
+            if cut:
+                yield table.slice(0, cut), first[:cut]
+            held, rows = table.slice(cut).to_batches(), len(table) - cut
+            enough = max(ROWS, 2 * rows)
+    if rows:
+        table = pa.Table.from_batches(held)
+        yield table, _first_rows(table)
+
+
+def _first_rows(table: pa.Table) -> np.ndarray:
+    begins = np.zeros(len(table), dtype=bool)
+    begins[0] = True
+    for name in (*KEYS, "_block"):
+        values = table[name].to_numpy()
+        begins[1:] |= values[1:] != values[:-1]
+    return np.maximum.accumulate(np.where(begins, np.arange(len(table)), 0))
+
+
+def _inner(table: pa.Table, first: np.ndarray) -> np.ndarray:
+    """The row of the same block that each row's pointer leads to, or the row itself where it leaves the block."""
+    pos, at = table["pos"].to_numpy(), np.arange(len(table))
+    to = first + pc.fill_null(table["next"], -1).to_numpy() - pos[first]
+    place = np.clip(to, 0, len(table) - 1)
+    stays = (to > at) & (to < len(table)) & (first[place] == first)
+    return np.where(stays, place, at)
+
+
+def _crossings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each line of a block where its pointers leave the block, and after how many examples: by pointer doubling."""
+    for table, first in _whole_blocks(batches):
+        to = _inner(table, first)
+        hops = (to != np.arange(len(to))).astype(np.int64)
+        while not np.array_equal(to, far := to[to]):
+            hops, to = hops + hops[to], far
+        out = table.select([*KEYS, "pos"]).append_column("to", table["next"].take(pa.array(to)))
+        yield from out.append_column("hops", pa.array(hops + 1)).to_batches()
 
 
 def block_entries(pointed: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, max_len, pos, ex): for each block, the line where a document's examples come into it and its number."""
     cut = pointed.withColumn("_block", F.floor(F.col("pos") / block))
-    crossed = cut.groupBy(*KEYS, "_block").applyInPandas(
-        lambda frame: _crossings(frame), "doc_id bigint, max_len int, pos bigint, to bigint, hops bigint"
+    crossed = _in_order(cut.select(*KEYS, "_block", "pos", "next")).mapInArrow(
+        lambda batches: _crossings(batches), "doc_id bigint, max_len int, pos bigint, to bigint, hops bigint"
     )
     # Only lines that a pointer from another block leads to, and a document's first, can be entries.
     come = cut.filter(F.floor(F.col("next") / block) != F.col("_block")).select(*KEYS, F.col("next").alias("pos"))
@@ -109,24 +147,25 @@ def block_entries(pointed: DataFrame, block: int = BLOCK) -> DataFrame:
     return reached
 
 
-def _starts(frame: pd.DataFrame) -> pd.DataFrame:
-    """The examples that begin in a block, from its entry on."""
-    frame = frame.sort_values("pos", ignore_index=True)
-    first, size = int(frame["pos"].iloc[0]), len(frame)
-    step, goal = frame["next"].to_numpy(dtype=float, na_value=np.nan), frame["target"].to_numpy()
-    at, numbers, goals = [], [], []
-    for i in np.flatnonzero(frame["ex"].notna().to_numpy()).tolist():
-        ex = int(frame["ex"].iloc[i])
-        while True:
-            at.append(first + i)
-            numbers.append(ex)
-            goals.append(goal[i])
-            if not step[i] - first < size:
-                break
-            i, ex = int(step[i]) - first, ex + 1
-    return pd.DataFrame({
-        "doc_id": frame["doc_id"].iloc[0], "max_len": frame["max_len"].iloc[0], "pos": at, "ex": numbers, "target": goals,
-    })
+def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The examples that begin in a block, from its entry on; all blocks go ahead together."""
+    for table, first in _whole_blocks(batches):
+        to, numbers = _inner(table, first), pc.fill_null(table["ex"], -1).to_numpy()
+        at = np.flatnonzero(numbers >= 0)
+        ex, rows, found = numbers[at], [], []
+        while len(at):
+            rows.append(at)
+            found.append(ex)
+            on = to[at] != at
+            at, ex = to[at[on]], ex[on] + 1
+        if rows:
+            begun = table.select([*KEYS, "pos", "target"]).take(pa.array(np.concatenate(rows)))
+            yield from begun.add_column(3, "ex", pa.array(np.concatenate(found), pa.int64())).to_batches()
+
+
+def _in_order(cut: DataFrame) -> DataFrame:
+    """The rows of a block side by side, in order: no group is handed over on its own."""
+    return cut.repartition(*KEYS, "_block").sortWithinPartitions(*KEYS, "_block", "pos")
 
 
 def pack_long(
@@ -138,8 +177,9 @@ def pack_long(
     placed = materialize(placed_lines(sized, block), "placed")
     pointed = materialize(pointers(placed, lengths, seed, tokens), "pointers")
     cut = pointed.withColumn("_block", F.floor(F.col("pos") / block))
-    begun = cut.join(block_entries(pointed, block), [*KEYS, "pos"], "left").groupBy(*KEYS, "_block").applyInPandas(
-        lambda frame: _starts(frame), "doc_id bigint, max_len int, pos bigint, ex bigint, target int"
+    entered = cut.join(block_entries(pointed, block), [*KEYS, "pos"], "left").select(*KEYS, "_block", "pos", "next", "target", "ex")
+    begun = _in_order(entered).mapInArrow(
+        lambda batches: _starts(batches), "doc_id bigint, max_len int, pos bigint, ex bigint, target int"
     )
     begun = materialize(begun, "starts")
     # A line belongs to the last example that begins at or before it: one of its block's, or the last of those before.

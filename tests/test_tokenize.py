@@ -228,3 +228,54 @@ def test_decomposition_is_that_of_the_standard(spark):
     row = spark.createDataFrame([("\ud55c\uae00 \u1ed8n [CLS]",)], "t string")
     words = row.select(words_of("t", full=True).alias("w")).first().w
     assert words == ["\u1112\u1161\u11ab\u1100\u1173\u11af", "on", "[CLS]"]
+
+
+def test_plain_texts_are_split_in_batches_as_by_expressions(spark):
+    import random
+
+    import pyarrow as pa
+
+    from textmill.functions.text import is_plain, is_plain_run, runs_of, words_of
+    from textmill.operators.splitting import split, words_in
+
+    draw = random.Random(5)
+    low = [chr(c) for c in [*range(1, 0x250), *range(0x2010, 0x2028)]]
+    texts = ["", "  ", " a", "a  ", "--", "a\u00adb", "[MASK] a"] + [f"a{c}b {c}" for c in low]
+    texts += ["".join(draw.choice(draw.choice(["ab -.Z", " \t\n", low])) for _ in range(draw.randint(0, 40))) for _ in range(2000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = df.select(
+        "i", "t", words_of("t").alias("w"), words_of("t", False).alias("cased"), runs_of("t").alias("r"),
+        is_plain("t").alias("plain"), is_plain_run("t").alias("plain_run"),
+    ).orderBy("i").collect()
+    plain = [r for r in rows if r.plain]
+    assert len(plain) > 1000 and not any(r.plain for r in rows if "\u00ad" in r.t or "[MASK]" in r.t)
+    array, none = pa.array([r.t for r in plain]), pa.nulls(len(plain), pa.list_(pa.string()))
+    assert words_in(array, none).to_pylist() == [r.w for r in plain]
+    assert words_in(array, none, lower=False).to_pylist() == [r.cased for r in plain]
+    spotted = words_in(array, none, blanks=True).to_pylist()
+    assert [[w.lstrip(" ") for w in ws] for ws in spotted] == [r.w for r in plain]
+    runs = [r for r in rows if r.plain_run]
+    flat, count = split(pa.array([r.t for r in runs]), runs=True)
+    assert flat.to_pylist() == [w for r in runs for w in r.r] and count.tolist() == [len(r.r) for r in runs]
+
+
+def test_batches_with_other_texts_keep_their_words():
+    import pyarrow as pa
+
+    from textmill.operators.splitting import counter, words_in
+
+    texts, given = pa.array(["a b", None, "", None]), pa.array([None, ["x", "a"], None, None], pa.list_(pa.string()))
+    assert words_in(texts, given).to_pylist() == [["a", "b"], ["x", "a"], [], None]
+    counts = {}
+    for batch in counter()(iter([pa.RecordBatch.from_arrays([texts, given], ["text", "words"])])):
+        for word, n in zip(*batch.to_pydict().values(), strict=True):
+            counts[word] = counts.get(word, 0) + n
+    assert counts == {"a": 2, "b": 1, "x": 1}
+
+
+def test_to_ids_encodes_counted_words_only(spark, capsys):
+    """A filter inferred for the explosion of pieces would go below the counting and encode every occurrence."""
+    from textmill.plans import registry
+
+    registry.queries()["to_ids"](spark, "/root/testdata/sf0.001").explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1

@@ -296,3 +296,29 @@ def test_blocks_are_crossed_many_at_once_whatever_the_batches():
             assert sorted(listed(L._starts(iter(batches)))) == sorted(begun)
         finally:
             L.ROWS = kept
+
+
+def test_draws_of_whole_lists_are_those_of_single_numbers(spark):
+    from textmill.functions.drawn import least_drawn, uniform_each
+    from textmill.functions.draws import uniform
+
+    draw = random.Random(2)
+    rows = [(f"k{'é' * draw.randint(0, 40)}", d, [draw.choice([0, 9, 10, 127, 5000, 2**31 - 1, -3]) for _ in range(d % 7)]) for d in range(300)]
+    df = spark.createDataFrame([*rows, (None, 1, [3, 4]), ("n", 2, None)], "name string, d bigint, l array<int>")
+    single = F.transform("l", lambda n: uniform(1, "t", "name", "d", n))
+    both = df.select(uniform_each(1, "t", "name", "d", numbers="l").alias("a"), single.alias("b")).collect()
+    assert [r.a for r in both] == [r.b for r in both]
+    ranked = F.sort_array(F.transform("p", lambda n: F.struct(uniform(1, "t", "name", "d", n).alias("k"), n.alias("n"))))
+    least = F.sort_array(F.transform(F.slice(ranked, F.lit(1), F.col("m")), lambda x: x["n"]))
+    df = df.withColumn("p", F.array_distinct(F.filter("l", lambda n: n >= 0))).withColumn("m", F.pmod("d", F.lit(5)).cast("int"))
+    both = df.select(least_drawn(1, "t", "name", "d", numbers="p", n=F.col("m")).alias("a"), least.alias("b")).collect()
+    assert [r.a for r in both] == [r.b for r in both]
+
+
+def test_masking_makes_its_draws_in_batches(spark, capsys):
+    """A draw for each place by an expression of its own took most of the time of masking."""
+    from textmill.plans import registry
+
+    registry.queries()["replace_tokens_never_right"](spark, "/root/testdata/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("ArrowEvalPython") > 1 and "md5" not in plan.split("ArrowEvalPython")[0]

@@ -1,16 +1,17 @@
 """Masking and token replacement on fixed-length examples.
 
-Everything works inside the example row (at most a few hundred tokens), so no step shuffles. An example
-has ``input_ids``/``input_mask``/``segment_ids`` of one length and keys that feed the draws.
+Everything works inside the example row (at most a few hundred tokens), so no step shuffles. Candidates, draws
+and updates of all rows of an Arrow batch are made together. An example has ``input_ids``/``input_mask``/``segment_ids`` of one length and keys that feed the draws.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from textmill.functions.arrays import let
+from textmill.functions.drawn import least_drawn, uniform_each
 from textmill.functions.draws import uniform
 from textmill.operators.packing import filled
+from textmill.operators.scatter import candidates, scattered
 
 MASK_SHARE = 0.15
 MASKED_AS_MASK = 0.85
@@ -29,18 +30,8 @@ def mask_budget(tokens: Column, slots: Column, share: float = MASK_SHARE) -> Col
 
 def mask_candidates(df: DataFrame, ignore: list[Column], disallow: str | None = None) -> DataFrame:
     """Adds ``candidates``: positions of real tokens other than the ignored ids."""
-    fields = [F.col("input_ids").alias("id"), F.col("input_mask").alias("m")]
-    if disallow:
-        fields.append(F.col(disallow).alias("d"))
-    zipped = F.transform(F.arrays_zip(*fields), lambda t, i: F.struct(i.alias("pos"), t.alias("t")))
-
-    def allowed(x: Column) -> Column:
-        ok = x["t"]["m"] == 1
-        for i in ignore:
-            ok = ok & (x["t"]["id"] != i)
-        return ok & ~F.coalesce(x["t"]["d"], F.lit(False)) if disallow else ok
-
-    return df.withColumn("candidates", F.transform(F.filter(zipped, allowed), lambda x: x["pos"]))
+    allowed = F.arrow_udf(lambda *lists: candidates(*lists), "array<int>")
+    return df.withColumn("candidates", allowed("input_ids", "input_mask", F.array(*ignore).cast("array<int>"), *([disallow] if disallow else [])))
 
 
 def sample_positions(
@@ -83,16 +74,16 @@ def sample_positions(
             lambda acc: F.filter(acc["out"], lambda p: p.isNotNull()),
         )
         return df.withColumn("positions", picked).drop("_cum", "_slots")
-    draw = lambda p: uniform(seed, "mask", *keys, p)
     if weights:
+        draw = lambda p: uniform(seed, "mask", *keys, p)
         # A weight of zero is never drawn. A draw of zero comes last, as its logarithm would put it.
         chance = lambda p: F.element_at(F.col(weights), p + 1)
         key = lambda p: F.coalesce(-F.log(draw(p)) / chance(p), F.lit(float("inf")))
+        possible = F.filter("candidates", lambda p: chance(p) > 0)
+        drawn = F.sort_array(F.transform(possible, lambda p: F.struct(key(p).alias("k"), p.alias("p"))))
+        chosen = F.sort_array(F.transform(F.slice(drawn, F.lit(1), F.col("budget")), lambda x: x["p"]))
     else:
-        key = draw
-    possible = F.filter("candidates", lambda p: chance(p) > 0) if weights else F.col("candidates")
-    drawn = F.sort_array(F.transform(possible, lambda p: F.struct(key(p).alias("k"), p.alias("p"))))
-    chosen = F.sort_array(F.transform(F.slice(drawn, F.lit(1), F.col("budget")), lambda x: x["p"]))
+        chosen = least_drawn(seed, "mask", *keys, numbers="candidates", n=F.col("budget"))
     if already:
         chosen = F.array_except(chosen, F.col(already))
     return df.withColumn("positions", chosen)
@@ -106,36 +97,22 @@ def gather_positions(sequence: str, positions: str) -> Column:
 def scatter_update(df: DataFrame, sequence: str, positions: str, updates: str, out: str, changed: str) -> DataFrame:
     """Replaces values at positions. Position 0 is ignored; updates that share a position are averaged
     (floor for ints). ``changed`` marks updated positions."""
-    pairs = F.filter(
-        F.arrays_zip(F.col(positions).alias("p"), F.col(updates).alias("u")), lambda x: x["p"] > 0
-    )
-    values = lambda i: F.transform(F.filter("_pairs", lambda x: x["p"] == i), lambda x: x["u"])
-    sums = F.transform(
-        F.array_distinct(F.transform("_pairs", lambda x: x["p"])),
-        lambda p: F.struct(p.alias("key"), F.struct(
-            F.aggregate(values(p), F.lit(0).cast("bigint"), lambda a, u: a + u).alias("s"), F.size(values(p)).alias("n")
-        ).alias("value")),
-    )
-    df = df.withColumn("_pairs", pairs).withColumn("_hit", F.map_from_entries(sums))
-    # At most one entry for each position, so a look-up is short.
-    # Named once around the lambda: inside it, the optimizer would put the making of the map.
-    hits = let(F.col("_hit"), lambda hit: F.transform(sequence, lambda _, i: F.element_at(hit, i)))
-    mean = lambda h: F.floor(h["s"] / h["n"]).cast("int")
+    kind = df.schema[sequence].dataType.simpleString()
+    put = F.arrow_udf(lambda *lists: scattered(*lists), f"struct<updated:{kind},changed:array<int>>")
     return (
-        df.withColumn("_hits", hits)
-        .withColumn(out, F.zip_with(sequence, "_hits", lambda x, h: F.when(h.isNull(), x).otherwise(mean(h))))
-        .withColumn(changed, F.transform("_hits", lambda h: F.when(h.isNull(), 0).otherwise(1)))
-        .drop("_pairs", "_hit", "_hits")
+        df.withColumn("_put", put(sequence, positions, updates))
+        .withColumn(out, F.col("_put.updated")).withColumn(changed, F.col("_put.changed")).drop("_put")
     )
 
 
 def apply_mask(df: DataFrame, mask_id: Column, seed: int = 0, keys: list[str] | None = None) -> DataFrame:
     """Adds ``masked_lm_ids`` (originals) and ``masked_ids`` (most positions replaced by the mask id)."""
     keys = keys or KEYS
-    hidden = F.filter("positions", lambda p: uniform(seed, "hide", *keys, p) < MASKED_AS_MASK)
-    df = df.withColumn("masked_lm_ids", gather_positions("input_ids", "positions")).withColumn("_hidden", hidden)
+    df = df.withColumn("_u", uniform_each(seed, "hide", *keys, numbers="positions"))
+    drawn = F.filter(F.arrays_zip(F.col("positions").alias("p"), F.col("_u").alias("u")), lambda x: x["u"] < MASKED_AS_MASK)
+    df = df.withColumn("masked_lm_ids", gather_positions("input_ids", "positions")).withColumn("_hidden", F.transform(drawn, lambda x: x["p"]))
     df = df.withColumn("_masks", F.array_repeat(mask_id, F.size("_hidden")))
-    return scatter_update(df, "input_ids", "_hidden", "_masks", "masked_ids", "hidden_mask").drop("_hidden", "_masks")
+    return scatter_update(df, "input_ids", "_hidden", "_masks", "masked_ids", "hidden_mask").drop("_u", "_hidden", "_masks")
 
 
 def masked_slots(df: DataFrame, share: float = MASK_SHARE) -> DataFrame:
@@ -165,10 +142,11 @@ def replace_tokens(
     ``never_right`` draws among the other ids. A slot that drew its own id is not fake.
     """
     keys = keys or KEYS
-    pairs = F.arrays_zip(F.col("positions").alias("p"), F.col("masked_lm_ids").alias("o"))
+    df = df.withColumn("_u", uniform_each(seed, "fake", *keys, numbers="positions"))
+    pairs = F.arrays_zip(F.col("_u").alias("u"), F.col("masked_lm_ids").alias("o"))
 
     def drawn(x: Column) -> Column:
-        u = uniform(seed, "fake", *keys, x["p"])
+        u = x["u"]
         if not never_right:
             return F.floor(u * vocab_size).cast("int")
         other = F.floor(u * (vocab_size - 1)).cast("int")
@@ -180,7 +158,7 @@ def replace_tokens(
         F.arrays_zip(F.col("corrupted_ids").alias("c"), F.col("input_ids").alias("i"), F.col("replaced_mask").alias("m")),
         lambda x: F.when((x["m"] == 1) & (x["c"] != x["i"]), 1).otherwise(0),
     )
-    return df.withColumn("is_fake", fake).drop("replaced_mask")
+    return df.withColumn("is_fake", fake).drop("_u", "replaced_mask")
 
 
 def sample_from_logits(

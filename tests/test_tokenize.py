@@ -1,12 +1,13 @@
 import random
 import unicodedata
 
+import pyarrow as pa
 from conftest import make_vocab
 from pyspark.sql import functions as F
 
 from textmill.functions.decompose import decompose
 from textmill.functions.text import words_of
-from textmill.operators import merges as M, tokenize as T, vocabulary as V
+from textmill.operators import merges as M, splitting, tokenize as T, vocabulary as V
 
 
 def words(spark, text, **options):
@@ -279,3 +280,28 @@ def test_to_ids_encodes_counted_words_only(spark, capsys):
 
     registry.queries()["to_ids"](spark, "/root/testdata/sf0.001").explain()
     assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
+def test_counts_of_many_slices_are_summed():
+    texts = pa.array(["one two", "two three"] * (splitting.SLICE // 8))
+    batch = pa.RecordBatch.from_arrays([texts, pa.nulls(len(texts), pa.list_(pa.string()))], ["text", "words"])
+    (made,) = splitting.counter()(iter([batch]))
+    n = len(texts) // 2
+    assert dict(zip(made.column("word").to_pylist(), made.column("n").to_pylist(), strict=True)) == {"one": n, "two": 2 * n, "three": n}
+
+
+def test_pieces_of_a_batch_are_summed():
+    batch = pa.RecordBatch.from_arrays([pa.array(["abc", "abd", "x", "\u00e9bc"]), pa.array([1, 2, 4, 8])], ["word", "n"])
+    got = [r for b in splitting.piece_counter(100)(iter([batch])) for r in b.to_pylist()]
+    want = {"ab": 3, "\u00e9b": 8, "##bc": 9, "##bd": 2, "abc": 1, "abd": 2, "\u00e9bc": 8}
+    assert {r["token"]: r["n"] for r in got} == want and len(got) == len(want)
+    letters = {r["token"]: r["n"] for b in splitting.letter_counter(iter([batch])) for r in b.to_pylist()}
+    assert letters == {"a": 3, "\u00e9": 8, "x": 4, "##b": 11, "##c": 9, "##d": 2}
+
+
+def test_decode_stays_in_the_row(spark):
+    vocab = make_vocab(spark, ["do", "##n"])
+    df = spark.createDataFrame([(1, [5, 6, 99, None]), (1, [1, 2]), (2, []), (3, None)], "k int, ids array<int>")
+    made = T.decode(df, ["k"], "ids", vocab)
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.k, r.text) for r in made.collect()) == [(1, ""), (1, "don"), (2, ""), (3, "")]

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.functions.draws import uniform
@@ -11,10 +14,11 @@ from textmill.functions.prefix import hashed_rank, running_total
 from textmill.functions.text import words_of
 from textmill.operators.encode import stride_windows
 from textmill.operators.packing import filled
-from textmill.operators.pieces import MARK
-from textmill.operators.tokenize import Codebook, codebook, with_offsets
+from textmill.operators.pieces import MARK, bounds
+from textmill.operators.tokenize import Codebook, codebook, with_spans_of_tokens
 
 IGNORED = -100
+MOST = (1 << 31) - 1
 BAR = "\u00a6"  # neither punctuation nor a letter, and as common a character as splitting knows
 
 
@@ -46,63 +50,76 @@ def align_labels(
 
 
 def offsets_by_row(df: DataFrame, keys: list[str], text: str, vocab: DataFrame | Codebook) -> DataFrame:
-    """(keys, pieces): the token spans of a text as one ordered array of (id, s, e)."""
-    return with_offsets(df, text, "_tokens", vocab).select(*keys, F.transform(
-        "_tokens", lambda t: F.struct(t["id"].alias("id"), t["s"].alias("s"), t["e"].alias("e"))
-    ).alias("pieces"))
+    """(keys, pieces): the token spans of a text in order, as a struct of three arrays side by side: ids, s and e."""
+    return with_spans_of_tokens(df, text, "pieces", vocab).select(*keys, "pieces")
 
 
 def qa_windows(
     examples: DataFrame, questions: DataFrame, contexts: DataFrame, cls: Column, sep: Column, max_len: int = 384,
     stride: int = 128, pad_id: int = 0,
 ) -> DataFrame:
-    """(id, window, input_ids, offsets, c_first): question and context windows with character offsets.
+    """(id, window, input_ids, offsets, c_first, c_count): question and context windows with character offsets.
 
     ``examples``: (id, question_id, context_id, …); ``questions``: (question_id, ids);
-    ``contexts``: (context_id, pieces). ``offsets`` is null outside the context; ``c_first`` is the index
-    of the first context token.
+    ``contexts``: (context_id, pieces) of :func:`offsets_by_row`. ``offsets`` is null outside the context; ``c_first``
+    is the index of the first context token, ``c_count`` how many there are.
     """
     joined = (
         examples.join(questions.withColumnRenamed("ids", "q_ids"), "question_id", "left")
         .join(contexts.withColumnRenamed("pieces", "c_pieces"), "context_id", "left")
     )
     # A blank text has no pieces and no row among its kind.
-    joined = joined.withColumns({
-        "q_ids": F.coalesce("q_ids", F.array().cast(joined.schema["q_ids"].dataType)),
-        "c_pieces": F.coalesce("c_pieces", F.array().cast(joined.schema["c_pieces"].dataType)),
-    })
-    windows = stride_windows(joined, examples.columns, "q_ids", "c_pieces", max_len, stride)
-    body = F.concat(
-        F.array(cls), F.col("q"), F.array(sep), F.transform("c", lambda p: p["id"]), F.array(sep)
+    none = F.array().cast("array<int>")
+    joined = joined.withColumn("q_ids", F.coalesce("q_ids", F.array().cast(joined.schema["q_ids"].dataType))).withColumns(
+        {name: F.coalesce(f"c_pieces.{name}", none) for name in ("ids", "s", "e")}
     )
+    windows = stride_windows(joined, examples.columns, "q_ids", ["ids", "s", "e"], max_len, stride)
+    body = F.concat(F.array(cls), F.col("q"), F.array(sep), F.col("ids"), F.array(sep))
     span = "struct<s:int,e:int>"
     nothing = lambda n: F.array_repeat(F.lit(None).cast(span), n.cast("int"))
     before = F.size("q") + 2
-    after = F.lit(max_len) - before - F.size("c")
-    shown = F.transform("c", lambda p: F.struct(p["s"].alias("s"), p["e"].alias("e")))
+    after = F.lit(max_len) - before - F.size("ids")
     return windows.select(
         *examples.columns, "window",
         F.concat(body, filled(pad_id, F.lit(max_len) - F.size(body))).alias("input_ids"),
-        F.concat(nothing(before), shown, nothing(after)).alias("offsets"),
-        before.cast("int").alias("c_first"),
+        F.concat(nothing(before), F.arrays_zip("s", "e"), nothing(after)).alias("offsets"),
+        before.cast("int").alias("c_first"), F.size("ids").alias("c_count"),
     )
 
 
+def _answer_places(offsets: pa.Array, begin: pa.Array, end: pa.Array) -> pa.Array:
+    """The last context token of each row that begins at ``begin`` or before, and the first that ends at ``end`` or
+    behind; null without them."""
+    flat, first = offsets.flatten(), bounds(offsets)
+    row = np.repeat(np.arange(len(offsets)), np.diff(first))
+    place = np.arange(len(row)) - first[row]
+    s, e = pc.struct_field(flat, "s"), pc.struct_field(flat, "e")
+    inner = np.flatnonzero(s.is_valid().to_numpy(zero_copy_only=False))
+    row, place, s, e = row[inner], place[inner], s.take(pa.array(inner)), e.take(pa.array(inner))
+    found = []
+    for hit, last in (
+        (pc.less_equal(s.cast(pa.int64()), begin.take(pa.array(row))), True),
+        (pc.greater_equal(e.cast(pa.int64()), end.take(pa.array(row))), False),
+    ):
+        hits = np.flatnonzero(pc.fill_null(hit, False).to_numpy(zero_copy_only=False))
+        made = np.full(len(offsets), -1 if last else MOST, dtype=np.int64)
+        (np.maximum if last else np.minimum).at(made, row[hits], place[hits])
+        found.append(pa.array(made, pa.int32(), mask=(made < 0) | (made == MOST)))
+    return pa.StructArray.from_arrays(found, ["s", "e"])
+
+
 def qa_train_features(windows: DataFrame, answer_start: str, answer_text: str) -> DataFrame:
     """Adds ``start_position``/``end_position``: token indexes of the answer, 0 (the [CLS] index) when there
     is no answer or it does not lie inside the window. Only context tokens are searched."""
-    spans = F.transform("offsets", lambda o, i: F.struct(i.alias("i"), o["s"].alias("s"), o["e"].alias("e")))
-    begin, end = F.col(answer_start), F.col(answer_start) + F.length(answer_text)
-    df = windows.withColumn("_c", F.filter(spans, lambda x: x["s"].isNotNull()))
-    df = df.withColumns({
-        "_s": F.array_max(F.transform(F.filter("_c", lambda x: x["s"] <= begin), lambda x: x["i"])),
-        "_e": F.array_min(F.transform(F.filter("_c", lambda x: x["e"] >= end), lambda x: x["i"])),
-    })
-    inside = begin.isNotNull() & F.col("_s").isNotNull() & F.col("_e").isNotNull()
+    begin = F.col(answer_start).cast("bigint")
+    end = begin + F.length(answer_text)
+    body = lambda offsets, begin, end: _answer_places(offsets, begin, end)
+    df = windows.withColumn("_at", F.arrow_udf(body, "struct<s:int,e:int>")(F.col("offsets"), begin, end))
+    inside = begin.isNotNull() & F.col("_at.s").isNotNull() & F.col("_at.e").isNotNull()
     return df.withColumns({
-        "start_position": F.when(inside, F.col("_s")).otherwise(0).cast("int"),
-        "end_position": F.when(inside, F.col("_e")).otherwise(0).cast("int"),
-    }).drop("_c", "_s", "_e")
+        "start_position": F.when(inside, F.col("_at.s")).otherwise(0).cast("int"),
+        "end_position": F.when(inside, F.col("_at.e")).otherwise(0).cast("int"),
+    }).drop("_at")
 
 
 def qa_eval_features(windows: DataFrame) -> DataFrame:

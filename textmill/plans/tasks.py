@@ -135,9 +135,8 @@ def qa_windows(w):
          '1 ' || {text_of('q')} || ' 2 ' || {text_of("list_transform(c, lambda p: p.id)")} || ' 2'
          || repeat(' 0', (384 - len(q) - len(c) - 3)::BIGINT) AS input_ids FROM qa_window"""))
 def _(w):
-    n_context = F.size(F.filter("offsets", lambda o: o.isNotNull()))
     step = F.lit(384 - 3 - 128) - (F.col("c_first") - 2)
-    return qa_windows(w).select("id", "window", (F.col("window") * step).alias("start"), n_context.alias("n_context"), "input_ids")
+    return qa_windows(w).select("id", "window", (F.col("window") * step).alias("start"), F.col("c_count").alias("n_context"), "input_ids")
 
 
 @S("qa_train_features", query("""

@@ -105,3 +105,20 @@ def test_auc_counts_ties_half(spark):
     pos, neg = [s for s, y in rows if y], [s for s, y in rows if not y]
     want = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
     assert value(M.roc_auc(spark.createDataFrame(rows, "s double, y int"), "s", "y")) == pytest.approx(want)
+
+
+def test_entities_of_sentence_rows_are_not_shuffled(spark):
+    rows = [(1, "O B-A I-A I-B B-B", "O B-A I-A -100 B-B"), (2, "I-A I-A O", "B-A I-A O"), (3, "", ""), (4, "O B-A", "B-C B-A")]
+    rows = [(k, p.split(), r.split()) for k, p, r in rows] + [(5, [None, "I-A"], ["B-A", None])]
+    lists = spark.createDataFrame([(k, [10 * i for i in range(len(p))], p, r) for k, p, r in rows],
+                                  "sent int, pos array<int>, p array<string>, r array<string>")
+    flat = spark.createDataFrame([(k, 10 * i, a, b) for k, p, r in rows for i, (a, b) in enumerate(zip(p, r))],
+                                 "sent int, pos int, p string, r string")
+    made = M.entity_spans(lists, ["sent"], "pos", "p")
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    want = {(1, "A", 10, 20), (1, "B", 30, 30), (1, "B", 40, 40), (2, "A", 0, 10), (4, "A", 10, 10), (5, "A", 10, 10)}
+    for df in (lists, flat):
+        assert {tuple(r) for r in M.entity_spans(df, ["sent"], "pos", "p").collect()} == want
+        row = M.entity_scores(df, ["sent"], "pos", "p", "r").first()
+        assert row.precision == pytest.approx(4 / 4) and row.recall == pytest.approx(4 / 6)
+        assert row.accuracy == pytest.approx(7 / 10)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from textmill.functions.drawn import uniform_each
 from textmill.functions.draws import uniform
 from textmill.operators import corrupt as C, metrics as M
-from textmill.operators.tokenize import pretokenize
+from textmill.operators.tokenize import split_rows
 from textmill.plans.report import shown
 from textmill.plans.sqlparts import PART, draw, query
 from textmill.plans.tasks import qa_examples
@@ -137,10 +138,14 @@ def _(w):
     return M.spearman(scored(w), "x", "ref", pvalue=True)
 
 
-def _tag(column, tag):
-    u, v = uniform(0, tag, "doc_id", "line_no", "pos"), uniform(0, tag + "2", "doc_id", "line_no", "pos")
-    kind = F.when(v < 0.5, "PER").otherwise("LOC")
-    return F.when(u < 0.5, "O").when(u < 0.75, F.concat(F.lit("B-"), kind)).otherwise(F.concat(F.lit("I-"), kind)).alias(column)
+def _tags(column, tag):
+    draw = lambda name: uniform_each(0, name, "doc_id", "line_no", numbers="pos")
+
+    def one(u, v):
+        kind = F.when(v < 0.5, "PER").otherwise("LOC")
+        return F.when(u < 0.5, "O").when(u < 0.75, F.concat(F.lit("B-"), kind)).otherwise(F.concat(F.lit("I-"), kind))
+
+    return F.zip_with(draw(tag), draw(tag + "2"), one).alias(column)
 
 
 def _tag_sql(tag: str) -> str:
@@ -168,10 +173,15 @@ PART["ref_span"] = _spans_sql("ref")
 
 
 def tags(w):
-    occ = pretokenize(w.lines, ["doc_id", "line_no"], "line").filter(F.col("word").isNotNull())
-    drawn = occ.select("doc_id", "line_no", "pos", _tag("ref", "ref"), _tag("other", "other"))
-    same = uniform(0, "same", "doc_id", "line_no", "pos") < 0.7
-    return drawn.withColumn("pred", F.when(same, F.col("ref")).otherwise(F.col("other")))
+    """A row for each line, with its tags as arrays: nothing is exploded, shuffled or gathered again."""
+    size = F.size("words")
+    pos = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+    occ = split_rows(w.lines, ["doc_id", "line_no"], "line").select("doc_id", "line_no", pos.alias("pos"))
+    same = uniform_each(0, "same", "doc_id", "line_no", numbers="pos")
+    drawn = occ.select("doc_id", "line_no", "pos", _tags("ref", "ref"), _tags("other", "other"), same.alias("same"))
+    # Side by side, as a list that a lambda looks into would be folded into it and made for each element.
+    pred = F.transform(F.arrays_zip("ref", "other", "same"), lambda x: F.when(x["same"] < 0.7, x["ref"]).otherwise(x["other"]))
+    return drawn.select("doc_id", "line_no", "pos", "ref", pred.alias("pred"))
 
 
 @S("entity_spans", query("SELECT doc_id, line_no, type, s, e FROM ref_span"))

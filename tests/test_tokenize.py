@@ -1,6 +1,7 @@
 import random
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 from conftest import make_vocab
 from pyspark.sql import functions as F
@@ -187,6 +188,44 @@ def test_merges_equal_the_sequential_algorithm(spark, monkeypatch):
     assert got == merges_by_hand(counts, 25)
 
 
+def test_the_state_of_merges_is_two_bytes_a_symbol_and_a_count_a_word():
+    words, n = ["abab", "b", "", "ba\U0001F600"], [3, 2, 1, 5]
+    names = [M.END, *sorted({("##" if i else "") + c for w in words for i, c in enumerate(w)})]
+    made = list(M._pack(names)(iter([pa.RecordBatch.from_arrays([pa.array(words), pa.array(n, pa.int64())], ["word", "n"])])))
+    symbols, counts = (np.frombuffer(made[0].column(i)[0].as_py(), kind) for i, kind in enumerate(["<u2", "<i8"]))
+    assert [names[s] for s in symbols] == ["a", "##b", "##a", "##b", "", "b", "", "", "b", "##a", "##\U0001F600", ""]
+    assert counts.tolist() == n
+    number = {name: i for i, name in enumerate(names)}
+    for token, kind in ((len(names), "uint16"), (70_000, "uint32")):  # numbers too large for two bytes get four
+        packed, changes = M.merge((symbols, counts), [(number["##a"], number["##b"], token)])
+        assert packed[0].dtype == kind and packed[0].tolist()[:4] == [number["a"], number["##b"], token, 0]
+        expected = {("##a", "##b"): -3, ("##b", "##a"): -3, ("##b", token): 3}
+        assert dict(zip(*(c.tolist() for c in changes))) == {number[a] << 32 | number.get(b, b): c for (a, b), c in expected.items()}
+    packed, changes = M.merge((symbols, counts), [(number["##b"], number["##b"], 99)])
+    assert packed[0] is symbols and len(changes[0]) == 0
+
+
+def test_rounds_of_merges_run_a_task_for_each_core(spark):
+    counts = {w: 3 + i for i, w in enumerate(["abab", "cdcd", "efef", "xyz", "xyxy"])}
+    df = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+    usual = {"spark.sql.shuffle.partitions": "70", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in usual}
+    context = spark.sparkContext
+    try:
+        for key, value in usual.items():
+            spark.conf.set(key, value)
+        context.setJobGroup("merges", "merges")
+        got = M.learn_merges(df, V.alphabet(df).coalesce(1), merges=6)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == merges_by_hand(counts, 6)
+    jobs = sorted(context.statusTracker().getJobIdsForGroup("merges"))
+    stages = context.statusTracker().getJobInfo(jobs[-1]).stageIds
+    assert max(context.statusTracker().getStageInfo(s).numTasks for s in stages) == context.defaultParallelism
+
+
 def test_a_round_takes_several_merges_and_size_counts_tokens(spark):
     counts = {w: 3 + i for i, w in enumerate(["abab", "cdcd", "efef", "xyz", "xyxy"])}
     front = M.Frontier(sorted({("##" if i else "") + c for w in counts for i, c in enumerate(w)}))

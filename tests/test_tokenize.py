@@ -1,3 +1,4 @@
+import pickle
 import random
 import unicodedata
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.decompose import decompose
 from textmill.functions.text import words_of
-from textmill.operators import merges as M, splitting, tokenize as T, vocabulary as V
+from textmill.operators import merges as M, pieces as P, splitting, tokenize as T, vocabulary as V
 
 
 def words(spark, text, **options):
@@ -188,6 +189,46 @@ def test_merges_equal_the_sequential_algorithm(spark, monkeypatch):
     assert got == merges_by_hand(counts, 25)
 
 
+def test_words_are_matched_side_by_side_as_one_by_one(monkeypatch):
+    """Against a greedy loop, by the table and by searched edges; nothing is kept of the words."""
+    rng = random.Random(20)
+
+    def by_hand(word, heads, tails, whole, most):
+        if not word or word in whole:
+            return [(whole.get(word, 7), 0, len(word or ""))]
+        out, at = [], 0
+        while at < len(word) <= most:
+            ends = [e for e in range(len(word), at, -1) if word[at:e] in (tails if at else heads)]
+            if not ends:
+                break
+            out.append(((tails if at else heads)[word[at : ends[0]]], at, ends[0] - at))
+            at = ends[0]
+        return out if at == len(word) else [(7, 0, len(word))]
+
+    for dense in (P.DENSE, 0):
+        monkeypatch.setattr(P, "DENSE", dense)
+        for letters in ("ab", "abc#", "ab\u00e9\u4e2d\U0001F600"):
+            draw = lambda most: "".join(rng.choice(letters) for _ in range(rng.randrange(1, most)))
+            heads, tails = ({draw(5): base + i for i in range(25)} for base in (100, 200))
+            whole = {"[UNK]": 7, draw(4): 8}
+            given = [None, "", "[UNK]", *whole, *letters, "zz", *(draw(n) for n in (3, 9, 40) for _ in range(60))]
+            matcher = P.Matcher(heads, tails, whole, 7, "[UNK]", 30)
+            size = len(pickle.dumps(matcher))
+            coded = P.Coded(matcher, pa.array(["x", *given])[1:])
+            got = iter(zip(coded.ids.tolist(), coded.f.tolist(), coded.size.tolist(), strict=True))
+            assert [[next(got) for _ in range(n)] for n in coded.n] == [by_hand(w, heads, tails, whole, 30) for w in given]
+            assert len(pickle.dumps(matcher)) == size and vars(matcher).keys() <= {*"given heads tails whole unk unk_name max_chars key trie".split()}
+    none = P.Matcher({}, {}, {}, 7, "[UNK]", 30)
+    assert P.Coded(none, pa.array(["ab", None])).ids.tolist() == [7, 7]
+    assert len(P.Coded(none, pa.array([], pa.string())).ids) == 0
+
+
+def test_characters_of_slices_come_from_the_buffer():
+    texts = pa.array(["ab", "", "\u00e9\U0001F600", "c"])
+    for part, wanted in ((texts, "ab\u00e9\U0001F600c"), (texts[1:3], "\u00e9\U0001F600"), (texts[:2], "ab"), (texts[4:], "")):
+        assert splitting.characters(part).tolist() == list(map(ord, wanted))
+
+
 def test_the_state_of_merges_is_two_bytes_a_symbol_and_a_count_a_word():
     words, n = ["abab", "b", "", "ba\U0001F600"], [3, 2, 1, 5]
     names = [M.END, *sorted({("##" if i else "") + c for w in words for i, c in enumerate(w)})]

@@ -8,7 +8,7 @@ from conftest import make_vocab
 from pyspark.sql import functions as F
 
 from textmill.functions.decompose import decompose
-from textmill.functions.text import words_of
+from textmill.functions.text import is_plain, is_plain_run, words_of
 from textmill.operators import merges as M, pieces as P, splitting, tokenize as T, vocabulary as V
 
 
@@ -229,6 +229,18 @@ def test_characters_of_slices_come_from_the_buffer():
         assert splitting.characters(part).tolist() == list(map(ord, wanted))
 
 
+def test_plain_texts_have_no_null_beside_them(spark):
+    """A list of nulls is gone through again at each row of an Arrow batch. What is plain is told for every character."""
+    texts = [("ab c",), ("",), ("\u4e2d",), ("x [MASK]",), (None,)]
+    rows = spark.createDataFrame(texts, "t string").select(*T.plain_or_words(F.col("t"))).collect()
+    assert [tuple(r) for r in rows] == [("ab c", []), ("", []), (None, ["\u4e2d"]), (None, ["x", "[MASK]"]), (None, None)]
+    df = spark.createDataFrame([(c, f"a{chr(c)}b\n") for c in range(0x11000) if not 0xD800 <= c < 0xE000], "c int, t string")
+    got = {(r.c, r.plain, r.run) for r in df.select("c", is_plain("t").alias("plain"), is_plain_run("t").alias("run")).collect()}
+    far = {0x130, *range(0x300, 0x2010), *range(0x2028, 0x11000)}
+    dropped = {*range(0x20), *range(0x7F, 0xA0), 0xAD} - {9, 10, 13}
+    assert got == {(c, c not in far | dropped, c not in far) for c in range(0x11000) if not 0xD800 <= c < 0xE000}
+
+
 def test_the_state_of_merges_is_two_bytes_a_symbol_and_a_count_a_word():
     words, n = ["abab", "b", "", "ba\U0001F600"], [3, 2, 1, 5]
     names = [M.END, *sorted({("##" if i else "") + c for w in words for i, c in enumerate(w)})]

@@ -397,3 +397,20 @@ def test_decode_stays_in_the_row(spark):
     made = T.decode(df, ["k"], "ids", vocab)
     assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.k, r.text) for r in made.collect()) == [(1, ""), (1, "don"), (2, ""), (3, "")]
+
+
+def test_characters_are_asked_of_texts_without_moving_their_tokens(spark):
+    """Right behind token_offsets no token leaves its text but those asked for; the answers are those of the range join."""
+    vocab = make_vocab(spark, ["a", "##a", "x", "##z", "cafe", "ok", "."])
+    texts = spark.createDataFrame([*enumerate(ODD), (100, "a a"), (100, "ok a"), (101, None), (102, ""), (None, "a")], "k int, text string")
+    asked = [(k, at, n) for k in [*range(len(ODD)), 100, 101, 102, 500] for n, at in enumerate([-1, *range(12), 201, 10**12])]
+    chars = spark.createDataFrame([*asked, (0, 0, 99), (0, None, 98), (None, 0, 97)], "k int, at bigint, n int")
+    offsets = T.token_offsets(texts, ["k"], "text", vocab)
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    got = T.char_to_token(offsets, chars, ["k"], "at")
+    other = T.char_to_token(offsets.select("*"), chars, ["k"], "at")
+    assert got.columns == other.columns and rows(got) == rows(other) and got.filter("token is not null").count() > 30
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bucket" in plan(other) and "_bucket" not in plan(got)
+    narrow = chars.withColumn("at", F.col("at").cast("double") + 0.5)  # places that are no whole numbers
+    assert rows(T.char_to_token(offsets, narrow, ["k"], "at")) == rows(T.char_to_token(offsets.select("*"), narrow, ["k"], "at"))

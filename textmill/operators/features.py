@@ -10,8 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.functions.draws import uniform
+from textmill.functions.origin import origin, with_origin
 from textmill.functions.prefix import hashed_rank, running_total
 from textmill.functions.text import words_of
+from textmill.operators.answerspans import best_pairs, pack, ranked
 from textmill.operators.encode import stride_windows
 from textmill.operators.packing import filled
 from textmill.operators.pieces import MARK, bounds
@@ -51,7 +53,8 @@ def align_labels(
 
 def offsets_by_row(df: DataFrame, keys: list[str], text: str, vocab: DataFrame | Codebook) -> DataFrame:
     """(keys, pieces): the token spans of a text in order, as a struct of three arrays side by side: ids, s and e."""
-    return with_spans_of_tokens(df, text, "pieces", vocab).select(*keys, "pieces")
+    book = codebook(vocab)
+    return with_origin(with_spans_of_tokens(df, text, "pieces", book).select(*keys, "pieces"), df, keys, text, book)
 
 
 def qa_windows(
@@ -62,12 +65,16 @@ def qa_windows(
 
     ``examples``: (id, question_id, context_id, …); ``questions``: (question_id, ids);
     ``contexts``: (context_id, pieces) of :func:`offsets_by_row`. ``offsets`` is null outside the context; ``c_first``
-    is the index of the first context token, ``c_count`` how many there are.
+    is the index of the first context token, ``c_count`` how many there are. Where ``contexts`` come right from
+    :func:`offsets_by_row`, texts are joined and their spans worked out behind, since texts take less to move.
     """
-    joined = (
-        examples.join(questions.withColumnRenamed("ids", "q_ids"), "question_id", "left")
-        .join(contexts.withColumnRenamed("pieces", "c_pieces"), "context_id", "left")
-    )
+    joined = examples.join(questions.withColumnRenamed("ids", "q_ids"), "question_id", "left")
+    made = origin(contexts)
+    if made and made.keys == ["context_id"]:
+        joined = joined.join(made.texts.select("context_id", F.col(made.text).alias("_context")), "context_id", "left")
+        joined = with_spans_of_tokens(joined, "_context", "c_pieces", made.book).drop("_context")
+    else:
+        joined = joined.join(contexts.withColumnRenamed("pieces", "c_pieces"), "context_id", "left")
     # A blank text has no pieces and no row among its kind.
     none = F.array().cast("array<int>")
     joined = joined.withColumn("q_ids", F.coalesce("q_ids", F.array().cast(joined.schema["q_ids"].dataType))).withColumns(
@@ -133,35 +140,19 @@ def qa_best_spans(
 ) -> DataFrame:
     """(id, prediction, score): the best-scoring text span over all windows of an example.
 
-    ``features``: (id, window, offsets); ``logits``: (id, window, start_logits, end_logits);
-    ``contexts``: (id, context). Per window the ``n_best`` starts meet the ``n_best`` ends inside the row,
-    so at most n_best squared candidates exist at a time and only one leaves the window.
-    Ties: earlier window, start, end.
+    ``features``: (id, window, offsets), the offsets as they are or by :func:`pack`; ``logits``: (id, window,
+    start_logits, end_logits); ``contexts``: (id, context). Per window the ``n_best`` starts meet the ``n_best`` ends
+    inside the row, in Arrow batches (``operators/answerspans.py``), so at most n_best squared candidates a window exist
+    at a time and only one leaves it. Ties: earlier window, start, end.
     """
-    def best(column: str) -> Column:
-        ranked = F.sort_array(F.transform(column, lambda v, i: F.struct((-v).alias("neg"), i.alias("i"))))
-        return F.slice(ranked, 1, n_best)
-
-    # Ranked before the join: a projection right under the pairing would be folded into its lambda.
-    ranked = logits.select(
-        "id", "window", best("start_logits").alias("_starts"), best("end_logits").alias("_ends"),
-        (F.element_at("start_logits", 1) + F.element_at("end_logits", 1)).alias("_null"),
+    # Only what is needed of either side goes to the join: the spans as bytes, and the best places of the logits.
+    spans = features.select("id", "window", F.col("offsets") if dict(features.dtypes)["offsets"] == "binary" else pack("offsets").alias("offsets"))
+    best = logits.select("id", "window", ranked("start_logits", n_best).alias("_starts"), ranked("end_logits", n_best).alias("_ends"))
+    paired = best_pairs(spans.join(best, ["id", "window"]), "offsets", "_starts", "_ends", max_answer, "_top")
+    top = F.struct("_top.score", (-F.col("window")).alias("w"), "_top.a", "_top.b", "_top.s", "_top.e")
+    per_window = paired.select(
+        "id", (F.col("_starts.first") + F.col("_ends.first")).alias("_null"), F.when(F.col("_top").isNotNull(), top).alias("top")
     )
-    joined = features.join(ranked, ["id", "window"])
-    place = lambda x: F.get(F.col("offsets"), x["i"])
-    pairs = F.flatten(F.transform(
-        F.filter(F.transform("_starts", lambda x: F.struct(x["neg"].alias("neg"), x["i"].alias("i"), place(x)["s"].alias("c"))),
-                 lambda x: x["c"].isNotNull()),
-        lambda s: F.transform(
-            F.filter(F.filter("_ends", lambda e: (e["i"] >= s["i"]) & (e["i"] - s["i"] < max_answer)),
-                     lambda e: place(e).isNotNull()),
-            lambda e: F.struct(
-                (-(s["neg"] + e["neg"])).alias("score"), (-F.col("window")).alias("w"), (-s["i"]).alias("a"),
-                (-e["i"]).alias("b"), s["c"].alias("s"), place(e)["e"].alias("e"),
-            ),
-        ),
-    ))
-    per_window = joined.select("id", "_null", F.array_max(pairs).alias("top"))
     per_example = per_window.groupBy("id").agg(F.max("top").alias("top"), F.max("_null").alias("null_score"))
     text = F.substring("context", F.col("top.s") + 1, F.col("top.e") - F.col("top.s"))
     answer = F.when(F.col("top").isNull(), "").otherwise(text)

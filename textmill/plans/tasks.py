@@ -6,9 +6,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from textmill.functions.drawn import uniform_each
 from textmill.functions.draws import uniform, uniform_index
 from textmill.functions.stage import materialize
 from textmill.operators import encode as E, features as X
+from textmill.operators.answerspans import pack
 from textmill.operators.packing import token_id
 from textmill.operators.tokenize import encode_rows
 from textmill.plans.encoding import full
@@ -124,7 +126,7 @@ def qa_windows(w):
         w.table("benchmark").select(F.col("item_id").alias("question_id"), "text"), ["question_id"], "text", w.book
     )
     contexts = X.offsets_by_row(
-        w.documents.select(F.col("doc_id").alias("context_id"), "text"), ["context_id"], "text", w.book
+        w.stored("documents").select(F.col("doc_id").alias("context_id"), "text"), ["context_id"], "text", w.book
     )
     examples = qa_examples(w).select("id", "question_id", "context_id", "answer_start", "answer_text")
     return X.qa_windows(examples, questions, contexts, *specials(w))
@@ -189,12 +191,12 @@ PART["qa_answer"] = """
 
 
 def best_spans(w, **options):
-    features = X.qa_eval_features(qa_windows(w)).select("id", "window", "offsets")
+    features = X.qa_eval_features(qa_windows(w)).select("id", "window", pack("offsets").alias("offsets"))
     features = materialize(features, "qa-features")
     line = F.sequence(F.lit(0), F.lit(383))
-    score = lambda tag: F.transform(line, lambda i: uniform(0, tag, "id", "window", i))
+    score = lambda tag: uniform_each(0, tag, "id", "window", numbers=line)
     logits = features.select("id", "window", score("start").alias("start_logits"), score("end").alias("end_logits"))
-    contexts = w.documents.select(F.col("doc_id").alias("id"), F.col("text").alias("context"))
+    contexts = w.stored("documents").select(F.col("doc_id").alias("id"), F.col("text").alias("context"))
     return X.qa_best_spans(features, logits, contexts, **options)
 
 

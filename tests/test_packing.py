@@ -322,3 +322,127 @@ def test_masking_makes_its_draws_in_batches(spark, capsys):
     registry.queries()["replace_tokens_never_right"](spark, "/root/testdata/sf0.001").explain()
     plan = capsys.readouterr().out
     assert plan.count("ArrowEvalPython") > 1 and "md5" not in plan.split("ArrowEvalPython")[0]
+
+
+class KeyStore:
+    """A state store in memory that counts its calls."""
+
+    def __init__(self):
+        from collections import Counter
+
+        self.calls, self.values, self.timers, self.now = Counter(), {}, set(), 5
+
+    def getValueState(self, name, *a):
+        return KeyStore.State(self, name)
+
+    getMapState = getValueState
+
+    def registerTimer(self, due):
+        self.calls["timer"] += 1
+        self.timers.add(due)
+
+    def deleteTimer(self, due):
+        self.timers.remove(due)
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+    class State:
+        def __init__(self, store, name):
+            self.store, self.name = store, name
+
+        def get(self):
+            self.store.calls["get"] += 1
+            return self.store.values.get(self.name)
+
+        def update(self, value):
+            self.store.calls["update"] += 1
+            self.store.values[self.name] = value
+
+        def clear(self):
+            self.store.values.pop(self.name, None)
+
+        def getValue(self, key):
+            return self.store.values[self.name, key]
+
+        def updateValue(self, key, value):
+            self.store.values[self.name, key] = value
+
+        def removeKey(self, key):
+            del self.store.values[self.name, key]
+
+
+def bucket(store, idle_ms=1000, keep_ms=10_000):
+    """(give, fire) for a bucket: give lines (doc, i, line_no, ids, is_last), or let its timer run out at a time."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from textmill.streaming import packing as S
+
+    packer = S.BucketPacker(16, 0, idle_ms, keep_ms)
+    packer.init(store)
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int32()))
+
+    def shown(rows):
+        rows = [r.asDict() for r in rows]
+        packed = S._as_lines(*[pa.array([r[c] for r in rows], pa.binary()) for c in ("numbers", "ends", "ids")]).to_pylist()
+        return [(r["doc_id"], r["ex"], [(x["line_no"], x["ids"]) for x in lines]) for r, lines in zip(rows, packed, strict=True)]
+
+    def give(lines, now):
+        store.now = now
+        columns = [pa.array([line[k] for line in lines], kind) for k, kind in zip((0, 1, 2, 4, 3), kinds, strict=True)]
+        return shown(packer.handleInputRows((7,), [(x,) for x in S._as_record(*columns).to_pylist()], store))
+
+    def fire(now):
+        out, store.now = [], now
+        while due := min((t for t in store.timers if t <= now), default=None):  # one may set the next
+            store.timers.remove(due)
+            out += packer.handleExpiredTimer((7,), store, SimpleNamespace(getExpiryTimeInMs=lambda due=due: due))
+        return shown(out)
+
+    return give, fire
+
+
+def test_a_bucket_asks_the_store_once_for_all_its_documents():
+    store = KeyStore()
+    give, _ = bucket(store)
+    docs = {d: [(i, [d, i, 9][: (d + i) % 4]) for i in range(9)] for d in range(40)}
+    rows = [(d, i, no, ids, i == 8) for d, lines in docs.items() for i, (no, ids) in enumerate(lines)]
+    random.Random(1).shuffle(rows)
+    out = [r for part in range(4) for r in give(rows[part::4], 5)]
+    for d, lines in docs.items():
+        got = [line for doc, _, some in sorted(out, key=lambda r: r[:2]) for line in some if doc == d]
+        assert got == lines[: len(got)] and sum(len(ids) for _, ids in got) == sum(len(ids) for _, ids in lines)
+    assert sum(store.calls.values()) < 16  # once for each document, batch and kind of state before
+
+
+def test_documents_of_a_bucket_end_and_are_forgotten_in_their_own_time():
+    store = KeyStore()
+    give, fire = bucket(store)
+    assert give([(1, 0, 0, [5], False), (2, 0, 0, [6], False), (2, 2, 2, None, False)], 100) == []
+    assert give([(1, 1, 1, [7, None], False)], 900) == [] and fire(1099) == []
+    assert fire(1100) == [(2, 0, [(0, [6]), (2, [])])] and fire(1899) == []
+    assert fire(1900) == [(1, 0, [(0, [5]), (1, [7, None])])]
+    assert give([(1, 0, 0, [5], True), (2, 0, 0, [6], True)], 11_050) == []  # sent again
+    assert give([(None, 0, None, [3], True), (2, 0, 0, [6], True)], 11_150) == [(None, 0, [(None, [3])]), (2, 0, [(0, [6])])]
+    fire(30_000)
+    assert store.values == {} and not store.timers
+
+
+def test_waiting_lines_of_a_long_document_lie_apart(monkeypatch):
+    from textmill.streaming import packing as S
+
+    monkeypatch.setattr(S, "NEAR", 2000)
+    store = KeyStore()
+    give, fire = bucket(store)
+    lines = [(1, i, i, [i] * 3, i == 499) for i in range(500)]
+    assert give(lines[1:300], 5) == [] and sum(isinstance(k, tuple) for k in store.values) == 5
+    assert len(store.values["documents"][1]) < 500
+    out = give(lines[:1], 6) + give(lines[400:], 7) + give(lines[300:400], 8)
+    assert [line for _, _, some in out for line in some] == [(i, [i] * 3) for i in range(500)]
+    assert [k for k in store.values if isinstance(k, tuple)] == []
+    assert give([(2, i, i, [i] * 3, False) for i in range(1, 300)], 9) == []
+    out = fire(1009)
+    assert [line for _, _, some in out for line in some] == [(i, [i] * 3) for i in range(1, 300)]
+    assert [k for k in store.values if isinstance(k, tuple)] == []

@@ -1,14 +1,22 @@
-"""Packing lines into examples over a stream, one state per document."""
+"""Packing lines into examples over a stream: a state per document, and many documents to a key of the store."""
 
 from __future__ import annotations
 
 import hashlib
+import pickle
+import struct
 from collections.abc import Iterator
+from itertools import accumulate
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from textmill.operators.packing import assemble, split_segments
+from textmill.operators.pieces import lengths, listed
 
 LINE = "line_no int, ids array<int>"
 OUTPUT = f"doc_id bigint, max_len int, ex int, target int, lines array<struct<{LINE.replace(' ', ':')}>>".replace(",:", ",")
@@ -16,6 +24,14 @@ HEAD = "turn int, ex int, target int, tokens int, last int, kept int, held int,
 # Lines ahead of their turn lie together by so many numbers, so that the state is not asked for each of them.
 SPAN = 64
 MINUTE = 60_000
+# Keys of the store. Each call of it, and each key that a batch touches, costs as much as packing many lines.
+BUCKETS = 1 << 13
+# Bytes of a document's waiting lines that are kept with its bucket; where there are more, they lie apart.
+NEAR = 1 << 16
+NO_ID = -(1 << 31)  # stands for a null among numbers
+HEADER = struct.Struct("<qiii")  # document, number in it, line_no, flags
+LAST, NO_LINE, NO_DOC = 1, 2, 4
+FLAT = "doc_id bigint, max_len int, ex int, target int, numbers binary, ends binary, ids binary"
 
 
 def draw(seed: int, tag: str, *keys) -> float:
@@ -37,6 +53,8 @@ class LinePacker(StatefulProcessor):
     the spans of waiting lines have, and nothing is asked for that is not there.
     """
 
+    none: list | bytes = []  # ids of a line without any
+
     def __init__(self, max_len: int, seed: int, idle_ms: int, keep_ms: int):
         self.max_len, self.seed, self.idle_ms, self.keep_ms = max_len, seed, idle_ms, keep_ms
 
@@ -50,7 +68,7 @@ class LinePacker(StatefulProcessor):
 
     def _span(self, number: int) -> dict[int, tuple]:
         value = self.waiting.getValue((number,)) if self.waiting.containsKey((number,)) else None
-        return {i: (line_no, list(ids)) for i, line_no, ids in value[0]} if value else {}
+        return {i: (line_no, ids) for i, line_no, ids in value[0]} if value else {}
 
     def _walk(self, doc: int, head: tuple, arrived: dict, ended: bool) -> Iterator[Row]:
         """Pack the lines whose turn it is; with ``ended`` also across gaps, and let go of what is left."""
@@ -81,8 +99,8 @@ class LinePacker(StatefulProcessor):
             changed.add(turn // SPAN)
             if taken is None:
                 taken = [tuple(line) for line in self.open.get()] if kept else []
-            taken.append((line_no, list(ids)))
-            tokens += len(ids)
+            taken.append((line_no, ids))
+            tokens += self._size(ids)
             if tokens >= goal:
                 yield self._example(doc, ex, goal, taken)
                 ex, tokens, taken = ex + 1, 0, []
@@ -122,6 +140,9 @@ class LinePacker(StatefulProcessor):
         self.handle.registerTimer(self.now + self.idle_ms)
         self.head.update((turn, ex, goal, tokens, last, kept, int(held), self.now))
 
+    def _size(self, ids: list | bytes) -> int:
+        return len(ids)
+
     def _example(self, doc: int, ex: int, goal: int, lines: list[tuple]) -> Row:
         return Row(doc_id=doc, max_len=self.max_len, ex=ex, target=goal, lines=[Row(line_no=n, ids=list(i)) for n, i in lines])
 
@@ -137,7 +158,7 @@ class LinePacker(StatefulProcessor):
         arrived = {}
         for r in rows:
             if r.i >= turn:
-                arrived.setdefault(r.i, (r.line_no, r.ids or []))
+                arrived.setdefault(r.i, (r.line_no, r.ids or self.none))
             if r.is_last:
                 last = r.i
         yield from self._walk(doc, (turn, ex, goal, tokens, last, kept, held, touched), arrived, 0 <= last < turn)
@@ -152,8 +173,215 @@ class LinePacker(StatefulProcessor):
         pass
 
 
+class Line(NamedTuple):
+    i: int
+    line_no: int | None
+    ids: bytes
+    is_last: bool
+
+
+class FlatPacker(LinePacker):
+    """Lines whose ids are the bytes of 32-bit numbers, and examples whose lines lie one behind the other, so that no id
+    becomes an object."""
+
+    none = b""
+    row = Row("doc_id", "max_len", "ex", "target", "numbers", "ends", "ids")
+
+    def _size(self, ids: bytes) -> int:
+        return len(ids) // 4
+
+    def _example(self, doc: int, ex: int, goal: int, lines: list[tuple]) -> Row:
+        n = len(lines)
+        numbers = struct.pack(f"<{n}i", *[NO_ID if no is None else no for no, _ in lines])
+        ends = struct.pack(f"<{n}i", *accumulate([len(ids) // 4 for _, ids in lines]))
+        return self.row(doc, self.max_len, ex, goal, numbers, ends, b"".join([ids for _, ids in lines]))
+
+
+class Value:
+    """A value of one document, for a packer to use like one of the state store."""
+
+    value = None
+
+    def exists(self) -> bool:
+        return self.value is not None
+
+    def get(self) -> object:
+        return self.value
+
+    def update(self, value: object) -> None:
+        self.value = value
+
+    put = update
+
+    def clear(self) -> None:
+        self.value = None
+
+
+class Spans:
+    """Spans of waiting lines of one document. Those ``near`` lie with it; of those ``far`` it has the numbers, and the
+    store the lines."""
+
+    def __init__(self, store):
+        self.store, self.doc = store, None
+        self.near: dict[int, list] = {}
+        self.far: set[int] = set()
+
+    def containsKey(self, key: tuple) -> bool:
+        return key[0] in self.near or key[0] in self.far
+
+    def getValue(self, key: tuple) -> tuple:
+        if key[0] in self.near:
+            return (self.near[key[0]],)
+        return self.store.getValue((self.doc, key[0]))
+
+    def updateValue(self, key: tuple, value: tuple) -> None:
+        self.near[key[0]] = value[0]
+
+    def removeKey(self, key: tuple) -> None:
+        self.near.pop(key[0], None)
+        if key[0] in self.far:
+            self.far.remove(key[0])
+            self.store.removeKey((self.doc, key[0]))
+
+    def keys(self) -> Iterator[tuple]:
+        return iter([(number,) for number in {*self.near, *self.far}])
+
+    def clear(self) -> None:
+        for key in list(self.keys()):
+            self.removeKey(key)
+
+    def settle(self) -> None:
+        """Moves the lines to the store if there are many."""
+        if sum(len(ids) + 8 for lines in self.near.values() for _, _, ids in lines) > NEAR:
+            for number, lines in self.near.items():
+                self.store.updateValue((self.doc, number), (lines,))
+            self.far |= set(self.near)
+            self.near = {}
+
+
+class BucketPacker(StatefulProcessor):
+    """:class:`FlatPacker` for the documents of a bucket, whose states lie together in one value of the store, so that a
+    batch asks for them once. Waiting lines of a long document lie apart.
+
+    Documents have no timers of their own: the bucket has one, for the first time at which one of them is over or one that
+    is done is forgotten. It is put forward where need be, but never back; one that comes too early does nothing.
+    """
+
+    def __init__(self, max_len: int, seed: int, idle_ms: int, keep_ms: int):
+        self.packer, self.keep_ms = FlatPacker(max_len, seed, idle_ms, keep_ms), keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.documents = handle.getValueState("documents", "timer long, documents binary")
+        store = handle.getMapState("far", "doc long, span int", f"lines array<struct<i:int,{LINE.replace('array<int>', 'binary').replace(' ', ':').replace(',:', ',')}>>")
+        p = self.packer
+        p.handle, p.head, p.open, p.done, p.waiting = self, Value(), Value(), Value(), Spans(store)
+
+    # What a packer asks of its handle.
+    def registerTimer(self, due: int) -> None:
+        self.due = due
+
+    def deleteTimer(self, due: int) -> None:
+        self.due = None
+
+    def _document(self, documents: dict, doc: int, made: Iterator[Row], now: int) -> Iterator[Row]:
+        """``made`` by the packer, with the state of a document brought in before and kept after."""
+        p = self.packer
+        p.head.value, p.open.value, p.waiting.near, p.waiting.far, self.due, over = documents.get(doc) or (None, None, {}, set(), None, None)
+        p.waiting.doc, p.done.value = doc, True if over is not None and now < over else None
+        known = p.done.value
+        yield from made
+        p.waiting.settle()
+        if p.done.value and not known:
+            over = now + self.keep_ms
+        documents[doc] = p.head.value, p.open.value, p.waiting.near, p.waiting.far, self.due, over if p.done.value else None
+
+    def _begun(self) -> tuple[int | None, dict]:
+        value = self.documents.get()
+        return (value[0], pickle.loads(value[1])) if value else (None, {})
+
+    def _kept(self, timer: int | None, documents: dict, now: int) -> None:
+        first = None
+        for doc, (head, *_, due, over) in list(documents.items()):
+            if head is None and (over is None or over <= now):
+                del documents[doc]
+                continue
+            at = due if head is not None else over
+            first = at if first is None or at < first else first
+        if not documents:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.documents.clear()
+            return
+        if timer is None or first < timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            timer = first
+            self.handle.registerTimer(timer)
+        self.documents.update((timer, pickle.dumps(documents, pickle.HIGHEST_PROTOCOL)))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        timer, documents = self._begun()
+        now = timerValues.getCurrentProcessingTimeInMs()
+        arrived: dict[int, list] = {}
+        for r in rows:
+            doc, line = _from_record(r[0])
+            arrived.setdefault(doc, []).append(line)
+        for doc, lines in arrived.items():
+            yield from self._document(documents, doc, self.packer.handleInputRows((doc,), lines, timerValues), now)
+        self._kept(timer, documents, now)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        timer, documents = self._begun()
+        now, at = timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs()
+        if timer != at:  # one that was put forward
+            return
+        for doc in [doc for doc, state in documents.items() if state[4] is not None and state[4] <= at]:
+            yield from self._document(documents, doc, self.packer.handleExpiredTimer((doc,), timerValues, expiredTimerInfo), now)
+        self._kept(None, documents, now)
+
+    def close(self) -> None:
+        pass
+
+
+def _as_record(docs: pa.Array, i: pa.Array, line_no: pa.Array, is_last: pa.Array, lists: pa.Array) -> pa.Array:
+    """Lines as bytes: :data:`HEADER`, then the ids. A worker takes one value a line out of Arrow, not one a column."""
+    if i.null_count:
+        raise ValueError("a line without a number")
+    count = lengths(lists)
+    words = HEADER.size // 4
+    ends = np.concatenate([[0], np.cumsum(count + words)])
+    out = np.empty(int(ends[-1]), dtype="<i4")
+    number = lambda x: pc.fill_null(x, 0).to_numpy(zero_copy_only=False)
+    flags = pc.fill_null(is_last, False).to_numpy(zero_copy_only=False) * LAST
+    flags = flags + line_no.is_null().to_numpy(zero_copy_only=False) * NO_LINE + docs.is_null().to_numpy(zero_copy_only=False) * NO_DOC
+    head = np.ascontiguousarray(number(docs), dtype="<i8").view("<i4").reshape(-1, 2)
+    for k, column in enumerate((head[:, 0], head[:, 1], number(i), number(line_no), flags)):
+        out[ends[:-1] + k] = column
+    values = pc.fill_null(lists.flatten(), NO_ID).to_numpy(zero_copy_only=False)
+    out[np.arange(len(values)) + np.repeat(words * np.arange(1, len(lists) + 1), count)] = values
+    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(np.ascontiguousarray(ends * 4, dtype="<i4")), pa.py_buffer(out)])
+
+
+def _from_record(record: bytes) -> tuple[int | None, Line]:
+    doc, i, line_no, flags = HEADER.unpack_from(record)
+    line = Line(i, None if flags & NO_LINE else line_no, record[HEADER.size :], bool(flags & LAST))
+    return None if flags & NO_DOC else doc, line
+
+
+def _as_lines(numbers: pa.Array, ends: pa.Array, ids: pa.Array) -> pa.Array:
+    """The lines of examples that lie one behind the other, as array<struct<line_no, ids>>."""
+    joined = [np.frombuffer(b"".join(x.to_pylist()), "<i4") for x in (numbers, ends, ids)]
+    lines, tokens = (np.concatenate([[0], np.cumsum(pc.binary_length(x).to_numpy(zero_copy_only=False) // 4)]) for x in (numbers, ids))
+    upto = joined[1].astype(np.int64) + np.repeat(tokens[:-1], np.diff(lines))
+    values = pa.array(joined[2], pa.int32(), mask=joined[2] == NO_ID)
+    made = [pa.array(joined[0], pa.int32(), mask=joined[0] == NO_ID), listed(np.concatenate([[0], upto]), values)]
+    return listed(lines, pa.StructArray.from_arrays(made, ["line_no", "ids"]))
+
+
 def pack_lines_stream(
-    lines: DataFrame, max_len: int = 128, seed: int = 0, idle_ms: int = 10 * MINUTE, keep_ms: int = 60 * MINUTE
+    lines: DataFrame, max_len: int = 128, seed: int = 0, idle_ms: int = 10 * MINUTE, keep_ms: int = 60 * MINUTE,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """(doc_id, max_len, ex, target, lines) from a stream of (doc_id, i, line_no, ids, is_last), i counting from 0.
 
@@ -161,11 +389,19 @@ def pack_lines_stream(
     that came before (of one document and i) is left out. The last example leaves with the line marked ``is_last``.
     Where that mark or a line never comes, the document ends ``idle_ms`` after its last line came: what is there is
     packed in order, across the gaps. Lines of a document that is done are left out for ``keep_ms``; after that
-    they would begin it anew. The state store has to be RocksDB (``textmill.session.configure`` sets it).
+    they would begin it anew. The state store has to be RocksDB (``textmill.session.configure`` sets it). Documents go
+    to ``buckets`` keys of the store by a hash; a bucket's documents that are not done are brought in together.
     """
-    return lines.groupBy("doc_id").transformWithState(
-        LinePacker(max_len, seed, idle_ms, keep_ms), OUTPUT, "append", "processingTime"
+    columns = [F.col(c).cast(kind) for c, kind in (("doc_id", "bigint"), ("i", "int"), ("line_no", "int"), ("is_last", "boolean"), ("ids", "array<int>"))]
+    coded = lines.select(
+        F.arrow_udf(lambda *given: _as_record(*given), "binary")(*columns).alias("line"),
+        F.pmod(F.xxhash64(columns[0]), F.lit(buckets)).alias("bucket"),
+    )
+    packed = coded.groupBy("bucket").transformWithState(
+        BucketPacker(max_len, seed, idle_ms, keep_ms), FLAT, "append", "processingTime"
     )
+    body = F.arrow_udf(lambda numbers, ends, ids: _as_lines(numbers, ends, ids), OUTPUT[OUTPUT.index("lines ") + 6 :])
+    return packed.select("doc_id", "max_len", "ex", "target", body("numbers", "ends", "ids").alias("lines"))
 
 
 def stream_examples(lines: DataFrame, cls: Column, sep: Column, max_len: int = 128, seed: int = 0, pad_id: int = 0, **options) -> DataFrame:

@@ -421,9 +421,9 @@ def test_documents_of_a_bucket_end_and_are_forgotten_in_their_own_time():
     store = KeyStore()
     give, fire = bucket(store)
     assert give([(1, 0, 0, [5], False), (2, 0, 0, [6], False), (2, 2, 2, None, False)], 100) == []
-    assert give([(1, 1, 1, [7, None], False)], 900) == [] and fire(1099) == []
+    assert give([(1, 1, 1, [7, None, 65_535, 70_000, -3], False)], 900) == [] and fire(1099) == []
     assert fire(1100) == [(2, 0, [(0, [6]), (2, [])])] and fire(1899) == []
-    assert fire(1900) == [(1, 0, [(0, [5]), (1, [7, None])])]
+    assert fire(1900) == [(1, 0, [(0, [5]), (1, [7, None, 65_535, 70_000, -3])])]
     assert give([(1, 0, 0, [5], True), (2, 0, 0, [6], True)], 11_050) == []  # sent again
     assert give([(None, 0, None, [3], True), (2, 0, 0, [6], True)], 11_150) == [(None, 0, [(None, [3])]), (2, 0, [(0, [6])])]
     fire(30_000)
@@ -446,3 +446,21 @@ def test_waiting_lines_of_a_long_document_lie_apart(monkeypatch):
     out = fire(1009)
     assert [line for _, _, some in out for line in some] == [(i, [i] * 3) for i in range(1, 300)]
     assert [k for k in store.values if isinstance(k, tuple)] == []
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark):
+    """They stayed until the driver happened to collect its garbage."""
+    import time
+
+    from textmill.functions.stage import materialize
+
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses
+    materialize(spark.range(1000), "first")
+    before = tracker().size()
+    for _ in range(3):
+        materialize(spark.range(1000).repartition(3), "shuffled")
+    for _ in range(100):
+        if tracker().size() <= before:
+            break
+        time.sleep(0.1)
+    assert tracker().size() <= before

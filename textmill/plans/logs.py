@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from textmill.functions.prefix import running_total
-from textmill.functions.stage import materialize
+from textmill.functions.stage import let_go, materialize
 from textmill.operators import traininglog as L
 from textmill.plans.corpus import metric_log
 from textmill.plans.examples import EXAMPLE_SQL
 from textmill.plans.report import shown
 from textmill.plans.sqlparts import PART, query
-from textmill.plans.workspace import workspace
+from textmill.plans.workspace import VOCAB_SIZE, workspace
 from textmill.session import new_folder
 from textmill.streaming.idle import run_until_idle
 from textmill.streaming.packing import pack_lines_stream, stream_examples
@@ -121,12 +121,17 @@ def run_to_end(w, stream: DataFrame, name: str) -> DataFrame:
 def line_stream(w) -> DataFrame:
     """The encoded lines as a stream of several micro-batches, in which lines come out of order."""
     order = Window.partitionBy("doc_id").orderBy("line_no")  # the lines of one document
-    lines = w.encoded.select(
+    # Ids below the size of the vocabulary take two bytes while lines are moved.
+    moved = w.encoded.withColumn("ids", F.col("ids").cast("array<smallint>")) if VOCAB_SIZE < 1 << 15 else w.encoded
+    lines = moved.select(
         "doc_id", (F.row_number().over(order) - 1).alias("i"), "line_no", "ids",
         F.lead("line_no").over(order).isNull().alias("is_last"),
     )
     path = new_folder(w.spark, "line-stream")
-    lines.withColumn("part", F.pmod(F.col("i"), F.lit(3))).repartition("part", "doc_id").drop("part").write.parquet(path)
+    dealt = lines.withColumn("part", F.pmod(F.col("i"), F.lit(3))).repartition("part", "doc_id").drop("part")
+    lines = dealt.withColumn("ids", F.col("ids").cast("array<int>"))
+    lines.write.parquet(path)
+    let_go(w.spark)
     per_batch = max(1, len(w.spark.read.parquet(path).inputFiles()) // 3)
     return w.spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 

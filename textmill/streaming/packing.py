@@ -29,7 +29,8 @@ BUCKETS = 1 << 13
 # Bytes of a document's waiting lines that are kept with its bucket; where there are more, they lie apart.
 NEAR = 1 << 16
 NO_ID = -(1 << 31)  # stands for a null among numbers
-HEADER = struct.Struct("<qiii")  # document, number in it, line_no, flags
+HEADER = np.dtype([("doc", "<i8"), ("i", "<i4"), ("line_no", "<i4"), ("flags", "u1")])
+OPENED = struct.Struct("<qiiB")  # the same
 LAST, NO_LINE, NO_DOC = 1, 2, 4
 FLAT = "doc_id bigint, max_len int, ex int, target int, numbers binary, ends binary, ids binary"
 
@@ -181,20 +182,24 @@ class Line(NamedTuple):
 
 
 class FlatPacker(LinePacker):
-    """Lines whose ids are the bytes of 32-bit numbers, and examples whose lines lie one behind the other, so that no id
-    becomes an object."""
+    """Lines whose ids are bytes, the first of which says how many each takes, and examples whose lines lie one behind the
+    other, so that no id becomes an object."""
 
-    none = b""
+    none = b"\2"
     row = Row("doc_id", "max_len", "ex", "target", "numbers", "ends", "ids")
 
     def _size(self, ids: bytes) -> int:
-        return len(ids) // 4
+        return (len(ids) - 1) // ids[0]
 
     def _example(self, doc: int, ex: int, goal: int, lines: list[tuple]) -> Row:
         n = len(lines)
         numbers = struct.pack(f"<{n}i", *[NO_ID if no is None else no for no, _ in lines])
-        ends = struct.pack(f"<{n}i", *accumulate([len(ids) // 4 for _, ids in lines]))
-        return self.row(doc, self.max_len, ex, goal, numbers, ends, b"".join([ids for _, ids in lines]))
+        ends = struct.pack(f"<{n}i", *accumulate([self._size(ids) for _, ids in lines]))
+        if all(ids[0] == 2 for _, ids in lines):
+            whole = np.frombuffer(b"".join([ids[1:] for _, ids in lines]), "<u2").astype("<i4")
+        else:
+            whole = np.concatenate([np.frombuffer(ids, "<u2" if ids[0] == 2 else "<i4", offset=1).astype("<i4") for _, ids in lines])
+        return self.row(doc, self.max_len, ex, goal, numbers, ends, whole.tobytes())
 
 
 class Value:
@@ -345,27 +350,35 @@ class BucketPacker(StatefulProcessor):
 
 
 def _as_record(docs: pa.Array, i: pa.Array, line_no: pa.Array, is_last: pa.Array, lists: pa.Array) -> pa.Array:
-    """Lines as bytes: :data:`HEADER`, then the ids. A worker takes one value a line out of Arrow, not one a column."""
+    """Lines as bytes: :data:`HEADER`, then how many bytes an id has, 2 if all of the line's fit in them, then the ids.
+    A worker takes one value a line out of Arrow, not one a column."""
     if i.null_count:
         raise ValueError("a line without a number")
-    count = lengths(lists)
-    words = HEADER.size // 4
-    ends = np.concatenate([[0], np.cumsum(count + words)])
-    out = np.empty(int(ends[-1]), dtype="<i4")
     number = lambda x: pc.fill_null(x, 0).to_numpy(zero_copy_only=False)
-    flags = pc.fill_null(is_last, False).to_numpy(zero_copy_only=False) * LAST
-    flags = flags + line_no.is_null().to_numpy(zero_copy_only=False) * NO_LINE + docs.is_null().to_numpy(zero_copy_only=False) * NO_DOC
-    head = np.ascontiguousarray(number(docs), dtype="<i8").view("<i4").reshape(-1, 2)
-    for k, column in enumerate((head[:, 0], head[:, 1], number(i), number(line_no), flags)):
-        out[ends[:-1] + k] = column
     values = pc.fill_null(lists.flatten(), NO_ID).to_numpy(zero_copy_only=False)
-    out[np.arange(len(values)) + np.repeat(words * np.arange(1, len(lists) + 1), count)] = values
-    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(np.ascontiguousarray(ends * 4, dtype="<i4")), pa.py_buffer(out)])
+    count = lengths(lists)
+    row = np.repeat(np.arange(len(lists)), count)
+    place = np.arange(len(values)) - np.repeat(np.cumsum(count) - count, count)
+    wide = np.bincount(row[(values < 0) | (values >= 1 << 16)], minlength=len(lists)) > 0
+    width = np.where(wide, 4, 2)
+    ends = np.concatenate([[0], np.cumsum(HEADER.itemsize + 1 + count * width)])
+    out = np.empty(int(ends[-1]), dtype=np.uint8)
+    heads = np.empty(len(lists), dtype=HEADER)
+    heads["doc"], heads["i"], heads["line_no"] = number(docs), number(i), number(line_no)
+    heads["flags"] = number(is_last.cast(pa.uint8())) * LAST + line_no.is_null().to_numpy(zero_copy_only=False) * NO_LINE + docs.is_null().to_numpy(zero_copy_only=False) * NO_DOC
+    out[ends[:-1, None] + np.arange(HEADER.itemsize)] = heads.view(np.uint8).reshape(-1, HEADER.itemsize)
+    first = ends[:-1] + HEADER.itemsize
+    out[first] = width
+    for size, kind in ((2, "<u2"), (4, "<i4")):
+        on = np.flatnonzero(width[row] == size)
+        cells = first[row[on]] + 1 + place[on] * size
+        out[cells[:, None] + np.arange(size)] = values[on].astype(kind).view(np.uint8).reshape(-1, size)
+    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(np.ascontiguousarray(ends, dtype="<i4")), pa.py_buffer(out)])
 
 
 def _from_record(record: bytes) -> tuple[int | None, Line]:
-    doc, i, line_no, flags = HEADER.unpack_from(record)
-    line = Line(i, None if flags & NO_LINE else line_no, record[HEADER.size :], bool(flags & LAST))
+    doc, i, line_no, flags = OPENED.unpack_from(record)
+    line = Line(i, None if flags & NO_LINE else line_no, record[OPENED.size :], bool(flags & LAST))
     return None if flags & NO_DOC else doc, line
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -13,13 +15,17 @@ from textmill.operators.pieces import bounds, listed
 
 RANKED = "struct<first:double,i:array<int>,v:array<double>>"
 TOP = "struct<score:double,a:int,b:int,s:int,e:int>"
-# Rows whose pairs are compared at once.
-SIDE = 1024
+# Rows that are taken at once, so that a batch of long lists takes little memory beside them.
+SIDE = 512
 # A window's bytes begin with: how they are made, how many places there are, the first that has a span, how many have
 # one, and the first character.
 HEAD = np.dtype([("close", "u1"), ("n", "<i4"), ("first", "<i4"), ("count", "<i4"), ("s", "<i4")])
 
 
+def _by_rows(body: Callable[[pa.Array], pa.Array], lists: pa.Array) -> pa.Array:
+    return pa.concat_arrays([body(lists.slice(a, SIDE)) for a in range(0, max(len(lists), 1), SIDE)])
+
+
 def _pack(offsets: pa.Array) -> pa.Array:
     """array<struct<s, e>> to bytes. Spans that stand together, in order and close to each other, take two bytes each:
     the gap before it and its length. Any other list is written out."""
@@ -70,7 +76,7 @@ def _pack(offsets: pa.Array) -> pa.Array:
 
 def pack(offsets: str | Column) -> Column:
     """The ``offsets`` of windows as bytes, which :func:`best_pairs` reads: some two for each token, for 24 in a row."""
-    return F.arrow_udf(lambda lists: _pack(lists), "binary")(F.col(offsets) if isinstance(offsets, str) else offsets)
+    return F.arrow_udf(lambda lists: _by_rows(_pack, lists), "binary")(F.col(offsets) if isinstance(offsets, str) else offsets)
 
 
 class Spans:
@@ -153,7 +159,7 @@ def _rank(n_best: int, lists: pa.Array) -> pa.Array:
 
 def ranked(values: str, n_best: int) -> Column:
     """struct<first, i, v>: the first of a list of values, and its greatest ones with their places."""
-    return F.arrow_udf(lambda lists: _rank(n_best, lists), RANKED)(F.col(values).cast("array<double>"))
+    return F.arrow_udf(lambda lists: _by_rows(partial(_rank, n_best), lists), RANKED)(F.col(values).cast("array<double>"))
 
 
 def _table(side: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,7 +192,7 @@ def _one(starts: list, ends: list, max_answer: int) -> tuple | None:
 
 def _best(max_answer: int, packed: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
     made = []
-    for a in range(0, len(packed), SIDE):
+    for a in range(0, max(len(packed), 1), SIDE):
         spans, left, right = Spans(packed.slice(a, SIDE)), starts.slice(a, SIDE), ends.slice(a, SIDE)
         left, right = (pa.StructArray.from_arrays([pc.struct_field(x, n) for n in ("i", "v")], ["i", "v"]) for x in (left, right))
         i, x, odd_x = _table(left)
@@ -194,7 +200,7 @@ def _best(max_answer: int, packed: pa.Array, starts: pa.Array, ends: pa.Array) -
         _, has, _, s, _ = spans.look(i)
         there, _, known, _, e = spans.look(j)
         fits = has[:, :, None] & there[:, None, :] & (j[:, None, :] >= i[:, :, None]) & (j[:, None, :] - i[:, :, None] < max_answer)
-        score = np.where(fits, x[:, :, None] + y[:, None, :], -np.inf).reshape(len(i), -1)
+        score = np.where(fits, x[:, :, None] + y[:, None, :], -np.inf).reshape(len(i), i.shape[1] * j.shape[1])
         # Places ascend, so the first of equal scores has the first start, and then the first end.
         best = score.argmax(axis=1)
         line = np.arange(len(i))
